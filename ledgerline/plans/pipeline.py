@@ -1,0 +1,3 @@
+"""Pipeline query plans: load, publish, versions, marts, change data."""
+
+from __future__ import annotations
