@@ -57,7 +57,8 @@ def has_attachment(col: Column | str) -> Column:
     """1 when the text after the first 'photos' has no '[]' within 20
     characters; otherwise 1 when it mentions 'http'; else 0 (T6)."""
     a = _c(col)
-    after = F.substring(F.try_element_at(F.split(a, "photos", 2), F.lit(2)), 1, 20)
+    # The text between the first and second 'photos' (or the end), first 20 chars.
+    after = F.substring(F.try_element_at(F.split(a, "photos"), F.lit(2)), 1, 20)
     return (F.when(a.isNull() | (a == ""), F.lit(0))
              .when(a.contains("photos") & ~F.coalesce(after.contains("[]"), F.lit(False)), F.lit(1))
              .when(a.contains("http"), F.lit(1))

@@ -1,3 +1,506 @@
-"""Pipeline query plans: load, publish, versions, marts, change data."""
+"""Pipeline query plans: load, publish, versions, marts and change data.
+
+Each key runs a pipeline stage over the full adapter views and returns the
+stage's output (or the report read from it).  Stages that write -- the
+compaction, the month-partitioned fact, the change stream -- write to a
+fresh folder under the session's shared scratch root and return a read of
+what they wrote.
+"""
 
 from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import cdc, clean, load, marts
+from ..operators import analytics as A
+from ..operators.publish import publish_products, publish_reviews
+from ..operators.versions import compact, latest_per_key, sum_collapse
+from ..schemas import AUDIT_LOG
+from ..session import new_scratch_dir
+from ..sinks.parquet import write_fact_by_month
+from ..sources import adapters as V
+from ..sources import raw as R
+from ..sources.serve import read_fact
+from ..streaming.changes import StreamPaths, run_change_stream
+from . import sql_rules as Q
+from .analytical import PRODUCT_ID
+from .registry import register
+from .views_sql import with_views
+
+# Parameters.  AS_OF stands in for "today" of the trailing-window mart: the
+# latest order date in the driver tables, at every scale factor.
+AS_OF = "2001-08-01"
+WINDOW_DAYS = 30
+MIRROR_CUTOFF = "2024-01-15 00:00:00"   # changes before this were applied earlier
+BATCH_SIZE = 500                         # loader batch cap (L8)
+SNAPSHOT_CUTOFF = "1998-01-01 00:00:00"  # the older snapshot of the diff
+CHANGE_PAYLOAD = T.StructType([T.StructField("k", T.LongType(), True)])
+
+REVIEW_COLS = V.REVIEW_LOG_COLUMNS
+REVIEW_COLS_SQL = ", ".join(REVIEW_COLS)
+LOG_ORDER_ASC_SQL = "updated_at, product_id, _ord_supplier, _ord_amount"
+LOG_ORDER_DESC_SQL = "updated_at DESC, product_id DESC, _ord_supplier DESC, _ord_amount DESC"
+
+
+def _dec_to_double(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles in query results (engine-neutral values)."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product catalog the reviews are loaded against: published products."""
+    return V.v_products(spark, sf_dir).filter(F.col("published"))
+
+
+_CATALOG_SQL = "SELECT * FROM v_products WHERE published"
+
+
+def _served_products(spark, sf_dir):
+    return publish_products(V.v_products(spark, sf_dir))
+
+
+def _served_reviews(spark, sf_dir):
+    return publish_reviews(V.v_reviews(spark, sf_dir), V.v_products(spark, sf_dir))
+
+
+_SERVED = (("s_products", Q.served_products("v_products")),
+           ("s_reviews", Q.served_reviews("v_reviews", "v_products")))
+
+
+# ------------------------------------------------------- versions
+@register("latest_version", with_views(
+    f"SELECT {REVIEW_COLS_SQL} FROM v_reviews", "v_reviews"))
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = V.v_review_log(spark, sf_dir)
+    return latest_per_key(log, ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+
+
+@register("compacted", with_views(
+    f"SELECT {REVIEW_COLS_SQL} FROM v_reviews", "v_reviews"))
+def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = new_scratch_dir(spark, "compacted-reviews")
+    compact(V.v_review_log(spark, sf_dir), ["review_id"], list(V.REVIEW_LOG_ORDER), target)
+    return spark.read.parquet(target).select(*REVIEW_COLS)
+
+
+_FIRSTS_SQL = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY {LOG_ORDER_ASC_SQL}) AS rn
+  FROM v_review_log) t WHERE rn = 1"""
+
+
+@register("first_wins", with_views(
+    f"SELECT {REVIEW_COLS_SQL} FROM firsts", "v_review_log", extra=(("firsts", _FIRSTS_SQL),)))
+def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = V.v_review_log(spark, sf_dir)
+    return load.first_wins(log, ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+
+
+@register("insert_or_ignore", with_views("""
+SELECT review_id, product_id, updated_at, like_count FROM existing
+UNION ALL
+SELECT review_id, product_id, updated_at, like_count FROM firsts f
+WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.review_id = f.review_id)""",
+    "v_reviews", "v_products",
+    extra=(("existing", f"SELECT * FROM v_reviews WHERE product_id IN (SELECT product_id FROM ({_CATALOG_SQL}))"),
+           ("firsts", _FIRSTS_SQL))))
+def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["review_id", "product_id", "updated_at", "like_count"]
+    existing, _ = load.split_by_reference(V.v_reviews(spark, sf_dir), _catalog(spark, sf_dir), "product_id")
+    log = V.v_review_log(spark, sf_dir)
+    return load.insert_or_ignore(log, existing.select(*cols), ["review_id"], list(V.REVIEW_LOG_ORDER))
+
+
+# ------------------------------------------------------- joins
+@register("fk_semi", with_views(f"""
+SELECT review_id, product_id, star, like_count, updated_at FROM v_review_log
+WHERE product_id IN (SELECT product_id FROM ({_CATALOG_SQL}))""", "v_review_log", "v_products"))
+def fk_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = load.split_by_reference(V.v_review_log(spark, sf_dir), _catalog(spark, sf_dir), "product_id")
+    return kept.select("review_id", "product_id", "star", "like_count", "updated_at")
+
+
+@register("fk_rejects", with_views(f"""
+SELECT review_id, product_id, updated_at, 'orphan_product' AS reject_reason FROM v_review_log
+WHERE product_id NOT IN (SELECT product_id FROM ({_CATALOG_SQL}))""", "v_review_log", "v_products"))
+def fk_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, orphans = load.split_by_reference(V.v_review_log(spark, sf_dir), _catalog(spark, sf_dir), "product_id")
+    return orphans.select("review_id", "product_id", "updated_at",
+                          F.lit("orphan_product").alias("reject_reason"))
+
+
+@register("vendor_enrich", with_views(f"""
+SELECT r.review_id, r.product_id, COALESCE(c.vendor_id, 0) AS vendor_id
+FROM v_reviews r LEFT JOIN ({_CATALOG_SQL}) c ON c.product_id = r.product_id""",
+    "v_reviews", "v_products"))
+def vendor_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.joins import lookup
+    r = V.v_reviews(spark, sf_dir).select("review_id", "product_id")
+    return lookup(r, _catalog(spark, sf_dir), "product_id", "vendor_id", default=0)
+
+
+# ------------------------------------------------------- publish
+@register("publish_products", with_views(
+    "SELECT * REPLACE (CAST(rating_average AS DOUBLE) AS rating_average, "
+    "CAST(vendor_score AS DOUBLE) AS vendor_score) FROM s_products",
+    "v_products", extra=_SERVED[:1]))
+def publish_products_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dec_to_double(_served_products(spark, sf_dir))
+
+
+@register("publish_reviews", with_views("SELECT * FROM s_reviews", "v_reviews", "v_products",
+                                        extra=_SERVED[1:]))
+def publish_reviews_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _served_reviews(spark, sf_dir)
+
+
+@register("stock_rule_check", with_views("""
+SELECT product_id, GREATEST(0, stock) AS stock_floor, GREATEST(0, stock) > 0 AS rule_available,
+       COALESCE(is_available = (GREATEST(0, stock) > 0) AND is_saleable = (GREATEST(0, stock) > 0), FALSE)
+         AS is_consistent
+FROM v_products""", "v_products"))
+def stock_rule_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = V.v_products(spark, sf_dir)
+    floor = F.greatest(F.lit(0), F.col("stock"))
+    rule = floor > 0
+    return p.select("product_id", floor.alias("stock_floor"), rule.alias("rule_available"),
+                    F.coalesce((F.col("is_available") == rule) & (F.col("is_saleable") == rule),
+                               F.lit(False)).alias("is_consistent"))
+
+
+# ------------------------------------------------------- clean + quality
+def _raw_products_sql() -> str:
+    from .raw_sql import RAW_PRODUCTS_SQL
+    return RAW_PRODUCTS_SQL
+
+
+def _raw_reviews_sql() -> str:
+    from .raw_sql import RAW_REVIEWS_SQL
+    return RAW_REVIEWS_SQL
+
+
+_CLEAN_CTES = (("raw_products", _raw_products_sql()),
+               ("raw_reviews", _raw_reviews_sql()),
+               ("a_products", Q.assessed_products("raw_products")),
+               ("a_reviews", Q.assessed_reviews("raw_reviews")))
+
+
+@register("clean_products", with_views(
+    "SELECT * EXCLUDE (reject_reason) REPLACE (CAST(rating_average AS DOUBLE) AS rating_average, "
+    "CAST(vendor_score AS DOUBLE) AS vendor_score) FROM a_products WHERE reject_reason IS NULL",
+    "v_products", "v_review_log", extra=_CLEAN_CTES))
+def clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dec_to_double(clean.accepted(clean.assess_products(R.raw_products(spark, sf_dir))))
+
+
+_REVIEW_OUT_SQL = ", ".join("CAST(star AS SMALLINT) AS star" if c == "star" else c for c in REVIEW_COLS)
+
+
+@register("clean_reviews", with_views(
+    f"SELECT {_REVIEW_OUT_SQL} FROM a_reviews WHERE reject_reason IS NULL",
+    "v_products", "v_review_log", extra=_CLEAN_CTES))
+def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.accepted(clean.assess_reviews(R.raw_reviews(spark, sf_dir))).select(*REVIEW_COLS)
+
+
+@register("reject_counts", with_views("""
+SELECT 'products' AS table_name, COALESCE(reject_reason, 'loaded') AS outcome, COUNT(*) AS row_count
+FROM a_products GROUP BY 2
+UNION ALL
+SELECT 'reviews' AS table_name, COALESCE(reject_reason, 'loaded') AS outcome, COUNT(*) AS row_count
+FROM a_reviews GROUP BY 2""", "v_products", "v_review_log", extra=_CLEAN_CTES))
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = clean.reject_counts(clean.assess_products(R.raw_products(spark, sf_dir)), "products")
+    r = clean.reject_counts(clean.assess_reviews(R.raw_reviews(spark, sf_dir)), "reviews")
+    return p.unionByName(r)
+
+
+@register("clean_first_wins", with_views(f"""
+SELECT {_REVIEW_OUT_SQL} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id
+      ORDER BY _load_seq1, _load_seq2, _load_seq3, _load_seq4) AS rn
+  FROM a_reviews WHERE reject_reason IS NULL
+    AND product_id IN (SELECT product_id FROM a_products WHERE reject_reason IS NULL)) t
+WHERE rn = 1""", "v_products", "v_review_log", extra=_CLEAN_CTES))
+def clean_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole initial load: clean, quarantine, FK semi join, first row wins."""
+    products = clean.accepted(clean.assess_products(R.raw_products(spark, sf_dir)))
+    reviews = clean.accepted(clean.assess_reviews(R.raw_reviews(spark, sf_dir)))
+    kept, _ = load.split_by_reference(reviews, products, "product_id")
+    order = ["_load_seq1", "_load_seq2", "_load_seq3", "_load_seq4"]
+    return load.first_wins(kept, ["review_id"], order).select(*REVIEW_COLS)
+
+
+# ------------------------------------------------------- marts
+_TOP_VENDORS_SQL = """
+SELECT p.vendor_id, arg_min(p.vendor_name, p.product_id) AS vendor_name,
+       arg_min(p.vendor_owner_city, p.product_id) AS vendor_owner_city,
+       arg_min(p.vendor_province_id, p.product_id) AS vendor_province_id,
+       CAST(SUM(p.sales_count_week) AS BIGINT) AS weekly_sales,
+       CAST(SUM(p.rating_average) AS DOUBLE) / COUNT(p.rating_average) AS rating_average,
+       CAST(COALESCE(MAX(rc.n), 0) AS BIGINT) AS total_reviews
+FROM s_products p
+LEFT JOIN (SELECT pp.vendor_id, COUNT(*) AS n FROM s_reviews r JOIN s_products pp
+           ON pp.product_id = r.product_id GROUP BY pp.vendor_id) rc ON rc.vendor_id = p.vendor_id
+GROUP BY p.vendor_id"""
+
+
+def _top_vendors(spark, sf_dir):
+    return marts.build_top_vendors(_served_products(spark, sf_dir), _served_reviews(spark, sf_dir))
+
+
+@register("dm_top_vendors", with_views("SELECT * FROM dm1", "v_reviews", "v_products",
+                                       extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
+def dm_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _top_vendors(spark, sf_dir).drop("computed_at")
+
+
+@register("dm_top_vendors_read", with_views(
+    "SELECT vendor_id, vendor_name, weekly_sales, rating_average FROM dm1 "
+    "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
+    extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
+def dm_top_vendors_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.read_top_vendors(_top_vendors(spark, sf_dir))
+
+
+@register("dm_free_shipping", with_views(
+    "SELECT product_id, vendor_id, preparation_days, is_free_shipping, "
+    "CAST(rating_average AS DOUBLE) AS rating_average, sales_count_week FROM s_products",
+    "v_products", extra=_SERVED[:1]))
+def dm_free_shipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dec_to_double(marts.build_free_shipping(_served_products(spark, sf_dir)).drop("computed_at"))
+
+
+@register("dm_free_shipping_read", with_views("""
+SELECT preparation_days, is_free_shipping,
+       CAST(SUM(rating_average) AS DOUBLE) / COUNT(rating_average) AS avg_rating,
+       CAST(SUM(sales_count_week) AS BIGINT) AS total_sales
+FROM s_products GROUP BY 1, 2 ORDER BY 1, 2""", "v_products", extra=_SERVED[:1]))
+def dm_free_shipping_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.read_free_shipping(marts.build_free_shipping(_served_products(spark, sf_dir)))
+
+
+_WINDOW_SQL = f"r.created_at >= CAST(DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AS TIMESTAMP)"
+_TRENDING_CTES = (
+    ("dm3_rows", f"""
+SELECT p.category_id, p.category_title, p.product_id, p.sales_count_week,
+       CAST(date_trunc('month', r.created_at) AS DATE) AS month_start
+FROM s_products p JOIN s_reviews r ON r.product_id = p.product_id WHERE {_WINDOW_SQL}"""),
+    ("dm3", """
+SELECT a.category_id, a.category_title, a.monthly_reviews, a.weekly_sales,
+       b.category_weekly_sales, a.month_start
+FROM (SELECT category_id, month_start, arg_min(category_title, product_id) AS category_title,
+             COUNT(*) AS monthly_reviews, CAST(SUM(sales_count_week) AS BIGINT) AS weekly_sales
+      FROM dm3_rows GROUP BY category_id, month_start) a
+JOIN (SELECT category_id, month_start, CAST(SUM(sales_count_week) AS BIGINT) AS category_weekly_sales
+      FROM (SELECT DISTINCT category_id, month_start, product_id, sales_count_week FROM dm3_rows) d
+      GROUP BY category_id, month_start) b
+  ON a.category_id = b.category_id AND a.month_start = b.month_start"""),
+)
+
+
+def _trending(spark, sf_dir):
+    return marts.build_trending(_served_products(spark, sf_dir), _served_reviews(spark, sf_dir),
+                                AS_OF, WINDOW_DAYS)
+
+
+@register("dm_trending", with_views("SELECT * FROM dm3", "v_reviews", "v_products",
+                                    extra=_SERVED + _TRENDING_CTES))
+def dm_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trending(spark, sf_dir).drop("computed_at")
+
+
+@register("dm_trending_read", with_views(
+    "SELECT category_id, category_title, monthly_reviews, weekly_sales, month_start FROM dm3 "
+    "ORDER BY monthly_reviews DESC, category_id, month_start LIMIT 10", "v_reviews", "v_products",
+    extra=_SERVED + _TRENDING_CTES))
+def dm_trending_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.read_trending(_trending(spark, sf_dir))
+
+
+_ENGAGEMENT_SQL = """
+SELECT review_id, star, has_attachment, CAST(like_count AS BIGINT) AS like_count,
+       CAST(strlen(description) AS INTEGER) AS description_length, CAST(created_at AS DATE) AS created_day
+FROM s_reviews"""
+
+
+def _engagement(spark, sf_dir):
+    return marts.build_engagement(_served_reviews(spark, sf_dir))
+
+
+@register("dm_engagement", with_views("SELECT * FROM dm4", "v_reviews", "v_products",
+                                      extra=_SERVED + (("dm4", _ENGAGEMENT_SQL),)))
+def dm_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _engagement(spark, sf_dir).drop("computed_at")
+
+
+@register("dm_engagement_read", with_views("""
+SELECT has_attachment, CAST(SUM(like_count) AS DOUBLE) / COUNT(like_count) AS avg_likes,
+       COUNT(*) AS review_count FROM dm4 GROUP BY 1 ORDER BY 1""", "v_reviews", "v_products",
+    extra=_SERVED + (("dm4", _ENGAGEMENT_SQL),)))
+def dm_engagement_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.read_engagement(_engagement(spark, sf_dir))
+
+
+@register("sum_collapse", with_views("""
+SELECT created_day, star, has_attachment, CAST(SUM(like_count) AS BIGINT) AS like_count,
+       CAST(SUM(description_length) AS BIGINT) AS description_length, COUNT(*) AS row_count
+FROM dm4 GROUP BY 1, 2, 3""", "v_reviews", "v_products",
+    extra=_SERVED + (("dm4", _ENGAGEMENT_SQL),)))
+def sum_collapse_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sum_collapse(_engagement(spark, sf_dir), ["created_day", "star", "has_attachment"],
+                        ["like_count", "description_length"])
+
+
+@register("month_partition_counts", with_views(f"""
+SELECT created_month, COUNT(*) AS review_count, CAST(SUM(like_count) AS BIGINT) AS likes
+FROM s_reviews
+WHERE created_at >= CAST(DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AS TIMESTAMP)
+  AND created_at < CAST(DATE '{AS_OF}' + INTERVAL 1 DAY AS TIMESTAMP)
+GROUP BY 1""", "v_reviews", "v_products", extra=_SERVED))
+def month_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + C11: write the month-partitioned fact, read one window back with pruning."""
+    path = new_scratch_dir(spark, "fact-reviews")
+    write_fact_by_month(_served_reviews(spark, sf_dir), path, mode="overwrite")
+    since = dt.date.fromisoformat(AS_OF) - dt.timedelta(days=WINDOW_DAYS)
+    fact = read_fact(spark, path, since=since, until=AS_OF)
+    return (fact.groupBy("created_month")
+            .agg(F.count(F.lit(1)).alias("review_count"), F.sum("like_count").cast("bigint").alias("likes")))
+
+
+# ------------------------------------------------------- change data
+_MIRROR_SQL = f"SELECT * FROM v_audit WHERE changed_at < TIMESTAMP '{MIRROR_CUTOFF}'"
+
+
+def _mirror(spark, sf_dir):
+    log = V.v_audit(spark, sf_dir)
+    return cdc.mirror_rows(log.filter(F.col("changed_at") < F.lit(MIRROR_CUTOFF).cast("timestamp_ntz")), 0)
+
+
+@register("cdc_pending", with_views(f"""
+SELECT audit_id, table_name, operation, record_id, changed_at FROM v_audit a
+WHERE NOT EXISTS (SELECT 1 FROM mirror m WHERE m.audit_id = a.audit_id)
+ORDER BY audit_id LIMIT {BATCH_SIZE}""", "v_audit", extra=(("mirror", _MIRROR_SQL),)))
+def cdc_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    todo = cdc.pending(V.v_audit(spark, sf_dir), _mirror(spark, sf_dir), BATCH_SIZE)
+    return todo.select("audit_id", "table_name", "operation", "record_id", "changed_at")
+
+
+_STATE_SQL = """
+SELECT table_name, record_id, k, _version FROM (
+  SELECT table_name, record_id, operation, CAST(json_extract(COALESCE(new_data, old_data), '$.k') AS BIGINT) AS k,
+         audit_id AS _version,
+         ROW_NUMBER() OVER (PARTITION BY table_name, record_id ORDER BY audit_id DESC) AS rn
+  FROM v_audit WHERE operation IN {ops}) t
+WHERE rn = 1 {extra}"""
+
+_APPLY_SQL = _STATE_SQL.format(ops="('I', 'U')", extra="")
+_APPLY_DELETES_SQL = _STATE_SQL.format(ops="('I', 'U', 'D')", extra="AND operation <> 'D'")
+
+
+@register("cdc_apply", with_views(_APPLY_SQL, "v_audit"))
+def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = cdc.state_versions(V.v_audit(spark, sf_dir), CHANGE_PAYLOAD)
+    return cdc.current_state(versions).select("table_name", "record_id", "k", "_version")
+
+
+@register("cdc_apply_deletes", with_views(_APPLY_DELETES_SQL, "v_audit"))
+def cdc_apply_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = cdc.state_versions(V.v_audit(spark, sf_dir), CHANGE_PAYLOAD, keep_deletes=True)
+    return cdc.current_state(versions, apply_deletes=True).select("table_name", "record_id", "k", "_version")
+
+
+@register("cdc_mirror", with_views(
+    "SELECT audit_id, table_name, operation, record_id, changed_at FROM v_audit", "v_audit"))
+def cdc_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.mirror_rows(V.v_audit(spark, sf_dir), 0).drop("loaded_at", "batch_id")
+
+
+@register("cdc_cursor", with_views(
+    "SELECT COALESCE(MAX(audit_id), 0) AS last_audit_id FROM mirror", "v_audit",
+    extra=(("mirror", _MIRROR_SQL),)))
+def cdc_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.cursor(_mirror(spark, sf_dir))
+
+
+_OLD_SNAPSHOT_SQL = f"""
+SELECT {REVIEW_COLS_SQL} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY review_id ORDER BY {LOG_ORDER_DESC_SQL}) AS rn
+  FROM v_review_log WHERE updated_at < TIMESTAMP '{SNAPSHOT_CUTOFF}') t WHERE rn = 1"""
+
+
+@register("cdc_snapshot_diff", with_views("""
+SELECT CASE WHEN o.review_id IS NULL THEN 'I' WHEN n.review_id IS NULL THEN 'D' ELSE 'U' END AS operation,
+       COALESCE(n.review_id, o.review_id) AS record_id,
+       o.updated_at AS old_updated_at, n.updated_at AS new_updated_at,
+       o.like_count AS old_like_count, n.like_count AS new_like_count
+FROM old_snap o FULL OUTER JOIN v_reviews n ON o.review_id = n.review_id
+WHERE o.review_id IS NULL OR n.review_id IS NULL
+   OR NOT (o.product_id IS NOT DISTINCT FROM n.product_id AND o.user_id IS NOT DISTINCT FROM n.user_id
+       AND o.star IS NOT DISTINCT FROM n.star AND o.description IS NOT DISTINCT FROM n.description
+       AND o.like_count IS NOT DISTINCT FROM n.like_count AND o.dislike_count IS NOT DISTINCT FROM n.dislike_count
+       AND o.attachments IS NOT DISTINCT FROM n.attachments AND o.is_public IS NOT DISTINCT FROM n.is_public
+       AND o.is_post IS NOT DISTINCT FROM n.is_post AND o.created_at IS NOT DISTINCT FROM n.created_at
+       AND o.updated_at IS NOT DISTINCT FROM n.updated_at)""",
+    "v_reviews", extra=(("old_snap", _OLD_SNAPSHOT_SQL),)))
+def cdc_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = V.v_review_log(spark, sf_dir)
+    old = latest_per_key(log.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
+                         ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+    new = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    diff = cdc.snapshot_diff(old, new, ["review_id"], "reviews")
+    ts = T.StructType([T.StructField("updated_at", T.TimestampNTZType()),
+                       T.StructField("like_count", T.IntegerType())])
+    o = F.from_json("old_data", ts, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+    n = F.from_json("new_data", ts, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
+    return diff.select("operation", "record_id",
+                       o.getField("updated_at").alias("old_updated_at"),
+                       n.getField("updated_at").alias("new_updated_at"),
+                       o.getField("like_count").alias("old_like_count"),
+                       n.getField("like_count").alias("new_like_count"))
+
+
+@register("stream_apply", with_views(_APPLY_SQL, "v_audit"))
+def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1-I6 end to end: the log arrives as files, a stream applies them batch by batch."""
+    base = new_scratch_dir(spark, "change-stream")
+    paths = StreamPaths(source=f"{base}/incoming", versions=f"{base}/versions",
+                        mirror=f"{base}/mirror", checkpoint=f"{base}/checkpoint")
+    log = V.v_audit(spark, sf_dir).select(*AUDIT_LOG.names)
+    # Four export files, each a range of audit ids; the stream reads them in
+    # whatever order they are listed -- versions are keyed by audit_id.
+    log.repartitionByRange(4, "audit_id").write.mode("overwrite").parquet(paths.source)
+    run_change_stream(spark, paths, CHANGE_PAYLOAD, max_files_per_trigger=1)
+    versions = spark.read.parquet(paths.versions).drop("batch_id")
+    return cdc.current_state(versions).select("table_name", "record_id", "k", "_version")
+
+
+# ------------------------------------------------------- Q10 (K1, K8)
+NEW_REVIEW = {
+    "review_id": "new_review_001", "product_id": PRODUCT_ID, "user_id": 15127771, "star": 5,
+    "description": "great product", "is_public": True,
+    "created_at": dt.datetime(2001, 8, 2), "updated_at": dt.datetime(2001, 8, 2),
+}
+
+
+@register("q10_append_visible", with_views(f"""
+SELECT review_id, product_id, user_id, star, description, created_at FROM (
+  SELECT review_id, product_id, user_id, star, description, is_public, created_at FROM v_reviews
+  UNION ALL
+  SELECT 'new_review_001', {PRODUCT_ID}, 15127771, CAST(5 AS SMALLINT), 'great product', TRUE,
+         TIMESTAMP '2001-08-02 00:00:00') t
+WHERE product_id = {PRODUCT_ID} AND is_public
+ORDER BY created_at DESC NULLS LAST, review_id LIMIT 10""", "v_reviews"))
+def q10_append_visible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    current = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in current.schema.fields])
+    row = tuple(NEW_REVIEW.get(f.name) for f in schema.fields)
+    new = spark.createDataFrame([row], schema)
+    after = load.insert_or_ignore(new, current, ["review_id"], ["review_id"])
+    return A.latest_public(after, PRODUCT_ID)

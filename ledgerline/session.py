@@ -24,6 +24,7 @@ BASE_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
