@@ -19,6 +19,9 @@ TRUE_SPELLINGS = ("true", "1", "yes", "t")
 # Spark-only forms ("1.5d", "1f") and the inf/nan spellings.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
+# The same two forms for text whose surrounding whitespace is already gone.
+PLAIN_NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+PLAIN_INTEGER_PATTERN = r"^[+-]?\d+$"
 
 
 def _c(col: Column | str) -> Column:
@@ -30,10 +33,14 @@ def empty_to_null(col: Column | str) -> Column:
     return F.nullif(_c(col), F.lit(""))
 
 
-def _strip(c: Column) -> Column:
+def strip_text(c: Column) -> Column:
+    """Remove leading and trailing whitespace (tabs and newlines too, unlike ``trim``)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+_strip = strip_text
+
+
 def parse_bool(col: Column | str) -> Column:
     """NULL/'' -> NULL; a true spelling -> true; anything else -> false."""
     c = _c(col)
@@ -41,37 +48,41 @@ def parse_bool(col: Column | str) -> Column:
              .otherwise(F.lower(_strip(c)).isin(*TRUE_SPELLINGS)))
 
 
-def _number_to_long(c: Column) -> Column:
-    s = _strip(c)
-    exact = F.when(c.rlike(INTEGER_PATTERN), s.try_cast("bigint"))
+def _number_to_long(c: Column, stripped: bool) -> Column:
+    s = c if stripped else _strip(c)
+    int_re, num_re = (PLAIN_INTEGER_PATTERN, PLAIN_NUMBER_PATTERN) if stripped else (INTEGER_PATTERN, NUMBER_PATTERN)
+    exact = F.when(c.rlike(int_re), s.try_cast("bigint"))
     # Through double like a float parser; try_cast truncates toward zero and
     # gives NULL beyond the long range.
-    via_double = F.when(c.rlike(NUMBER_PATTERN), s.try_cast("double").try_cast("bigint"))
+    via_double = F.when(c.rlike(num_re), s.try_cast("double").try_cast("bigint"))
     return F.coalesce(exact, via_double)
 
 
-def parse_bigint(col: Column | str) -> Column:
+def parse_bigint(col: Column | str, stripped: bool = False) -> Column:
     """P5: integer text, or a decimal number truncated toward zero; junk -> NULL.
 
     Integral text is parsed exactly, so ids above 2**53 keep every digit.
+    ``stripped`` says the caller already removed surrounding whitespace.
     """
-    return _number_to_long(_c(col))
+    return _number_to_long(_c(col), stripped)
 
 
-def parse_int(col: Column | str) -> Column:
+def parse_int(col: Column | str, stripped: bool = False) -> Column:
     """As ``parse_bigint``, NULL when outside the 32-bit range."""
-    return _number_to_long(_c(col)).try_cast("int")
+    return _number_to_long(_c(col), stripped).try_cast("int")
 
 
-def parse_smallint(col: Column | str) -> Column:
-    return _number_to_long(_c(col)).try_cast("smallint")
+def parse_smallint(col: Column | str, stripped: bool = False) -> Column:
+    return _number_to_long(_c(col), stripped).try_cast("smallint")
 
 
-def parse_decimal(col: Column | str, precision: int = 4, scale: int = 2) -> Column:
+def parse_decimal(col: Column | str, precision: int = 4, scale: int = 2,
+                  stripped: bool = False) -> Column:
     """Number text rounded half-up to ``scale``; junk or overflow -> NULL."""
     c = _c(col)
-    return F.when(c.rlike(NUMBER_PATTERN),
-                  _strip(c).try_cast("double").try_cast(f"decimal({precision},{scale})"))
+    s = c if stripped else _strip(c)
+    return F.when(c.rlike(PLAIN_NUMBER_PATTERN if stripped else NUMBER_PATTERN),
+                  s.try_cast("double").try_cast(f"decimal({precision},{scale})"))
 
 
 def parse_ts(col: Column | str) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CLEAN_PRODUCTS, CLEAN_REVIEWS
+from ..schemas import CLEAN_REVIEWS, PRODUCT_IMAGE
 from .joins import drop_matching
 from .publish import publish_products, publish_reviews
 from .versions import latest_per_key
@@ -89,7 +89,7 @@ def current_state(versions: DataFrame, keys: Sequence[str] = STATE_KEYS,
 def product_versions(log: DataFrame) -> DataFrame:
     """P18 + P9: product I/U changes -> dim_products version rows."""
     rows = decode(log.filter((F.col("table_name") == "products") & F.col("operation").isin(*UPSERTS)),
-                  CLEAN_PRODUCTS)
+                  PRODUCT_IMAGE)
     flat = rows.select("audit_id", "record_id", "data.*")
     flat = flat.withColumn("product_id", F.coalesce(F.col("product_id"), F.col("record_id").try_cast("bigint")))
     return publish_products(flat, version="audit_id")

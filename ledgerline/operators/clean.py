@@ -18,30 +18,22 @@ from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS, TEXT_LIMITS
 REJECT = "reject_reason"
 
 
-def _typed(raw: Column, kind: str) -> Column:
-    if kind == "bigint":
-        return P.parse_bigint(raw)
-    if kind == "int":
-        return P.parse_int(raw)
-    if kind == "int0":
-        return F.coalesce(P.parse_int(raw), F.lit(0))
-    if kind == "smallint":
-        return P.parse_bigint(raw)   # range checked by the star rule
+_NUMERIC = ("bigint", "int", "int0", "smallint", "decimal")
+
+
+def _typed(s: Column, kind: str) -> Column:
+    """Parse stripped text ``s`` by column kind (no default applied)."""
+    if kind in ("bigint", "smallint"):
+        return P.parse_bigint(s, stripped=True)
+    if kind in ("int", "int0"):
+        return P.parse_int(s, stripped=True)
     if kind == "decimal":
-        return P.parse_decimal(raw, 4, 2)
+        return P.parse_decimal(s, 4, 2, stripped=True)
     if kind == "bool":
-        return P.parse_bool(raw)
+        return P.parse_bool(s)
     if kind == "ts":
-        return P.parse_ts(raw)
-    return P.empty_to_null(raw)
-
-
-def _out_of_range(spec, raw_prefix: str) -> Column:
-    """A raw value that is a well-formed number its column cannot hold."""
-    checks = [P.overflowed(F.col(raw_prefix + src),
-                           _typed(F.col(raw_prefix + src), "int" if kind == "int0" else kind))
-              for src, dst, kind in spec if kind in ("int", "int0", "decimal", "bigint")]
-    return _any(checks)
+        return P.parse_ts(s)
+    return P.empty_to_null(s)
 
 
 def _any(checks: list[Column]) -> Column:
@@ -52,32 +44,52 @@ def _any(checks: list[Column]) -> Column:
     return out
 
 
-def _too_long(spec) -> Column:
-    return _any([F.length(F.col(dst)) > TEXT_LIMITS[dst] for _, dst, _ in spec if dst in TEXT_LIMITS])
-
-
 def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
-    prefix = "__raw_"
-    keep = [c for c in raw.columns if c.startswith("_") and c not in {s for s, _, _ in spec}]
-    staged = raw.select(*[F.col(f"`{src}`").cast("string").alias(prefix + src) for src, _, _ in spec],
-                        *keep)
-    typed = staged.select(
-        "*", *[_typed(F.col(prefix + src), kind).alias(dst) for src, dst, kind in spec])
+    """Three narrow projections: strip, parse, judge.
+
+    Each parsed value is computed once and the rules refer to it by name.
+    Keeping every expression small matters: one giant generated method is
+    too large for the JIT and runs interpreted, several times slower.
+    """
+    spec_src = {s for s, _, _ in spec}
+    keep = [c for c in raw.columns if c.startswith("_") and c not in spec_src]
+    # 1. strip surrounding whitespace of the parsed fields once
+    stripped = raw.select(
+        *[(P.strip_text(F.col(f"`{src}`")) if kind in _NUMERIC else F.col(f"`{src}`"))
+          .cast("string").alias(f"__s_{src}") for src, _, kind in spec], *keep)
+    # 2. parse; numbers also get a "well-formed" flag for the range rule
+    parsed = stripped.select(
+        *[_typed(F.col(f"__s_{src}"), kind).alias(dst) for src, dst, kind in spec],
+        *[F.col(f"__s_{src}").rlike(P.PLAIN_NUMBER_PATTERN).alias(f"__num_{dst}")
+          for src, dst, kind in spec if kind in ("bigint", "int", "int0", "decimal")],
+        *keep)
+    # 3. judge; defaults apply only after the range rule has seen the NULL
     verdict = None
-    for cond, reason in reasons(prefix):
+    for cond, reason in reasons(spec):
         verdict = (F.when(cond, F.lit(reason)) if verdict is None
                    else verdict.when(cond, F.lit(reason)))
-    out_cols = [dst for _, dst, _ in spec]
-    return typed.select(*out_cols, *keep, verdict.alias(REJECT))
+    outs = [F.coalesce(F.col(dst), F.lit(0)).alias(dst) if kind == "int0" else F.col(dst)
+            for _, dst, kind in spec]
+    return parsed.select(*outs, *keep, verdict.alias(REJECT))
+
+
+def _out_of_range(spec) -> Column:
+    """A well-formed number its column cannot hold."""
+    return _any([F.col(f"__num_{dst}") & F.col(dst).isNull()
+                 for _, dst, kind in spec if kind in ("bigint", "int", "int0", "decimal")])
+
+
+def _too_long(spec) -> Column:
+    return _any([F.length(F.col(dst)) > TEXT_LIMITS[dst] for _, dst, _ in spec if dst in TEXT_LIMITS])
 
 
 def assess_products(raw: DataFrame) -> DataFrame:
     """P1 + C12/C14 over raw product rows (CSV header names, all text)."""
-    def reasons(prefix):
+    def reasons(spec):
         return [
             (F.col("product_id").isNull(), "missing_key"),
-            (_out_of_range(PRODUCT_CSV_COLUMNS, prefix), "out_of_range"),
-            (_too_long(PRODUCT_CSV_COLUMNS), "too_long"),
+            (_out_of_range(spec), "out_of_range"),
+            (_too_long(spec), "too_long"),
         ]
     return _assess(raw, PRODUCT_CSV_COLUMNS, reasons)
 
@@ -88,14 +100,14 @@ def assess_reviews(raw: DataFrame) -> DataFrame:
     A review needs an id and a non-zero product id (the loader treats 0 like
     a missing id); a parsed star must be 1..5 (unparseable text is NULL).
     """
-    def reasons(prefix):
+    def reasons(spec):
         star = F.col("star")
         return [
             (F.col("review_id").isNull(), "missing_key"),
             (F.coalesce(F.col("product_id"), F.lit(0)) == 0, "missing_product"),
             (star.isNotNull() & ~star.between(1, 5), "bad_star"),
-            (_out_of_range(REVIEW_CSV_COLUMNS, prefix), "out_of_range"),
-            (_too_long(REVIEW_CSV_COLUMNS), "too_long"),
+            (_out_of_range(spec), "out_of_range"),
+            (_too_long(spec), "too_long"),
         ]
     out = _assess(raw, REVIEW_CSV_COLUMNS, reasons)
     return out.withColumn("star", F.col("star").try_cast("smallint"))

@@ -21,7 +21,7 @@ from ..operators.publish import publish_products, publish_reviews
 from ..operators.versions import compact, latest_per_key, sum_collapse
 from ..schemas import AUDIT_LOG
 from ..session import new_scratch_dir
-from ..sinks.parquet import write_fact_by_month
+from ..sinks.parquet import stage, write_fact_by_month
 from ..sources import adapters as V
 from ..sources import raw as R
 from ..sources.serve import read_fact
@@ -185,6 +185,15 @@ def _raw_reviews_sql() -> str:
     return RAW_REVIEWS_SQL
 
 
+def _assessed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw products parsed and judged in one pass, landed once (see ``sinks.stage``)."""
+    return stage(clean.assess_products(R.raw_products(spark, sf_dir)), "assessed-products")
+
+
+def _assessed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(clean.assess_reviews(R.raw_reviews(spark, sf_dir)), "assessed-reviews")
+
+
 _CLEAN_CTES = (("raw_products", _raw_products_sql()),
                ("raw_reviews", _raw_reviews_sql()),
                ("a_products", Q.assessed_products("raw_products")),
@@ -196,7 +205,7 @@ _CLEAN_CTES = (("raw_products", _raw_products_sql()),
     "CAST(vendor_score AS DOUBLE) AS vendor_score) FROM a_products WHERE reject_reason IS NULL",
     "v_products", "v_review_log", extra=_CLEAN_CTES))
 def clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dec_to_double(clean.accepted(clean.assess_products(R.raw_products(spark, sf_dir))))
+    return _dec_to_double(clean.accepted(_assessed_products(spark, sf_dir)))
 
 
 _REVIEW_OUT_SQL = ", ".join("CAST(star AS SMALLINT) AS star" if c == "star" else c for c in REVIEW_COLS)
@@ -206,7 +215,7 @@ _REVIEW_OUT_SQL = ", ".join("CAST(star AS SMALLINT) AS star" if c == "star" else
     f"SELECT {_REVIEW_OUT_SQL} FROM a_reviews WHERE reject_reason IS NULL",
     "v_products", "v_review_log", extra=_CLEAN_CTES))
 def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.accepted(clean.assess_reviews(R.raw_reviews(spark, sf_dir))).select(*REVIEW_COLS)
+    return clean.accepted(_assessed_reviews(spark, sf_dir)).select(*REVIEW_COLS)
 
 
 @register("reject_counts", with_views("""
@@ -216,8 +225,8 @@ UNION ALL
 SELECT 'reviews' AS table_name, COALESCE(reject_reason, 'loaded') AS outcome, COUNT(*) AS row_count
 FROM a_reviews GROUP BY 2""", "v_products", "v_review_log", extra=_CLEAN_CTES))
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = clean.reject_counts(clean.assess_products(R.raw_products(spark, sf_dir)), "products")
-    r = clean.reject_counts(clean.assess_reviews(R.raw_reviews(spark, sf_dir)), "reviews")
+    p = clean.reject_counts(_assessed_products(spark, sf_dir), "products")
+    r = clean.reject_counts(_assessed_reviews(spark, sf_dir), "reviews")
     return p.unionByName(r)
 
 
@@ -230,8 +239,8 @@ SELECT {_REVIEW_OUT_SQL} FROM (
 WHERE rn = 1""", "v_products", "v_review_log", extra=_CLEAN_CTES))
 def clean_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole initial load: clean, quarantine, FK semi join, first row wins."""
-    products = clean.accepted(clean.assess_products(R.raw_products(spark, sf_dir)))
-    reviews = clean.accepted(clean.assess_reviews(R.raw_reviews(spark, sf_dir)))
+    products = clean.accepted(_assessed_products(spark, sf_dir))
+    reviews = clean.accepted(_assessed_reviews(spark, sf_dir))
     kept, _ = load.split_by_reference(reviews, products, "product_id")
     order = ["_load_seq1", "_load_seq2", "_load_seq3", "_load_seq4"]
     return load.first_wins(kept, ["review_id"], order).select(*REVIEW_COLS)

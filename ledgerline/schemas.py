@@ -78,6 +78,11 @@ _KIND_TYPE = {"bigint": L, "int": I, "int0": I, "smallint": SH, "decimal": DEC42
 CLEAN_PRODUCTS = _struct(*[(n, _KIND_TYPE[k]) for _, n, k in PRODUCT_CSV_COLUMNS])
 CLEAN_REVIEWS = _struct(*[(n, _KIND_TYPE[k]) for _, n, k in REVIEW_CSV_COLUMNS])
 
+# The row-store products table also has load-time created_at/updated_at
+# columns (not in the export); change images carry them.
+PRODUCT_IMAGE = _struct(*[(f.name, f.dataType) for f in CLEAN_PRODUCTS.fields],
+                        ("created_at", TS), ("updated_at", TS))
+
 DIM_PRODUCTS = _struct(
     ("product_id", L), ("name", S), ("price", L), ("stock", I), ("sales_count_week", I),
     ("rating_average", DEC42), ("rating_count", I), ("preparation_days", I),

@@ -65,6 +65,21 @@ def publish_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Land ``df`` as Parquet in a fresh folder of the shared scratch root; return a read of it.
+
+    Cuts the lineage (a lost executor later recomputes from these files, not
+    from the raw input) and lets several outputs -- accepted rows, rejects,
+    counters -- come from one pass over the input.  It also stops Catalyst
+    from pushing a filter on a derived column back into the projection that
+    derives it, which would compute every parse twice.
+    """
+    from ..session import new_scratch_dir
+    path = new_scratch_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     r = spark.read
     if schema is not None:
