@@ -16,12 +16,16 @@ TRUE_SPELLINGS = ("true", "1", "yes", "t")
 
 # A plain decimal number with optional sign, fraction and exponent -- the
 # forms a float parser and Spark's double cast both accept.  It keeps out
-# Spark-only forms ("1.5d", "1f") and the inf/nan spellings.
+# Spark-only forms ("1.5d", "1f") and the inf/nan spellings.  (The Spark
+# code checks it without a regex, see ``is_number``; the oracle SQL uses
+# the pattern itself.)
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
-# The same two forms for text whose surrounding whitespace is already gone.
-PLAIN_NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-PLAIN_INTEGER_PATTERN = r"^[+-]?\d+$"
+
+# The ASCII whitespace stripped around values, and the only
+# characters a plain number may contain.
+WHITESPACE = " \t\n\r\f\x0b"
+NUMBER_CHARS = "0123456789+-.eE" + WHITESPACE
 
 
 def _c(col: Column | str) -> Column:
@@ -33,56 +37,57 @@ def empty_to_null(col: Column | str) -> Column:
     return F.nullif(_c(col), F.lit(""))
 
 
-def strip_text(c: Column) -> Column:
-    """Remove leading and trailing whitespace (tabs and newlines too, unlike ``trim``)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
-
-
-_strip = strip_text
+def strip_text(col: Column | str) -> Column:
+    """Remove leading and trailing ASCII whitespace (tabs and newlines too)."""
+    return F.trim(_c(col), F.lit(WHITESPACE))
 
 
 def parse_bool(col: Column | str) -> Column:
     """NULL/'' -> NULL; a true spelling -> true; anything else -> false."""
     c = _c(col)
     return (F.when(c.isNull() | (c == ""), F.lit(None).cast("boolean"))
-             .otherwise(F.lower(_strip(c)).isin(*TRUE_SPELLINGS)))
+             .otherwise(F.lower(strip_text(c)).isin(*TRUE_SPELLINGS)))
 
 
-def _number_to_long(c: Column, stripped: bool) -> Column:
-    s = c if stripped else _strip(c)
-    int_re, num_re = (PLAIN_INTEGER_PATTERN, PLAIN_NUMBER_PATTERN) if stripped else (INTEGER_PATTERN, NUMBER_PATTERN)
-    exact = F.when(c.rlike(int_re), s.try_cast("bigint"))
-    # Through double like a float parser; try_cast truncates toward zero and
-    # gives NULL beyond the long range.
-    via_double = F.when(c.rlike(num_re), s.try_cast("double").try_cast("bigint"))
-    return F.coalesce(exact, via_double)
+def is_number(col: Column | str) -> Column:
+    """True for a well-formed plain number (NUMBER_PATTERN), without a regex.
 
+    Only sign, digit, point, exponent and whitespace characters may occur,
+    and the whole text must parse as a double.  With those characters the
+    double parser accepts exactly the pattern's language; the check runs on
+    Spark's own string type instead of a per-row Java regex match.
+    """
+    c = _c(col)
+    return (F.translate(c, NUMBER_CHARS, "") == "") & c.try_cast("double").isNotNull()
 
-def parse_bigint(col: Column | str, stripped: bool = False) -> Column:
-    """P5: integer text, or a decimal number truncated toward zero; junk -> NULL.
 
-    Integral text is parsed exactly, so ids above 2**53 keep every digit.
-    ``stripped`` says the caller already removed surrounding whitespace.
-    """
-    return _number_to_long(_c(col), stripped)
+def _number_to_long(c: Column) -> Column:
+    # Spark's string->bigint cast is strict (optional sign and digits, outer
+    # whitespace trimmed), so integral text is parsed exactly -- ids above
+    # 2**53 keep every digit.  Other numbers go through double like a float
+    # parser; try_cast truncates toward zero and gives NULL out of range.
+    via_double = F.when(is_number(c), c.try_cast("double").try_cast("bigint"))
+    return F.coalesce(c.try_cast("bigint"), via_double)
+
 
+def parse_bigint(col: Column | str) -> Column:
+    """P5: integer text, or a decimal number truncated toward zero; junk -> NULL."""
+    return _number_to_long(_c(col))
 
-def parse_int(col: Column | str, stripped: bool = False) -> Column:
+
+def parse_int(col: Column | str) -> Column:
     """As ``parse_bigint``, NULL when outside the 32-bit range."""
-    return _number_to_long(_c(col), stripped).try_cast("int")
+    return _number_to_long(_c(col)).try_cast("int")
 
 
-def parse_smallint(col: Column | str, stripped: bool = False) -> Column:
-    return _number_to_long(_c(col), stripped).try_cast("smallint")
+def parse_smallint(col: Column | str) -> Column:
+    return _number_to_long(_c(col)).try_cast("smallint")
 
 
-def parse_decimal(col: Column | str, precision: int = 4, scale: int = 2,
-                  stripped: bool = False) -> Column:
+def parse_decimal(col: Column | str, precision: int = 4, scale: int = 2) -> Column:
     """Number text rounded half-up to ``scale``; junk or overflow -> NULL."""
     c = _c(col)
-    s = c if stripped else _strip(c)
-    return F.when(c.rlike(PLAIN_NUMBER_PATTERN if stripped else NUMBER_PATTERN),
-                  s.try_cast("double").try_cast(f"decimal({precision},{scale})"))
+    return F.when(is_number(c), c.try_cast("double").try_cast(f"decimal({precision},{scale})"))
 
 
 def parse_ts(col: Column | str) -> Column:
@@ -90,11 +95,9 @@ def parse_ts(col: Column | str) -> Column:
 
     Compact dates such as 20240102 and junk give NULL.
     """
-    c = _c(col)
-    return F.regexp_replace(c, "Z", "").try_cast("timestamp_ntz")
+    return F.replace(_c(col), F.lit("Z"), F.lit("")).try_cast("timestamp_ntz")
 
 
 def overflowed(raw: Column | str, parsed: Column | str) -> Column:
     """True when ``raw`` is a valid number but ``parsed`` could not hold it (C14)."""
-    r = _c(raw)
-    return r.rlike(NUMBER_PATTERN) & _c(parsed).isNull()
+    return is_number(raw) & _c(parsed).isNull()

@@ -18,17 +18,16 @@ from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS, TEXT_LIMITS
 REJECT = "reject_reason"
 
 
-_NUMERIC = ("bigint", "int", "int0", "smallint", "decimal")
 
 
 def _typed(s: Column, kind: str) -> Column:
-    """Parse stripped text ``s`` by column kind (no default applied)."""
+    """Parse raw text ``s`` by column kind (no default applied)."""
     if kind in ("bigint", "smallint"):
-        return P.parse_bigint(s, stripped=True)
+        return P.parse_bigint(s)
     if kind in ("int", "int0"):
-        return P.parse_int(s, stripped=True)
+        return P.parse_int(s)
     if kind == "decimal":
-        return P.parse_decimal(s, 4, 2, stripped=True)
+        return P.parse_decimal(s, 4, 2)
     if kind == "bool":
         return P.parse_bool(s)
     if kind == "ts":
@@ -45,7 +44,7 @@ def _any(checks: list[Column]) -> Column:
 
 
 def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
-    """Three narrow projections: strip, parse, judge.
+    """Two narrow projections: parse, then judge.
 
     Each parsed value is computed once and the rules refer to it by name.
     Keeping every expression small matters: one giant generated method is
@@ -53,17 +52,14 @@ def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
     """
     spec_src = {s for s, _, _ in spec}
     keep = [c for c in raw.columns if c.startswith("_") and c not in spec_src]
-    # 1. strip surrounding whitespace of the parsed fields once
-    stripped = raw.select(
-        *[(P.strip_text(F.col(f"`{src}`")) if kind in _NUMERIC else F.col(f"`{src}`"))
-          .cast("string").alias(f"__s_{src}") for src, _, kind in spec], *keep)
-    # 2. parse; numbers also get a "well-formed" flag for the range rule
-    parsed = stripped.select(
-        *[_typed(F.col(f"__s_{src}"), kind).alias(dst) for src, dst, kind in spec],
-        *[F.col(f"__s_{src}").rlike(P.PLAIN_NUMBER_PATTERN).alias(f"__num_{dst}")
+    src_col = {src: F.col(f"`{src}`").cast("string") for src, _, _ in spec}
+    # 1. parse; numbers also get a "well-formed" flag for the range rule
+    parsed = raw.select(
+        *[_typed(src_col[src], kind).alias(dst) for src, dst, kind in spec],
+        *[P.is_number(src_col[src]).alias(f"__num_{dst}")
           for src, dst, kind in spec if kind in ("bigint", "int", "int0", "decimal")],
         *keep)
-    # 3. judge; defaults apply only after the range rule has seen the NULL
+    # 2. judge; defaults apply only after the range rule has seen the NULL
     verdict = None
     for cond, reason in reasons(spec):
         verdict = (F.when(cond, F.lit(reason)) if verdict is None
