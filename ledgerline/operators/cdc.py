@@ -104,6 +104,21 @@ def review_versions(log: DataFrame, products: DataFrame | None) -> DataFrame:
     return publish_reviews(flat, products, version="audit_id")
 
 
+def diff_to_log(diff: DataFrame, changed_at: str | Column | None = None,
+                first_id: int = 1) -> DataFrame:
+    """Give a snapshot diff the change-log shape (audit ids, change time).
+
+    Each key occurs once in a diff, so its ids only need to be unique and
+    above the versions already published (0 for a bootstrap snapshot); they
+    need not be stable across recomputation.
+    """
+    ts = (F.current_timestamp() if changed_at is None
+          else changed_at if isinstance(changed_at, Column) else F.lit(changed_at))
+    return diff.select((F.monotonically_increasing_id() + F.lit(first_id)).alias("audit_id"),
+                       "table_name", "operation", "record_id", "old_data", "new_data",
+                       ts.cast("timestamp_ntz").alias("changed_at"))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
                   table_name: str, emit_deletes: bool = True) -> DataFrame:
     """Derive a change log by comparing two snapshots of a table.

@@ -513,3 +513,75 @@ def q10_append_visible(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = spark.createDataFrame([row], schema)
     after = load.insert_or_ignore(new, current, ["review_id"], ["review_id"])
     return A.latest_public(after, PRODUCT_ID)
+
+
+# ------------------------------------------------------- full-image round trip (I7 -> P17/P18/P11 -> D3)
+@register("cdc_snapshot_apply", with_views(
+    "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
+def cdc_snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish an old snapshot, derive the change log to the new one, apply it.
+
+    The change log carries full JSON row images (as a trigger would write),
+    so this runs the real decode -> route -> publish path; the current view
+    afterwards must equal publishing the new snapshot directly.
+    """
+    log_rows = V.v_review_log(spark, sf_dir)
+    old = latest_per_key(log_rows.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
+                         ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+    new = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    products = V.v_products(spark, sf_dir)
+    changes = cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
+                              changed_at=SNAPSHOT_CUTOFF)
+    base = publish_reviews(old, products, version=0)
+    versions = base.unionByName(cdc.review_versions(changes, products))
+    return latest_per_key(versions, ["review_id"], ["_version"]).drop("_version")
+
+
+# ------------------------------------------------------- change-log quality
+@register("cdc_log_check", with_views("""
+SELECT table_name, operation,
+       CASE WHEN table_name IS NULL OR record_id IS NULL THEN 'missing_key'
+            WHEN operation IS NULL OR operation NOT IN ('I', 'U', 'D') THEN 'bad_operation'
+            ELSE 'valid' END AS outcome,
+       COUNT(*) AS row_count
+FROM v_audit GROUP BY 1, 2, 3""", "v_audit"))
+def cdc_log_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = V.v_audit(spark, sf_dir)
+    return (log.groupBy("table_name", "operation",
+                        F.coalesce(cdc.log_problems(log), F.lit("valid")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("row_count")))
+
+
+# ------------------------------------------------------- the whole serve pipeline
+def _run_serve_pipeline(spark: SparkSession, sf_dir: str):
+    """Bootstrap from the old snapshot, stream the change log to the new one, refresh marts."""
+    from ..streaming import pipeline as SP
+    layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
+    log_rows = V.v_review_log(spark, sf_dir)
+    old = latest_per_key(log_rows.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
+                         ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+    new = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    products = V.v_products(spark, sf_dir)
+    SP.bootstrap(spark, layout, products, old, as_of=AS_OF)
+    changes = cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
+                              changed_at=SNAPSHOT_CUTOFF)
+    source = layout.path("incoming")
+    changes.repartitionByRange(3, "audit_id").write.mode("overwrite").parquet(source)
+    SP.run_pipeline_stream(spark, layout, source, as_of=AS_OF)
+    return SP, layout
+
+
+@register("stream_pipeline", with_views(
+    "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
+def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SP, layout = _run_serve_pipeline(spark, sf_dir)
+    return SP.current_reviews(spark, layout).drop("_version")
+
+
+@register("stream_pipeline_top_vendors", with_views(
+    "SELECT vendor_id, vendor_name, weekly_sales, rating_average FROM dm1 "
+    "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
+    extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
+def stream_pipeline_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SP, layout = _run_serve_pipeline(spark, sf_dir)
+    return marts.read_top_vendors(SP.read_mart(spark, layout, "dm_top_vendors"))
