@@ -201,4 +201,32 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q2_hourly_rating(spark, sf_dir)
 
 
-__all__ = ["flagship", "F"]
+
+
+# ---------------------------------------------------------------- column-store dialect of Q3/Q8
+def _served_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.publish import publish_reviews
+    return publish_reviews(V.v_reviews(spark, sf_dir), V.v_products(spark, sf_dir))
+
+
+def _served_reviews_sql() -> tuple[tuple[str, str], ...]:
+    from .sql_rules import served_reviews
+    return (("s_reviews", served_reviews("v_reviews", "v_products")),)
+
+
+@register("q3_most_liked_olap", with_views("""
+SELECT review_id, product_id, like_count, created_at
+FROM s_reviews WHERE like_count > 0
+ORDER BY like_count DESC, review_id LIMIT 20""", "v_reviews", "v_products", extra=_served_reviews_sql()))
+def q3_most_liked_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.most_liked(_served_reviews(spark, sf_dir), 20, "created_at")
+
+
+@register("q8_latest_public_olap", with_views(f"""
+SELECT review_id, product_id, user_id, star, description, created_at
+FROM s_reviews WHERE product_id = {PRODUCT_ID} AND is_public = 1
+ORDER BY created_at DESC NULLS LAST, review_id LIMIT 10""", "v_reviews", "v_products",
+    extra=_served_reviews_sql()))
+def q8_latest_public_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    served = _served_reviews(spark, sf_dir).withColumn("is_public", F.col("is_public") == 1)
+    return A.latest_public(served, PRODUCT_ID)
