@@ -55,11 +55,14 @@ def compact(log: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     pointing readers at it.  Old versions are gone from the snapshot (SCD 1).
     """
     current = latest_per_key(log, keys, order)
-    writer = current.write.mode("overwrite")
     if partition_by:
-        current = current.repartition(*partition_by)
-        writer = current.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*partition_by)
-    writer.parquet(target)
+        # Range partitioning on (partition columns, key) splits a hot
+        # partition value over several tasks; files stay sorted by key.
+        current = (current.repartitionByRange(*partition_by, *keys)
+                   .sortWithinPartitions(*partition_by, *keys))
+        current.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+    else:
+        current.write.mode("overwrite").parquet(target)
 
 
 def sum_collapse(df: DataFrame, keys: Sequence[str], sums: Sequence[str],
