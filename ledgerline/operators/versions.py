@@ -56,9 +56,9 @@ def compact(log: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     """
     current = latest_per_key(log, keys, order)
     if partition_by:
-        # Range partitioning on (partition columns, key) splits a hot
-        # partition value over several tasks; files stay sorted by key.
-        current = (current.repartitionByRange(*partition_by, *keys)
+        # Cluster by the partition columns; AQE splits a hot partition value
+        # over several tasks (rebalance), files stay sorted by key.
+        current = (current.hint("rebalance", *partition_by)
                    .sortWithinPartitions(*partition_by, *keys))
         current.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
     else:
