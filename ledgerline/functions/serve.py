@@ -43,8 +43,11 @@ def preparation_days(col: Column | str) -> Column:
 def ts_or_default(col: Column | str) -> Column:
     """P13 on a typed timestamp: NULL -> 2000-01-01 00:00, truncated to seconds."""
     c = _c(col)
-    return F.coalesce(F.date_trunc("second", c).cast("timestamp_ntz"),
-                      F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
+    # Rebuilt field by field so the cut never passes through a zoned
+    # timestamp (date_trunc would, and shift wall-clock times in DST gaps).
+    whole_seconds = F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c),
+                                         F.hour(c), F.minute(c), F.second(c))
+    return F.coalesce(whole_seconds, F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
 
 
 def ts_text_or_default(col: Column | str) -> Column:
