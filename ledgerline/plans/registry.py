@@ -45,7 +45,7 @@ def register(name: str, sql: str | None, note: str = ""):
 
 def _load_all() -> None:
     # Importing the plan modules fills REGISTRY.
-    from . import analytical, pipeline  # noqa: F401
+    from . import analytical, stages  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

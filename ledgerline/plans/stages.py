@@ -552,10 +552,10 @@ def cdc_log_check(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
-# ------------------------------------------------------- the whole serve pipeline
-def _run_serve_pipeline(spark: SparkSession, sf_dir: str):
+# ------------------------------------------------------- the whole serve side
+def _run_serving(spark: SparkSession, sf_dir: str):
     """Bootstrap from the old snapshot, stream the change log to the new one, refresh marts."""
-    from ..streaming import pipeline as SP
+    from ..streaming import serving as SP
     layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
     log_rows = V.v_review_log(spark, sf_dir)
     old = latest_per_key(log_rows.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
@@ -567,21 +567,21 @@ def _run_serve_pipeline(spark: SparkSession, sf_dir: str):
                               changed_at=SNAPSHOT_CUTOFF)
     source = layout.path("incoming")
     changes.repartitionByRange(3, "audit_id").write.mode("overwrite").parquet(source)
-    SP.run_pipeline_stream(spark, layout, source, as_of=AS_OF)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
     return SP, layout
 
 
-@register("stream_pipeline", with_views(
+@register("serve_stream_reviews", with_views(
     "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
-def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    SP, layout = _run_serve_pipeline(spark, sf_dir)
+def serve_stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SP, layout = _run_serving(spark, sf_dir)
     return SP.current_reviews(spark, layout).drop("_version")
 
 
-@register("stream_pipeline_top_vendors", with_views(
+@register("serve_stream_top_vendors", with_views(
     "SELECT vendor_id, vendor_name, weekly_sales, rating_average FROM dm1 "
     "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
-def stream_pipeline_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    SP, layout = _run_serve_pipeline(spark, sf_dir)
+def serve_stream_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    SP, layout = _run_serving(spark, sf_dir)
     return marts.read_top_vendors(SP.read_mart(spark, layout, "dm_top_vendors"))
