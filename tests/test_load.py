@@ -114,3 +114,20 @@ def test_limit_keeps_first_rows(spark, tmp_dir):
     raw = read_reviews_csv(spark, _write(tmp_dir, "reviews.csv", REVIEWS_CSV), limit=3)
     assert [r["_id"] for r in raw.collect()] == ["r1", "r2", "r3"]
     assert raw.filter(F.col("_id") == "r1").count() == 1
+
+
+def test_initial_load_job_twice(spark, tmp_dir):
+    from ledgerline.jobs import initial_load
+    p = _write(tmp_dir, "products.csv", PRODUCTS_CSV)
+    r = _write(tmp_dir, "reviews.csv", REVIEWS_CSV)
+    root = f"{tmp_dir}/clean"
+    first = initial_load(spark, p, r, root)
+    assert first["products"] == {"loaded": 4, "ignored_duplicate": 1, "missing_key": 1,
+                                 "out_of_range": 2, "too_long": 1}
+    assert first["reviews"] == {"loaded": 3, "ignored_duplicate": 1, "bad_star": 2, "missing_product": 1,
+                                "missing_key": 1, "out_of_range": 1, "orphan_product": 1}
+    again = initial_load(spark, p, r, root)
+    assert again["products"]["loaded"] == 0 and again["reviews"]["loaded"] == 0
+    assert spark.read.parquet(f"{root}/products").count() == 4
+    assert spark.read.parquet(f"{root}/reviews").count() == 3
+    assert spark.read.parquet(f"{root}/rejects_reviews").filter("reject_reason = 'orphan_product'").count() == 2
