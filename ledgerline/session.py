@@ -73,19 +73,26 @@ def scratch_root(spark: SparkSession) -> str:
     record it in the session so every later call agrees.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-        if root:
-            # getCheckpointDir adds a per-application uuid folder; use its parent
-            root = root.rsplit("/", 1)[0]
+    sc = _context(spark)
+    if not root and sc is not None and sc.getCheckpointDir():
+        # getCheckpointDir adds a per-application uuid folder; use its parent
+        root = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return None
+
+
 def new_scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused folder under the shared scratch root."""
     root = scratch_root(spark).rstrip("/")
