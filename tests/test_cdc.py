@@ -136,3 +136,20 @@ def test_latest_per_key_plans_group_limit(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert sorted((r["k"], r["v"]) for r in out.collect()) == [(k, 994 + k if 994 + k < 1000 else 987 + k) for k in range(7)]
+
+
+def test_polling_trigger_processes_new_files(spark, tmp_dir):
+    """A processing-time trigger picks up files that arrive while it runs."""
+    paths = StreamPaths(source=f"{tmp_dir}/in", versions=f"{tmp_dir}/v", mirror=f"{tmp_dir}/m",
+                        checkpoint=f"{tmp_dir}/c")
+    log = _log(spark, _rows())
+    log.filter("audit_id <= 4").write.parquet(paths.source)
+    q = run_change_stream(spark, paths, PAYLOAD, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        log.filter("audit_id > 4").write.mode("append").parquet(paths.source)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    v = spark.read.parquet(paths.versions).drop("batch_id")
+    assert _state(cdc.current_state(v)) == _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))

@@ -55,3 +55,19 @@ def test_month_pruning(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(created_month" in text
     assert df.count() > 0
     assert df.filter("created_month < '200107'").count() == 0
+
+
+def test_compact_partitioned_and_append(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from ledgerline.operators.versions import compact
+    from ledgerline.sinks.parquet import append
+    log = spark.range(1000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"),
+                                   (F.col("id") % 3).cast("string").alias("part"))
+    target = f"{tmp_dir}/compacted"
+    compact(log, ["k"], ["v"], target, partition_by=["part"])
+    got = spark.read.parquet(target)
+    assert got.count() == 50
+    assert sorted(r["v"] for r in got.collect()) == list(range(950, 1000))
+    append(got.select("k", "v"), f"{tmp_dir}/appended")
+    append(got.select("v", "k"), f"{tmp_dir}/appended")
+    assert spark.read.parquet(f"{tmp_dir}/appended").count() == 100
