@@ -26,6 +26,7 @@ INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 # characters a plain number may contain.
 WHITESPACE = " \t\n\r\f\x0b"
 NUMBER_CHARS = "0123456789+-.eE" + WHITESPACE
+INTEGER_CHARS = "0123456789+-" + WHITESPACE
 
 
 def _c(col: Column | str) -> Column:
@@ -58,7 +59,16 @@ def is_number(col: Column | str) -> Column:
     Spark's own string type instead of a per-row Java regex match.
     """
     c = _c(col)
-    return (F.translate(c, NUMBER_CHARS, "") == "") & c.try_cast("double").isNotNull()
+    return _only(c, NUMBER_CHARS) & c.try_cast("double").isNotNull()
+
+
+def _only(c: Column, chars: str) -> Column:
+    """Non-empty text made only of ``chars``.
+
+    Used as a guard before a cast: a failing try_cast costs an exception
+    inside the JVM, so malformed text should not reach it.
+    """
+    return (F.length(c) > 0) & (F.translate(c, chars, "") == "")
 
 
 def _number_to_long(c: Column) -> Column:
@@ -66,8 +76,9 @@ def _number_to_long(c: Column) -> Column:
     # whitespace trimmed), so integral text is parsed exactly -- ids above
     # 2**53 keep every digit.  Other numbers go through double like a float
     # parser; try_cast truncates toward zero and gives NULL out of range.
+    exact = F.when(_only(c, INTEGER_CHARS), c.try_cast("bigint"))
     via_double = F.when(is_number(c), c.try_cast("double").try_cast("bigint"))
-    return F.coalesce(c.try_cast("bigint"), via_double)
+    return F.coalesce(exact, via_double)
 
 
 def parse_bigint(col: Column | str) -> Column:
