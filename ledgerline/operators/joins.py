@@ -36,11 +36,15 @@ def lookup(df: DataFrame, table: DataFrame, on: str, value: str,
            default: Column | int | str | None = None, alias: str | None = None) -> DataFrame:
     """Left lookup join bringing ``value`` from ``table`` onto ``df``.
 
-    ``table`` is reduced to (key, value) first so only two columns shuffle.
+    ``table`` is reduced to one (key, value) row per key first: only two
+    columns shuffle, a duplicated key can never fan out the left side, and
+    because the side is visibly unique on the key Catalyst drops the whole
+    join from plans that never read ``value``.  The reduction is a map-side
+    partial aggregate on the join key, so the join reuses its partitioning.
     A missing key -- or a NULL value on an existing key -- becomes ``default``.
     """
     out = alias or value
-    side = table.select(F.col(on), F.col(value).alias(out))
+    side = table.groupBy(F.col(on)).agg(F.max(F.col(value)).alias(out))
     joined = df.join(side, on, "left")
     if default is not None:
         d = default if isinstance(default, Column) else F.lit(default)
