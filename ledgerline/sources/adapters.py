@@ -113,9 +113,13 @@ _LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
 
 
-def v_review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every lineitem row as one review version (keys repeat: a version log)."""
-    li = read_table(spark, sf_dir, "lineitem", _LINE_COLS)
+def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Every lineitem row as one review version (keys repeat: a version log).
+
+    ``spread`` redistributes a scan with fewer splits than cores (see
+    ``tables.spread_small_input``) for callers doing heavy per-row work.
+    """
+    li = read_table(spark, sf_dir, "lineitem", _LINE_COLS, spread=spread)
     orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
     return _review_columns(li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS
+from .tables import spread_small_input
 
 LOAD_FILE = "_load_file"
 LOAD_ROW = "_load_row"
@@ -42,11 +43,13 @@ def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], columns: Seque
           .option("mode", "PERMISSIVE")
           .csv(list(paths) if not isinstance(paths, str) else paths))
     # One file is one partition in multi-line mode, so the increasing id
-    # follows row order within the file.
+    # follows row order within the file.  The load position is fixed before
+    # the rows are spread over all cores for parsing (few large files would
+    # otherwise be parsed by few tasks).
     df = df.withColumn(LOAD_FILE, F.input_file_name()).withColumn(LOAD_ROW, F.monotonically_increasing_id())
     if limit:
-        df = df.orderBy(*LOAD_ORDER).limit(limit)
-    return df
+        return df.orderBy(*LOAD_ORDER).limit(limit)
+    return spread_small_input(df)
 
 
 def read_products_csv(spark: SparkSession, paths, limit: int | None = None) -> DataFrame:

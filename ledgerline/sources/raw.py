@@ -53,7 +53,9 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``_load_seq`` columns give the load order (oldest version first).
     """
-    r = v_review_log(spark, sf_dir)
+    # Like a real export arriving as many files, the rows are spread over
+    # all cores before the per-field work (a no-op for large inputs).
+    r = v_review_log(spark, sf_dir, spread=True)
     q = F.col("product_id") + F.col("dislike_count")
     day = F.date_format("created_at", "yyyy-MM-dd")
     planted = {
