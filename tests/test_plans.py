@@ -71,3 +71,15 @@ def test_compact_partitioned_and_append(spark, tmp_dir):
     append(got.select("k", "v"), f"{tmp_dir}/appended")
     append(got.select("v", "k"), f"{tmp_dir}/appended")
     assert spark.read.parquet(f"{tmp_dir}/appended").count() == 100
+
+
+def test_spread_only_small_inputs(spark, tmp_dir):
+    from ledgerline.sources.tables import spread_small_input
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread_small_input(one).rdd.getNumPartitions() == cores
+    many_path = f"{tmp_dir}/many"
+    spark.range(0, 10000, numPartitions=cores * 2).write.parquet(many_path)
+    many = spark.read.parquet(many_path)
+    assert spread_small_input(many) is many      # enough splits: untouched, no shuffle
