@@ -37,9 +37,24 @@ def pick_one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | C
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """D3: newest version per key (``FINAL`` over a replacing table)."""
-    return pick_one_per_key(df, keys, order, newest=True)
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                   where: Column | None = None) -> DataFrame:
+    """D3: newest version per key (``FINAL`` over a replacing table).
+
+    ``where`` asks only for current rows matching a predicate (a point
+    lookup such as "reviews of product 42").  The predicate cannot go below
+    the version resolution -- an older version may match while the newest
+    does not -- but the keys can: only keys with *some* matching version can
+    have a matching newest version.  So the matching keys are found first
+    (a filtered scan, pushed to Parquet), the log is semi-joined to them,
+    and only those keys' versions are ranked; the log itself is never
+    shuffled.  Exact for any row predicate.
+    """
+    if where is None:
+        return pick_one_per_key(df, keys, order, newest=True)
+    candidates = df.filter(where).select(*keys).distinct()
+    return pick_one_per_key(df.join(candidates, list(keys), "left_semi"), keys, order,
+                            newest=True).filter(where)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

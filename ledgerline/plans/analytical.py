@@ -174,7 +174,7 @@ SELECT review_id, product_id, user_id, star, description, created_at
 FROM v_reviews WHERE product_id = {PRODUCT_ID} AND is_public
 ORDER BY created_at DESC NULLS LAST, review_id LIMIT 10""", "v_reviews"))
 def q8_latest_public(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.latest_public(V.v_reviews(spark, sf_dir), PRODUCT_ID)
+    return A.latest_public(V.v_reviews(spark, sf_dir, product_id=PRODUCT_ID), PRODUCT_ID)
 
 
 # ---------------------------------------------------------------- Q9
@@ -204,9 +204,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- column-store dialect of Q3/Q8
-def _served_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _served_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None) -> DataFrame:
     from ..operators.publish import publish_reviews
-    return publish_reviews(V.v_reviews(spark, sf_dir), V.v_products(spark, sf_dir))
+    return publish_reviews(V.v_reviews(spark, sf_dir, product_id), V.v_products(spark, sf_dir))
 
 
 def _served_reviews_sql() -> tuple[tuple[str, str], ...]:
@@ -228,5 +228,5 @@ FROM s_reviews WHERE product_id = {PRODUCT_ID} AND is_public = 1
 ORDER BY created_at DESC NULLS LAST, review_id LIMIT 10""", "v_reviews", "v_products",
     extra=_served_reviews_sql()))
 def q8_latest_public_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    served = _served_reviews(spark, sf_dir).withColumn("is_public", F.col("is_public") == 1)
+    served = _served_reviews(spark, sf_dir, PRODUCT_ID).withColumn("is_public", F.col("is_public") == 1)
     return A.latest_public(served, PRODUCT_ID)

@@ -124,16 +124,19 @@ def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> Data
     return _review_columns(li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 
-def v_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None) -> DataFrame:
     """Current reviews: the newest version of each review id.
 
     All versions of a key share its order key, so resolving versions on
     lineitem *before* the join with orders gives the same rows as resolving
     after it, while the join sees one row per key instead of the whole log.
+    ``product_id`` returns only the current reviews of one product, resolving
+    just the keys that ever referred to it (``latest_per_key(where=)``).
     """
     li = read_table(spark, sf_dir, "lineitem", _LINE_COLS)
+    where = None if product_id is None else F.col("l_partkey") == F.lit(product_id)
     newest = latest_per_key(li, ["l_orderkey", "l_linenumber"],
-                            ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"])
+                            ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"], where=where)
     orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
     return _review_columns(newest.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 

@@ -153,3 +153,13 @@ def test_polling_trigger_processes_new_files(spark, tmp_dir):
         q.stop()
     v = spark.read.parquet(paths.versions).drop("batch_id")
     assert _state(cdc.current_state(v)) == _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))
+
+
+def test_latest_per_key_where_matches_filter_after(spark):
+    # key 1: newest version has p=7 (match); key 2: an old version has p=7, newest not;
+    # key 3: never p=7; key 4: only version p=7
+    rows = [(1, 1, 5), (1, 2, 7), (2, 1, 7), (2, 2, 5), (3, 1, 5), (4, 9, 7)]
+    df = spark.createDataFrame(rows, "k long, v long, p long")
+    full = latest_per_key(df, ["k"], ["v"]).filter("p = 7")
+    fast = latest_per_key(df, ["k"], ["v"], where=F.col("p") == 7)
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect())) == [(1, 2, 7), (4, 9, 7)]
