@@ -66,10 +66,12 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CATALOG_SQL = "SELECT * FROM v_products WHERE published"
 
 
+@V.session_view
 def _served_products(spark, sf_dir):
     return publish_products(V.v_products(spark, sf_dir))
 
 
+@V.session_view
 def _served_reviews(spark, sf_dir):
     return publish_reviews(V.v_reviews(spark, sf_dir), V.v_products(spark, sf_dir))
 
@@ -320,8 +322,10 @@ JOIN (SELECT category_id, month_start, CAST(SUM(sales_count_week) AS BIGINT) AS
 
 
 def _trending(spark, sf_dir):
-    return marts.build_trending(_served_products(spark, sf_dir), _served_reviews(spark, sf_dir),
-                                AS_OF, WINDOW_DAYS)
+    # Only reviews created in the trailing window are resolved and published.
+    since = (dt.date.fromisoformat(AS_OF) - dt.timedelta(days=WINDOW_DAYS)).isoformat()
+    reviews = publish_reviews(V.v_reviews(spark, sf_dir, created_since=since), V.v_products(spark, sf_dir))
+    return marts.build_trending(_served_products(spark, sf_dir), reviews, AS_OF, WINDOW_DAYS)
 
 
 @register("dm_trending", with_views("SELECT * FROM dm3", "v_reviews", "v_products",

@@ -8,6 +8,9 @@ mapping).  Every view grows with the input tables; nothing here is sampled.
 
 from __future__ import annotations
 
+import functools
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,25 @@ REVIEW_LOG_COLUMNS = (
 )
 
 
+def session_view(fn):
+    """Build an adapter view once per session and register it as a temp view.
+
+    Later calls with the same arguments are one ``spark.table`` lookup instead
+    of re-reading Parquet footers and re-analysing a wide plan from Python.
+    The view holds a plan, not data; it is session-scoped.
+    """
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
+        tag = hashlib.sha1(f"{fn.__module__}.{fn.__name__}|{sf_dir}|{args}|{sorted(kwargs.items())}"
+                           .encode()).hexdigest()[:16]
+        name = f"ledgerline_{fn.__name__}_{tag}"
+        if not spark.catalog.tableExists(name):
+            fn(spark, sf_dir, *args, **kwargs).createOrReplaceTempView(name)
+        return spark.table(name)
+    return wrapper
+
+
+@session_view
 def v_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product per part, with its supplier as vendor (clean-layer shape)."""
     part = read_table(spark, sf_dir, "part",
@@ -113,6 +135,7 @@ _LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
 
 
+@session_view
 def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Every lineitem row as one review version (keys repeat: a version log).
 
@@ -124,7 +147,9 @@ def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> Data
     return _review_columns(li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 
-def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None) -> DataFrame:
+@session_view
+def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None,
+              created_since: str | None = None) -> DataFrame:
     """Current reviews: the newest version of each review id.
 
     All versions of a key share its order key, so resolving versions on
@@ -132,15 +157,23 @@ def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None) -
     after it, while the join sees one row per key instead of the whole log.
     ``product_id`` returns only the current reviews of one product, resolving
     just the keys that ever referred to it (``latest_per_key(where=)``).
+    ``created_since`` keeps reviews created on or after a date.  The creation
+    time comes from the order, which is part of the key, so the orders are
+    filtered first and only their lines are resolved -- a trailing window
+    touches a window's worth of the log, not all of it.
     """
     li = read_table(spark, sf_dir, "lineitem", _LINE_COLS)
+    orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
+    if created_since is not None:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(created_since).cast("timestamp_ntz"))
+        li = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     where = None if product_id is None else F.col("l_partkey") == F.lit(product_id)
     newest = latest_per_key(li, ["l_orderkey", "l_linenumber"],
                             ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"], where=where)
-    orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
     return _review_columns(newest.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 
+@session_view
 def v_texts(spark: SparkSession, sf_dir: str, with_star: bool = True) -> DataFrame:
     """Review texts from ``documents``; star from the quality label (1 / 5 / NULL).
 
@@ -163,6 +196,7 @@ def v_texts(spark: SparkSession, sf_dir: str, with_star: bool = True) -> DataFra
     )
 
 
+@session_view
 def v_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review times and stars from ``events``, with planted NULLs."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts"])
@@ -173,6 +207,7 @@ def v_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@session_view
 def v_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log (audit_log shape) from ``events``."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
