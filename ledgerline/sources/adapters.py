@@ -136,11 +136,13 @@ _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
 
 
 @session_view
-def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     """Every lineitem row as one review version (keys repeat: a version log).
 
     ``spread`` redistributes a scan with fewer splits than cores (see
-    ``tables.spread_small_input``) for callers doing heavy per-row work.
+    ``tables.spread_small_input``): the whole log is joined, formatted and
+    ranked before its first shuffle, which a single split would run on one
+    core.  A no-op for inputs with enough splits.
     """
     li = read_table(spark, sf_dir, "lineitem", _LINE_COLS, spread=spread)
     orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
