@@ -131,3 +131,13 @@ def test_initial_load_job_twice(spark, tmp_dir):
     assert spark.read.parquet(f"{root}/products").count() == 4
     assert spark.read.parquet(f"{root}/reviews").count() == 3
     assert spark.read.parquet(f"{root}/rejects_reviews").filter("reject_reason = 'orphan_product'").count() == 2
+
+
+def test_initial_load_with_row_cap(spark, tmp_dir):
+    from ledgerline.jobs import initial_load
+    p = _write(tmp_dir, "products.csv", PRODUCTS_CSV)
+    r = _write(tmp_dir, "reviews.csv", REVIEWS_CSV)
+    out = initial_load(spark, p, r, f"{tmp_dir}/capped", limit=3)
+    # the first three rows of each file: products 1, 2, 3; reviews r1, r2, r3 (r3 has star 0)
+    assert out["products"] == {"loaded": 3, "ignored_duplicate": 0}
+    assert out["reviews"] == {"loaded": 2, "ignored_duplicate": 0, "bad_star": 1}

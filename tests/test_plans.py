@@ -83,3 +83,24 @@ def test_spread_only_small_inputs(spark, tmp_dir):
     spark.range(0, 10000, numPartitions=cores * 2).write.parquet(many_path)
     many = spark.read.parquet(many_path)
     assert spread_small_input(many) is many      # enough splits: untouched, no shuffle
+
+
+def test_read_fact_bounds_match_plain_filter(spark, tmp_dir):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from ledgerline.operators.publish import publish_reviews
+    from ledgerline.sinks.parquet import write_fact_by_month
+    from ledgerline.sources.adapters import v_reviews
+    from ledgerline.sources.serve import read_fact
+    write_fact_by_month(publish_reviews(v_reviews(spark, SF_SMALL)), tmp_dir, mode="overwrite")
+    everything = read_fact(spark, tmp_dir)
+    since = dt.date(2000, 1, 15)
+    until = dt.date(2000, 3, 10)
+    for kwargs, cond in [
+        ({"since": since}, F.col("created_at") >= F.lit("2000-01-15").cast("timestamp_ntz")),
+        ({"until": until}, F.col("created_at") < F.lit("2000-03-11").cast("timestamp_ntz")),
+        ({"since": since, "until": until},
+         (F.col("created_at") >= F.lit("2000-01-15").cast("timestamp_ntz"))
+         & (F.col("created_at") < F.lit("2000-03-11").cast("timestamp_ntz"))),
+    ]:
+        assert read_fact(spark, tmp_dir, **kwargs).count() == everything.filter(cond).count()
