@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ledgerline.operators import cdc, publish
 from ledgerline.operators.versions import latest_per_key
 from ledgerline.schemas import AUDIT_LOG, PRODUCT_IMAGE
-from ledgerline.sinks.parquet import write_batch
 from ledgerline.streaming.changes import StreamPaths, make_batch_handler, run_change_stream
 from pyspark.sql import types as T
 
