@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerline.plans import registry
 from ledgerline.sources.tables import TABLES, table_path
 
 from .conftest import SF_SMALL
 
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -39,7 +40,7 @@ def _bag(names, rows):
 
 
 def test_every_key_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
