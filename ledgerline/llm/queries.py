@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .licenses import BASE_PHRASES, BASE_SCORE, TEMPLATE_SCORE, TEMPLATES, parse, scan_licenses
+from .ngram_join import ngram_join
+from .packing import pack
 from .quality import RULES, SYMBOLS, quality_rules
+from .shards import shard_digest
+from .warc import records_of_pages, resolve_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -66,3 +71,74 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over every whole text of ``documents``."""
     return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ngram_jaccard_join")
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents linked by 80 % of their 5-word shingles."""
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
+def _template_regex(template: str) -> str:
+    """The template over words that each have one space before and after."""
+    out = ""
+    for kind, *rest in parse(template):
+        if kind == "word":
+            out += f" {rest[0]} "
+        elif kind == "optional":
+            out += "(?:" + "".join(f" {w} " for w in rest[0]) + ")?"
+        else:
+            out += f"(?: [^ ]+ ){{{rest[0]},{rest[1]}}}"
+    return out
+
+
+def _license_sql() -> str:
+    base = []
+    for phrase, label in BASE_PHRASES.items():
+        words = phrase.split()
+        test = " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(words, 1))
+        base.append((label, test))
+    places = ", ".join(f"list_filter(idx, lambda i: ({test})) AS p{k}" for k, (_, test) in enumerate(base))
+    every = "list_concat(" + ", ".join(f"p{k}" for k in range(len(base))) + ")"
+    base_labels = "[" + ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{x}' END" for k, (x, _) in enumerate(base)) + "]"
+    own = "[" + ", ".join(f"CASE WHEN regexp_matches(spaced, '{_template_regex(t)}') THEN '{x}' END"
+                          for x, t in TEMPLATES) + "]"
+    joined = lambda c: (
+        f"coalesce(array_to_string(list_sort(list_distinct(list_filter({c}, lambda x: x IS NOT NULL))), ','), '')")
+    return rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(
+    regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), '[^ ]+') AS words FROM documents),
+a AS (SELECT doc_id, words, generate_series(0, len(words) - 1) AS idx,
+  array_to_string(list_transform(words, lambda x: ' ' || x || ' '), '') AS spaced FROM w),
+p AS (SELECT doc_id, len(words) AS n_words, spaced, {places} FROM a),
+l AS (SELECT doc_id, n_words, {every} AS places, {base_labels} AS base, {own} AS own FROM p)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+  {joined('base')} AS base_labels, {joined('list_concat(base, own)')} AS labels,
+  CASE WHEN len(list_filter(own, lambda x: x IS NOT NULL)) > 0 THEN {TEMPLATE_SCORE}::DOUBLE
+       WHEN len(places) > 0 THEN {BASE_SCORE}::DOUBLE ELSE 0::DOUBLE END AS score
+FROM l"""
+
+
+@query("op5_license_scan", _license_sql())
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every whole text of ``documents``."""
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op6_warc_revisits")
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits of a crawl made of all ``pages``, resolved to earlier full captures."""
+    return resolve_revisits(records_of_pages(table(spark, sf_dir, "pages")))
+
+
+@query("op8_token_shards")
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of ``documents`` as read back from the shards in training order."""
+    return shard_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` packed into sequences of 4096 tokens."""
+    return pack(table(spark, sf_dir, "documents"))
