@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-CACHE_WORDS = 400_000
+#: Words a worker remembers: about 200 bytes each.
+CACHE_WORDS = 1_000_000
+MARKS = b".,;:!?"
 #: Longer runs without white space are not remembered.
 LONG_WORD = 64
 
@@ -26,12 +28,22 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        value = b"".join(i.to_bytes(4, "little") for i in ids)
+        value = self._ids(word)
         if len(word) <= LONG_WORD:
             self[word] = value
         return value
 
+    def _ids(self, word: bytes) -> bytes:
+        # the tokenizer lower-cases, and cuts punctuation off a letter: the ids of a
+        # plain word serve its other spellings (a special token holds "<")
+        if word.isascii() and b"<" not in word:
+            plain = word.lower()
+            core = plain.rstrip(MARKS)
+            if core and core != word and core[-1:].isalnum():
+                return self[core] + (self[plain[len(core):]] if len(core) < len(plain) else b"")
+        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return b"".join(i.to_bytes(4, "little") for i in ids)
+
 
 @lru_cache(maxsize=4)
 def word_ids(path: str) -> WordIds:
