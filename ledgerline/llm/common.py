@@ -225,3 +225,67 @@ def components(edges: DataFrame, purpose: str = "components", max_rounds: int =
         raise RuntimeError("the components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def id_hashes(ids: list[int | None]) -> np.ndarray:
+    """Spread document ids over 64 bits; null ids go together."""
+    return mix(np.array([d if d is not None else -1 for d in ids], np.int64).view(np.uint64))
+
+
+def deal_rows(rows: DataFrame, n: int, kind: int) -> DataFrame:
+    """Whole rows, whose first columns are doc_id and body, to ``n`` buckets by document id.
+
+    (kind, bucket, a): ``a`` holds the rows of one block and bucket as one
+    compressed Arrow stream, so that texts shuffle at the size of their
+    compressed form.
+    """
+    out = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary())])
+
+    def blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            for b, at in by_bucket(bucket_of(id_hashes(table.column(0).to_pylist()), n), n):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([kind], pa.int32()), pa.array([b], pa.int32()),
+                     pa.array([packed(table.take(pa.array(at)))], pa.binary())], schema=out)
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                held.append(part)
+                size += sum(len(b.as_buffer()) if b.is_valid else 0 for b in part.column(1)) + 64 * part.num_rows
+                if size >= BLOCK_BYTES:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    return rows.mapInArrow(blobs, "kind int, bucket int, a binary")
+
+
+def packed(table: pa.Table) -> bytes:
+    """Rows as one compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def dealt_rows(blob: bytes) -> pa.Table:
+    """The rows that ``packed`` took."""
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def low_bytes(values: np.ndarray, n: int) -> bytes:
+    """The low ``n`` bytes of 64-bit values."""
+    return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :n].tobytes()
+
+
+def from_low_bytes(data: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, n)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :n] = raw
+    return out.view("<u8").ravel()

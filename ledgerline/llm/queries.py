@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import lm_score, suffix_dedup, toxicity
+from .decontaminate import find_items
 from .licenses import BASE_PHRASES, BASE_SCORE, TEMPLATE_SCORE, TEMPLATES, parse, scan_licenses
 from .ngram_join import ngram_join
 from .packing import pack
@@ -79,6 +81,20 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+@query("op3_benchmark_decontamination")
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of ``benchmark`` that a whole text of ``documents`` holds."""
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_toxicity")
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text of ``documents``, learned from the training part of ``labels``."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, toxicity.held_out_rows())
+    return toxicity.score(docs, model)
+
+
 def _template_regex(template: str) -> str:
     """The template over words that each have one space before and after."""
     out = ""
@@ -132,12 +148,24 @@ def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_revisits(records_of_pages(table(spark, sf_dir, "pages")))
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` that repeat 50-byte strings of earlier documents."""
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query("op8_token_shards")
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence of ``documents`` as read back from the shards in training order."""
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+@query("op9_lm_score")
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every whole text of ``documents`` by a model of the training part."""
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of 4096 tokens."""
