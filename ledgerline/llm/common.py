@@ -6,7 +6,7 @@ import hashlib
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +102,19 @@ def bodies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        F.col(text_col).cast("string").cast("binary").alias("body"))
 
 
+def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, body, row): the other columns of a row go along as one struct."""
+    ship_package(docs.sparkSession)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").cast("binary").alias("body"), F.struct(*rest).alias("row"))
+
+
+def unwrapped(df: DataFrame, columns: list[str], text_col: str, text: str) -> DataFrame:
+    """The columns of whole rows again, with column ``text`` as their text."""
+    return df.select(*[F.col(text).alias(c) if c == text_col else F.col(f"row.`{c}`") for c in columns])
+
+
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes | None]]:
     """The (doc_id, body) rows of Arrow batches, a few at a time."""
     for batch in batches:
@@ -228,18 +241,21 @@ def components(edges: DataFrame, purpose: str = "components", max_rounds: int =
 
 
 def id_hashes(ids: list[int | None]) -> np.ndarray:
-    """Spread document ids over 64 bits; null ids go together."""
-    return mix(np.array([d if d is not None else -1 for d in ids], np.int64).view(np.uint64))
+    """Document ids spread over 64 bits; rows without an id are spread by their place."""
+    return mix(np.array([d if d is not None else ~i for i, d in enumerate(ids)], np.int64).view(np.uint64))
 
 
-def deal_rows(rows: DataFrame, n: int, kind: int) -> DataFrame:
-    """Whole rows, whose first columns are doc_id and body, to ``n`` buckets by document id.
+def deal_rows(rows: DataFrame, n: int, kind: int,
+              home: Callable[[pa.Table], np.ndarray] | None = None) -> DataFrame:
+    """Whole rows, whose first columns are doc_id and body, to their bucket of ``n``: by document id, or ``home``.
 
     (kind, bucket, a): ``a`` holds the rows of one block and bucket as one
     compressed Arrow stream, so that texts shuffle at the size of their
     compressed form.
     """
     out = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("a", pa.binary())])
+    if home is None:
+        home = lambda t: bucket_of(id_hashes(t.column(0).to_pylist()), n)
 
     def blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -247,7 +263,7 @@ def deal_rows(rows: DataFrame, n: int, kind: int) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held).combine_chunks()
-            for b, at in by_bucket(bucket_of(id_hashes(table.column(0).to_pylist()), n), n):
+            for b, at in by_bucket(home(table), n):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([kind], pa.int32()), pa.array([b], pa.int32()),
                      pa.array([packed(table.take(pa.array(at)))], pa.binary())], schema=out)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import new_scratch_dir
-from .common import bodies, mix, rows_of, staged
+from .common import bodies, by_bucket, dealt, dealt_rows, mix, packed, rows_of, staged
 from .tokens import default_path, encode, word_ids
 
 SEQUENCE_LENGTH = 512
@@ -118,22 +118,33 @@ def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, s
                            id_col=id_col, text_col=text_col), "sequences")
     # one row a map task: what came before each of them
     tasks = seq.groupBy("task").agg(F.count("*").alias("n"))
-    total = tasks.agg(F.sum("n")).first()[0] or 0
+    first = staged(tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("first"), "n"),
+                   "tasks")
+    total = first.agg(F.sum("n")).first()[0] or 0
     if not total:
         return 0
-    first = tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("first"))
+    shards = -(-total // shard_records)
+    parts = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     indexed = seq.join(first, "task").select((F.col("first") + F.col("ordinal")).alias("index"), "record")
 
     def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Records to the ranges of shards, those of one batch and range as one compressed row."""
         for batch in batches:
             slot = permute(batch.column(0).to_numpy(), total, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), batch.column(1)], ["slot", "record"])
+            table = pa.table([pa.array(slot), batch.column(1)], ["slot", "record"])
+            for b, at in by_bucket(slot // shard_records * parts // shards, parts):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b], pa.int32()), pa.array([packed(table.take(pa.array(at)))], pa.binary())],
+                    ["bucket", "a"])
 
-    placed = indexed.mapInArrow(slots, "slot long, record binary")
-    shards = -(-total // shard_records)
-    parts = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("a").to_pylist():
+                yield from dealt_rows(blob).to_batches()
+
+    placed = dealt(indexed.mapInArrow(slots, "bucket int, a binary"), parts).mapInArrow(
+        records, "slot long, record binary")
     (placed.withColumn("shard", F.expr(f"slot div {shard_records}").cast("int"))
-     .repartitionById(parts, F.expr(f"cast(shard * {parts}L div {shards} as int)"))
      .sortWithinPartitions("shard", "slot")     # the order the writer wants, so it sorts no more
      .select("shard", F.col("record").cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", "\n").text(path))
