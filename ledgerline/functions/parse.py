@@ -22,6 +22,15 @@ TRUE_SPELLINGS = ("true", "1", "yes", "t")
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 
+# Fixed value: the ISO shape a timestamp text must have -- a full date, then
+# optionally a time of day and an offset.  Spark's cast also takes years,
+# months and region zones, which the raw-file loader does not.
+TIMESTAMP_PATTERN = (r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([+-]\d{2}:\d{2})?)?$")
+
+# Decimal digits of the two scripts the exports use beside ASCII.
+PERSIAN_DIGITS = "\u06f0\u06f1\u06f2\u06f3\u06f4\u06f5\u06f6\u06f7\u06f8\u06f9"
+ARABIC_DIGITS = "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669"
+
 # The ASCII whitespace stripped around values, and the only
 # characters a plain number may contain.
 WHITESPACE = " \t\n\r\f\x0b"
@@ -50,6 +59,11 @@ def parse_bool(col: Column | str) -> Column:
              .otherwise(F.lower(strip_text(c)).isin(*TRUE_SPELLINGS)))
 
 
+def ascii_digits(col: Column | str) -> Column:
+    """Persian and Arabic digits as ASCII ones; other scripts' digits stay and make the text junk."""
+    return F.translate(_c(col), PERSIAN_DIGITS + ARABIC_DIGITS, "0123456789" * 2)
+
+
 def is_number(col: Column | str) -> Column:
     """True for a well-formed plain number (NUMBER_PATTERN), without a regex.
 
@@ -58,7 +72,7 @@ def is_number(col: Column | str) -> Column:
     double parser accepts exactly the pattern's language; the check runs on
     Spark's own string type instead of a per-row Java regex match.
     """
-    c = _c(col)
+    c = ascii_digits(col)
     return _only(c, NUMBER_CHARS) & c.try_cast("double").isNotNull()
 
 
@@ -76,6 +90,7 @@ def _number_to_long(c: Column) -> Column:
     # whitespace trimmed), so integral text is parsed exactly -- ids above
     # 2**53 keep every digit.  Other numbers go through double like a float
     # parser; try_cast truncates toward zero and gives NULL out of range.
+    c = ascii_digits(c)
     exact = F.when(_only(c, INTEGER_CHARS), c.try_cast("bigint"))
     via_double = F.when(is_number(c), c.try_cast("double").try_cast("bigint"))
     return F.coalesce(exact, via_double)
@@ -91,24 +106,18 @@ def parse_int(col: Column | str) -> Column:
     return _number_to_long(_c(col)).try_cast("int")
 
 
-def parse_smallint(col: Column | str) -> Column:
-    return _number_to_long(_c(col)).try_cast("smallint")
-
-
 def parse_decimal(col: Column | str, precision: int = 4, scale: int = 2) -> Column:
     """Number text rounded half-up to ``scale``; junk or overflow -> NULL."""
-    c = _c(col)
+    c = ascii_digits(col)
     return F.when(is_number(c), c.try_cast("double").try_cast(f"decimal({precision},{scale})"))
 
 
 def parse_ts(col: Column | str) -> Column:
     """ISO timestamp text with every 'Z' removed; offsets dropped (wall clock kept).
 
-    Compact dates such as 20240102 and junk give NULL.
+    Only a full date, with or without a time, counts (``TIMESTAMP_PATTERN``):
+    compact or partial dates, region zones and junk give NULL.
     """
-    return F.replace(_c(col), F.lit("Z"), F.lit("")).try_cast("timestamp_ntz")
-
+    c = F.replace(_c(col), F.lit("Z"), F.lit(""))
+    return F.when(c.rlike(TIMESTAMP_PATTERN), c.try_cast("timestamp_ntz"))
 
-def overflowed(raw: Column | str, parsed: Column | str) -> Column:
-    """True when ``raw`` is a valid number but ``parsed`` could not hold it (C14)."""
-    return is_number(raw) & _c(parsed).isNull()

@@ -5,32 +5,47 @@
     read CSV (all text) -> parse + judge (one pass, landed once)
       -> accepted: first row per key in load order, minus keys already in
          the table (insert-or-ignore), appended
-      -> rejected: appended to a quarantine table with the reason
+      -> rejected: written to a quarantine table with the reason, under the
+         load's id, so the same load run again replaces its own rejects
     reviews also need their product in the products table (semi/anti join).
 
 Nothing is collected but the per-outcome counters (a handful of rows).
-Running the same load twice adds nothing the second time.
+Running the same load twice adds nothing the second time.  Staged rows are
+deleted when the load is done.
 """
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import clean, load
 from .schemas import CLEAN_PRODUCTS, CLEAN_REVIEWS
+from .session import clean_staged
 from .sinks.parquet import stage
 from .sources.csv import LOAD_ORDER, read_products_csv, read_reviews_csv
 
 
 def _existing(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table as it is, empty before the first load; any other read error is an error."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - first load: the table does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
-def _load_table(assessed: DataFrame, table_path: str, reject_path: str, key: str, schema,
+def load_id_of(paths, limit: int | None) -> str:
+    """The same export files and row cap make the same load."""
+    names = [paths] if isinstance(paths, str) else sorted(paths)
+    return hashlib.sha256(repr((names, limit or 0)).encode()).hexdigest()[:16]
+
+
+def _load_table(assessed: DataFrame, table_path: str, reject_path: str, load_id: str, key: str, schema,
                 existing: DataFrame, reference: tuple[DataFrame, str] | None = None):
     """Append new accepted rows and the rejects; return per-outcome counts (lazy)."""
     ok = clean.accepted(assessed)
@@ -43,9 +58,9 @@ def _load_table(assessed: DataFrame, table_path: str, reject_path: str, key: str
     # Land the new rows first: the append then copies files that no longer
     # depend on the table being appended to, and counting them is exact.
     new = stage(load.rows_to_insert(ok, existing, [key], list(LOAD_ORDER)).select(*schema.names),
-                "new-rows")
+                "initial-load")
     new.write.mode("append").parquet(table_path)
-    bad.write.mode("append").parquet(reject_path)
+    bad.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
     loaded = new.groupBy().count().select(F.lit("loaded").alias("outcome"), F.col("count").alias("row_count"))
     ignored = (ok.groupBy().count().select(F.lit("ignored_duplicate").alias("outcome"),
                                            F.col("count").alias("row_count")))
@@ -54,31 +69,35 @@ def _load_table(assessed: DataFrame, table_path: str, reject_path: str, key: str
 
 
 def initial_load(spark: SparkSession, products_csv, reviews_csv, clean_root: str,
-                 limit: int | None = None) -> dict[str, dict[str, int]]:
+                 limit: int | None = None, load_id: str | None = None) -> dict[str, dict[str, int]]:
     """Load product and review exports into ``clean_root``/{products,reviews}.
 
     Returns {table: {outcome: rows}} where outcome is 'loaded',
     'ignored_duplicate' (duplicate id in the file, or already in the table)
     or a reject reason.  ``limit`` keeps the first rows of each export (S3).
+    ``load_id`` names the load in the quarantine tables; by default it follows
+    from the export paths and the limit.
     """
     root = clean_root.rstrip("/")
+    load_id = load_id or load_id_of([str(products_csv), str(reviews_csv)], limit)
     out: dict[str, dict[str, int]] = {}
 
     products_path = f"{root}/products"
     existing_p = _existing(spark, products_path, CLEAN_PRODUCTS)
     assessed_p = stage(clean.assess_products(read_products_csv(spark, products_csv, limit)),
-                       "assessed-products")
+                       "initial-load")
     out["products"] = _finish(*_load_table(assessed_p, products_path, f"{root}/rejects_products",
-                                           "product_id", CLEAN_PRODUCTS, existing_p))
+                                           load_id, "product_id", CLEAN_PRODUCTS, existing_p))
 
     reviews_path = f"{root}/reviews"
     existing_r = _existing(spark, reviews_path, CLEAN_REVIEWS)
     products_now = spark.read.schema(CLEAN_PRODUCTS).parquet(products_path).select("product_id")
     assessed_r = stage(clean.assess_reviews(read_reviews_csv(spark, reviews_csv, limit)),
-                       "assessed-reviews")
+                       "initial-load")
     out["reviews"] = _finish(*_load_table(assessed_r, reviews_path, f"{root}/rejects_reviews",
-                                          "review_id", CLEAN_REVIEWS, existing_r,
+                                          load_id, "review_id", CLEAN_REVIEWS, existing_r,
                                           reference=(products_now, "product_id")))
+    clean_staged(spark, "initial-load")
     return out
 
 

@@ -1,27 +1,14 @@
-"""Join helpers: size-checked broadcast, semi/anti membership, lookup join."""
+"""Join helpers: semi/anti membership, lookup join.
+
+No side is marked for broadcast: Spark broadcasts a side under its byte
+threshold, by statistics or at run time, and shuffles otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count proves it under this many rows.  At
-# ~100 bytes a row this keeps a broadcast well under the 8 GB hard limit and
-# under the executors' memory; anything bigger goes through a shuffle join.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is at most ``max_rows``.
-
-    The count is one cheap job (Parquet answers it from footers for a plain
-    scan).  Above the bound the frame is returned unhinted, and the planner
-    (with AQE) chooses a shuffle join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def keep_matching(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``df`` whose key exists in ``keys`` (left semi join, J1)."""
     return df.join(keys, on, "left_semi")

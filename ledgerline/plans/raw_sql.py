@@ -20,7 +20,8 @@ def _raw_select(spec, planted: dict) -> str:
 _P = {
     "product_id": "(CASE WHEN product_id % 97 = 5 THEN '' ELSE CAST(product_id AS VARCHAR) END)",
     "price": _pick("product_id", 13, {1: "12.9", 2: "-3.9", 3: "1e3", 4: "1.5d", 5: "inf", 6: "nan",
-                                      7: "junk", 8: "9007199254740993", 9: " 42 "},
+                                      7: "junk", 8: "9007199254740993", 9: " 42 ", 10: "\u06f1\u06f2",
+                                      11: "\u0663.\u0669", 12: "1_000"},
                    "CAST(price AS VARCHAR)"),
     "stock": "(CASE WHEN product_id % 17 = 3 THEN '3000000000' ELSE CAST(stock AS VARCHAR) END)",
     "rating_average": _pick("product_id", 19, {4: "4.555", 5: "100"}, "CAST(rating_average AS VARCHAR)"),
@@ -39,7 +40,9 @@ _R = {
     "created_at": (f"(CASE {_Q} % 31 WHEN 1 THEN {_DAY} || 'T10:11:12Z' "
                    f"WHEN 2 THEN {_DAY} || 'T10:11:12+03:30' WHEN 3 THEN {_DAY} || 'T10:11:12-03:30' "
                    f"WHEN 4 THEN 'junk' WHEN 5 THEN strftime(created_at, '%Y%m%d') "
-                   f"WHEN 6 THEN {_DAY} || ' 10:11:12.250' ELSE CAST(created_at AS VARCHAR) END)"),
+                   f"WHEN 6 THEN {_DAY} || ' 10:11:12.250' WHEN 7 THEN strftime(created_at, '%Y') "
+                   f"WHEN 8 THEN strftime(created_at, '%Y-%m') WHEN 9 THEN strftime(created_at, '%Y-%-m-%-d') "
+                   f"WHEN 10 THEN {_DAY} || 'T10:11:12 Asia/Tehran' WHEN 11 THEN {_DAY} || 'T10:11' ELSE CAST(created_at AS VARCHAR) END)"),
     "like_count": _pick(_Q, 37, {1: "", 2: "3000000000"}, "CAST(like_count AS VARCHAR)"),
     "is_public": _pick(_Q, 7, _FLAGS, "CAST(is_public AS VARCHAR)"),
 }

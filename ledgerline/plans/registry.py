@@ -8,14 +8,11 @@ decimal sums divided once) or rounded on both sides.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import apply_plan_conf
-
 
 @dataclass(frozen=True)
 class QuerySpec:
@@ -32,14 +29,8 @@ def register(name: str, sql: str | None, note: str = ""):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
         if name in REGISTRY:
             raise ValueError(f"duplicate query key {name!r}")
-
-        @functools.wraps(fn)
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_plan_conf(spark)
-            return fn(spark, sf_dir)
-
-        REGISTRY[name] = QuerySpec(name, run, sql, note)
-        return run
+        REGISTRY[name] = QuerySpec(name, fn, sql, note)
+        return fn
     return deco
 
 

@@ -1,17 +1,26 @@
 """The value rules written as DuckDB SQL text, for the oracle queries.
 
-These restate ``ledgerline.functions.parse`` / ``.serve`` in SQL so that the
-oracle computes clean and serve rows independently of the Spark code.
+These restate ``ledgerline.functions.parse`` / ``.serve`` in SQL, patterns and
+spellings included, so that the oracle computes clean and serve rows
+independently of the Spark code.
 """
 
 from __future__ import annotations
 
-from ..functions.parse import INTEGER_PATTERN, NUMBER_PATTERN, TRUE_SPELLINGS
-from ..functions.serve import DEFAULT_TIMESTAMP
 from ..operators.publish import PRODUCT_DEFAULTS, PRODUCT_FLAGS, REVIEW_DEFAULTS
 from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS, TEXT_LIMITS
 
 
+# Fixed values, as the raw-file loader and the publisher define them.
+INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+TIMESTAMP_PATTERN = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([+-]\d{2}:\d{2})?)?$"
+TRUE_SPELLINGS = ("true", "1", "yes", "t")
+DEFAULT_TIMESTAMP = "2000-01-01 00:00:00"
+DIGITS = ("\u06f0\u06f1\u06f2\u06f3\u06f4\u06f5\u06f6\u06f7\u06f8\u06f9"
+          "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669")
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -20,7 +29,12 @@ def strip(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
+def ascii_digits(x: str) -> str:
+    return f"translate({x}, '{DIGITS}', '01234567890123456789')"
+
+
 def bigint(x: str) -> str:
+    x = ascii_digits(x)
     return (f"(CASE WHEN regexp_matches({x}, {_q(INTEGER_PATTERN)}) THEN TRY_CAST({strip(x)} AS BIGINT)"
             f" WHEN regexp_matches({x}, {_q(NUMBER_PATTERN)})"
             f" THEN TRY_CAST(trunc(TRY_CAST({strip(x)} AS DOUBLE)) AS BIGINT) END)")
@@ -31,6 +45,7 @@ def integer(x: str) -> str:
 
 
 def decimal42(x: str) -> str:
+    x = ascii_digits(x)
     return (f"(CASE WHEN regexp_matches({x}, {_q(NUMBER_PATTERN)}) THEN "
             f"TRY_CAST(TRY_CAST(TRY_CAST({strip(x)} AS DOUBLE) AS VARCHAR) AS DECIMAL(4,2)) END)")
 
@@ -41,8 +56,9 @@ def boolean(x: str) -> str:
 
 
 def timestamp(x: str) -> str:
-    return (f"TRY_CAST(regexp_replace(regexp_replace({x}, 'Z', '', 'g'), '[+-]\\d\\d:\\d\\d$', '')"
-            f" AS TIMESTAMP)")
+    c = f"regexp_replace({x}, 'Z', '', 'g')"
+    return (f"(CASE WHEN regexp_matches({c}, {_q(TIMESTAMP_PATTERN)}) THEN "
+            f"TRY_CAST(regexp_replace({c}, ' *([ T].*)[+-]\\d\\d:\\d\\d$', '\\1') AS TIMESTAMP) END)")
 
 
 def text(x: str) -> str:
@@ -59,7 +75,7 @@ def typed(x: str, kind: str) -> str:
 
 def _overflow(raw: str, kind: str) -> str:
     parsed = typed(raw, "int" if kind == "int0" else kind)
-    return f"COALESCE(regexp_matches({raw}, {_q(NUMBER_PATTERN)}) AND {parsed} IS NULL, FALSE)"
+    return f"COALESCE(regexp_matches({ascii_digits(raw)}, {_q(NUMBER_PATTERN)}) AND {parsed} IS NULL, FALSE)"
 
 
 def _any(conds) -> str:

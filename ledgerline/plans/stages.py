@@ -66,12 +66,10 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CATALOG_SQL = "SELECT * FROM v_products WHERE published"
 
 
-@V.session_view
 def _served_products(spark, sf_dir):
     return publish_products(V.v_products(spark, sf_dir))
 
 
-@V.session_view
 def _served_reviews(spark, sf_dir):
     return publish_reviews(V.v_reviews(spark, sf_dir), V.v_products(spark, sf_dir))
 

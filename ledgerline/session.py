@@ -6,7 +6,7 @@ one in.  ``build_session`` is a convenience for scripts, tests and the bench.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -28,12 +28,12 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-# SQL settings a query plan benefits from whatever session runs it.  A
-# whole-stage-codegen method over 8,000 bytes of bytecode is never JIT
+# A whole-stage-codegen method over 8,000 bytes of bytecode is never JIT
 # compiled by HotSpot and runs interpreted; with this limit Spark falls back
 # to per-operator code for such a stage instead (the wide parse projections
-# of the raw-file cleaning run ~3x faster).
-PLAN_CONF = {
+# of the raw-file cleaning run ~3x faster).  Only ``build_session`` sets it:
+# a session that someone else built keeps its own settings.
+CODEGEN_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
@@ -45,7 +45,7 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf.update(PLAN_CONF)
+    conf.update(CODEGEN_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -56,47 +56,47 @@ def build_session(master: str | None = None, app_name: str = "ledgerline",
     return spark
 
 
-def apply_plan_conf(spark: SparkSession) -> None:
-    """Set ``PLAN_CONF`` on a session someone else built (only values still at default)."""
-    defaults = {"spark.sql.codegen.hugeMethodLimit": "65535"}
-    for k, v in PLAN_CONF.items():
-        if spark.conf.get(k, defaults.get(k)) == defaults.get(k):
-            spark.conf.set(k, v)
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stream checkpoints and staged tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach).  Only when the setting is absent -- a
-    test or a laptop -- do we fall back to a local temporary folder, and we
-    record it in the session so every later call agrees.
+    This is the folder named by ``spark.checkpoint.dir`` (storage that the
+    driver and every executor reach).  Only a ``local`` master, where they
+    are one process, may leave it unset: then a temporary folder is made and
+    recorded in the session so every later call agrees.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = _context(spark)
-    if not root and sc is not None and sc.getCheckpointDir():
-        # getCheckpointDir adds a per-application uuid folder; use its parent
-        root = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
     return root
 
 
-def _context(spark: SparkSession):
-    """The SparkContext of a classic session; None for a Spark Connect session."""
-    try:
-        return spark.sparkContext
-    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
-        return None
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/ledgerline/{spark.conf.get('spark.app.id')}"
 
 
 def new_scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never-reused folder under the shared scratch root."""
-    root = scratch_root(spark).rstrip("/")
-    path = f"{root}/ledgerline/{purpose}-{uuid.uuid4().hex}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A never-used folder under the shared scratch root; Spark makes it at the first write."""
+    return f"{_own_scratch(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies in; no error if it is missing."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def clean_staged(spark: SparkSession, purpose: str) -> None:
+    """Delete what this application staged for one purpose, once its outputs are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_own_scratch(spark)}/{purpose}-*")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(path) or []:
+        fs.delete(found.getPath(), True)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete all that this application staged; call it when no result is read any more."""
+    delete_dir(spark, _own_scratch(spark))

@@ -8,13 +8,9 @@ mapping).  Every view grows with the input tables; nothing here is sampled.
 
 from __future__ import annotations
 
-import functools
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import sized_broadcast
 from ..operators.versions import latest_per_key
 from .tables import read_table
 
@@ -33,25 +29,6 @@ REVIEW_LOG_COLUMNS = (
 )
 
 
-def session_view(fn):
-    """Build an adapter view once per session and register it as a temp view.
-
-    Later calls with the same arguments are one ``spark.table`` lookup instead
-    of re-reading Parquet footers and re-analysing a wide plan from Python.
-    The view holds a plan, not data; it is session-scoped.
-    """
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        tag = hashlib.sha1(f"{fn.__module__}.{fn.__name__}|{sf_dir}|{args}|{sorted(kwargs.items())}"
-                           .encode()).hexdigest()[:16]
-        name = f"ledgerline_{fn.__name__}_{tag}"
-        if not spark.catalog.tableExists(name):
-            fn(spark, sf_dir, *args, **kwargs).createOrReplaceTempView(name)
-        return spark.table(name)
-    return wrapper
-
-
-@session_view
 def v_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product per part, with its supplier as vendor (clean-layer shape)."""
     part = read_table(spark, sf_dir, "part",
@@ -67,9 +44,7 @@ def v_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = (read_table(spark, sf_dir, "lineitem", ["l_partkey", "l_shipdate"])
              .groupBy("l_partkey")
              .agg(F.count(F.lit(1)).alias("_lines"), F.max("l_shipdate").alias("_last_ship")))
-    # nation is a 25-row dimension; broadcast is checked, not assumed.
-    vendors = supplier.join(sized_broadcast(nation, 10_000),
-                            F.col("s_nationkey") == F.col("n_nationkey"))
+    vendors = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     p = part.withColumn("_vendor_key", F.col("p_partkey") % n_suppliers)
     joined = (p.join(vendors, F.col("_vendor_key") == F.col("s_suppkey"))
                .join(sales, F.col("p_partkey") == F.col("l_partkey"), "left"))
@@ -135,21 +110,13 @@ _LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
 
 
-@session_view
-def v_review_log(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """Every lineitem row as one review version (keys repeat: a version log).
-
-    ``spread`` redistributes a scan with fewer splits than cores (see
-    ``tables.spread_small_input``): the whole log is joined, formatted and
-    ranked before its first shuffle, which a single split would run on one
-    core.  A no-op for inputs with enough splits.
-    """
-    li = read_table(spark, sf_dir, "lineitem", _LINE_COLS, spread=spread)
+def v_review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem row as one review version (keys repeat: a version log)."""
+    li = read_table(spark, sf_dir, "lineitem", _LINE_COLS)
     orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
     return _review_columns(li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 
-@session_view
 def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None,
               created_since: str | None = None) -> DataFrame:
     """Current reviews: the newest version of each review id.
@@ -175,7 +142,6 @@ def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None,
     return _review_columns(newest.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 
-@session_view
 def v_texts(spark: SparkSession, sf_dir: str, with_star: bool = True) -> DataFrame:
     """Review texts from ``documents``; star from the quality label (1 / 5 / NULL).
 
@@ -198,7 +164,6 @@ def v_texts(spark: SparkSession, sf_dir: str, with_star: bool = True) -> DataFra
     )
 
 
-@session_view
 def v_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review times and stars from ``events``, with planted NULLs."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts"])
@@ -209,7 +174,6 @@ def v_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@session_view
 def v_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change log (audit_log shape) from ``events``."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])

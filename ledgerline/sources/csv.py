@@ -1,55 +1,98 @@
 """Raw marketplace CSV exports.
 
-Every field is read as text with a fixed all-string schema (nothing is
-inferred).  Quoted fields may hold newlines, doubled quotes and backslashes,
-so the reader runs in multi-line mode, which makes each file one task: large
-exports should arrive as many files.  Each row keeps its load position
-(file, row within file) so "first row wins" is well defined (D2).
+Every field is read as text (nothing is inferred) and is taken by the name in
+the file's own header: files of one load may order their columns differently,
+have more columns (ignored) or lack some (NULL).  A file without the key
+column is an error, as its rows could not be told apart.
+
+Quoted fields may hold newlines, doubled quotes and backslashes, so the reader
+runs in multi-line mode, in which a file cannot be split: each file is read by
+one task, and large exports have to arrive as many files.  Each row keeps its
+load position (file, row within file) so "first row wins" is well defined (D2).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS
-from .tables import spread_small_input
 
 LOAD_FILE = "_load_file"
 LOAD_ROW = "_load_row"
 LOAD_ORDER = (LOAD_FILE, LOAD_ROW)
+KEY_COLUMN = "_id"
+#: Headers that are read at the same time, one small job each.
+HEADER_READERS = 8
+
+
+def _reader(spark: SparkSession):
+    return (spark.read.option("header", True).option("multiLine", True)
+            .option("quote", '"').option("escape", '"')
+            .option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The files of an export, in load order; names only, no content is read."""
+    listed = spark.read.format("binaryFile").load(list(paths) if not isinstance(paths, str) else paths)
+    return sorted(r["path"] for r in listed.select("path").collect())
 
 
-def _string_schema(names: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: each distinct list of column names with the files that have it."""
+    def header(file: str) -> tuple[str, ...]:
+        return tuple(_reader(spark).csv(file).columns)
+
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        for file, names in zip(files, pool.map(header, files), strict=True):
+            by_header.setdefault(names, []).append(file)
+    return by_header
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
-                 limit: int | None = None) -> DataFrame:
+                 limit: int | None = None, key: str = KEY_COLUMN) -> DataFrame:
     """Read header CSV files as text columns ``columns`` plus the load position.
 
     ``limit`` (S3) keeps the first ``limit`` rows in load order; 0/None = all.
     """
-    df = (spark.read
-          .schema(_string_schema(columns))
-          .option("header", True)
-          .option("multiLine", True)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("encoding", "UTF-8")
-          .option("mode", "PERMISSIVE")
-          .csv(list(paths) if not isinstance(paths, str) else paths))
-    # One file is one partition in multi-line mode, so the increasing id
-    # follows row order within the file.  The load position is fixed before
-    # the rows are spread over all cores for parsing (few large files would
-    # otherwise be parsed by few tasks).
-    df = df.withColumn(LOAD_FILE, F.input_file_name()).withColumn(LOAD_ROW, F.monotonically_increasing_id())
-    if limit:
-        return df.orderBy(*LOAD_ORDER).limit(limit)
-    return spread_small_input(df)
+    parts = []
+    for names, files in sorted(read_headers(spark, list_files(spark, paths)).items()):
+        if key not in names:
+            raise ValueError(f"no column {key!r} in the header of {', '.join(files[:3])}")
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        rows = _reader(spark).schema(schema).csv(files)
+        # A file is never split, so the increasing id follows its row order.
+        parts.append(rows.select(
+            *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns],
+            F.input_file_name().alias(LOAD_FILE), F.monotonically_increasing_id().alias(LOAD_ROW)))
+    if not parts:
+        raise FileNotFoundError(f"no files in {paths}")
+    df = reduce(DataFrame.unionByName, parts)
+    return first_rows(df, limit) if limit else df
+
+
+def first_rows(df: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows in load order, left in the tasks that read them.
+
+    A count per file tells how many rows of it belong to the load; nothing is
+    sorted and no task gathers the rows.
+    """
+    counts = df.groupBy(LOAD_FILE).agg(F.min(LOAD_ROW).alias("first"), F.count(F.lit(1)).alias("n")).collect()
+    quotas, left = [], limit
+    for r in sorted(counts, key=lambda r: r[LOAD_FILE]):
+        if left <= 0:
+            break
+        # rows of one file carry consecutive ids
+        quotas.append((r[LOAD_FILE], r["first"] + min(left, r["n"])))
+        left -= r["n"]
+    quota = df.sparkSession.createDataFrame(quotas, f"{LOAD_FILE} string, _end long")
+    return df.join(quota, LOAD_FILE).where(F.col(LOAD_ROW) < F.col("_end")).drop("_end").select(*df.columns)
 
 
 def read_products_csv(spark: SparkSession, paths, limit: int | None = None) -> DataFrame:

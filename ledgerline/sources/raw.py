@@ -39,7 +39,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = {
         "product_id": F.when(k % 97 == 5, F.lit("")).otherwise(_s("product_id")),
         "price": _pick(k, 13, {1: "12.9", 2: "-3.9", 3: "1e3", 4: "1.5d", 5: "inf", 6: "nan",
-                               7: "junk", 8: "9007199254740993", 9: " 42 "}, _s("price")),
+                               7: "junk", 8: "9007199254740993", 9: " 42 ", 10: "\u06f1\u06f2",
+                               11: "\u0663.\u0669", 12: "1_000"}, _s("price")),
         "stock": F.when(k % 17 == 3, F.lit("3000000000")).otherwise(_s("stock")),
         "rating_average": _pick(k, 19, {4: "4.555", 5: "100"}, _s("rating_average")),
         "is_free_shipping": _pick(k, 7, FLAG_SPELLINGS, _s("is_free_shipping")),
@@ -53,9 +54,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``_load_seq`` columns give the load order (oldest version first).
     """
-    # Like a real export arriving as many files, the rows are spread over
-    # all cores before the per-field work (a no-op for large inputs).
-    r = v_review_log(spark, sf_dir, spread=True)
+    r = v_review_log(spark, sf_dir)
     q = F.col("product_id") + F.col("dislike_count")
     day = F.date_format("created_at", "yyyy-MM-dd")
     planted = {
@@ -68,6 +67,11 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                         .when(q % 31 == 4, F.lit("junk"))
                         .when(q % 31 == 5, F.date_format("created_at", "yyyyMMdd"))
                         .when(q % 31 == 6, F.concat(day, F.lit(" 10:11:12.250")))
+                        .when(q % 31 == 7, F.date_format("created_at", "yyyy"))
+                        .when(q % 31 == 8, F.date_format("created_at", "yyyy-MM"))
+                        .when(q % 31 == 9, F.date_format("created_at", "yyyy-M-d"))
+                        .when(q % 31 == 10, F.concat(day, F.lit("T10:11:12 Asia/Tehran")))
+                        .when(q % 31 == 11, F.concat(day, F.lit("T10:11")))
                         .otherwise(_s("created_at"))),
         "like_count": _pick(q, 37, {1: "", 2: "3000000000"}, _s("like_count")),
         "is_public": _pick(q, 7, FLAG_SPELLINGS, _s("is_public")),

@@ -21,32 +21,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | tuple[str, ...] | None = None,
-               spread: bool = False) -> DataFrame:
-    """Scan one table; ``spread`` for inputs that feed CPU-heavy row work."""
+               columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
+    """Scan one table, listing its files anew; splits follow ``spark.sql.files.maxPartitionBytes``."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return spread_small_input(df) if spread else df
-
-
-def spread_small_input(scan: DataFrame) -> DataFrame:
-    """Round-robin a *plain scan* over all cores when it has fewer splits.
-
-    A file that is one unsplittable unit (one Parquet row group, one
-    multi-line CSV) is read by one task, and everything before the next
-    shuffle -- parsing every field, say -- then runs on one core.  When the
-    scan has fewer partitions than the cluster's default parallelism it is
-    redistributed; a large input already has more splits than cores and is
-    returned untouched, so at scale this adds no shuffle.  Call it only on a
-    plain scan (counting its partitions lists files, nothing more).
-    """
-    spark = scan.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (Connect)
-        return scan
-    if scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(cores)
-    return scan
+    return df.select(*columns) if columns else df
+

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,14 +12,18 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ledgerline.session import build_session, scratch_root
-    s = build_session("local[4]", app_name="ledgerline-tests", shuffle_partitions=8)
-    scratch_root(s)   # uses spark.checkpoint.dir, or a temp folder when unset
+    from ledgerline.session import build_session, clean_scratch
+    scratch = tempfile.mkdtemp(prefix="ledgerline-tests-")
+    s = build_session("local[4]", app_name="ledgerline-tests", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": scratch})
     yield s
+    clean_scratch(s)
     s.stop()
 
 
 @pytest.fixture()
 def tmp_dir(spark):
     from ledgerline.session import new_scratch_dir
-    return new_scratch_dir(spark, "test")
+    path = new_scratch_dir(spark, "test")
+    os.makedirs(path)
+    return path

@@ -73,16 +73,29 @@ def test_compact_partitioned_and_append(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/appended").count() == 100
 
 
-def test_spread_only_small_inputs(spark, tmp_dir):
-    from ledgerline.sources.tables import spread_small_input
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread_small_input(one).rdd.getNumPartitions() == cores
-    many_path = f"{tmp_dir}/many"
-    spark.range(0, 10000, numPartitions=cores * 2).write.parquet(many_path)
-    many = spark.read.parquet(many_path)
-    assert spread_small_input(many) is many      # enough splits: untouched, no shuffle
+def test_new_files_are_seen_and_nothing_is_dealt_round_robin(spark, tmp_dir):
+    import shutil
+    from ledgerline.operators import cdc
+    from ledgerline.sources import adapters as V
+    shutil.copytree(SF_SMALL, f"{tmp_dir}/sf", ignore=lambda d, names: [n for n in names if n == "events.parquet"])
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.write.parquet(f"{tmp_dir}/sf/events.parquet")
+    n = events.count()
+    assert V.v_audit(spark, f"{tmp_dir}/sf").count() == n
+    assert E.queries()["cdc_mirror"](spark, f"{tmp_dir}/sf").count() == n
+    events.withColumn("event_id", events["event_id"] + 10**6).write.mode("append").parquet(f"{tmp_dir}/sf/events.parquet")
+    assert V.v_audit(spark, f"{tmp_dir}/sf").count() == 2 * n
+    assert cdc.mirror_rows(V.v_audit(spark, f"{tmp_dir}/sf"), 0).count() == 2 * n
+    assert "RoundRobin" not in _plan(E.queries()["latest_version"](spark, SF_SMALL))
+
+
+def test_queries_leave_the_session_settings_alone(spark):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    try:
+        E.queries()["latest_version"](spark, SF_SMALL)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "65535"
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def test_read_fact_bounds_match_plain_filter(spark, tmp_dir):

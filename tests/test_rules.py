@@ -96,3 +96,14 @@ def test_text_helpers(spark):
     assert _apply(spark, ["foo bar", "baz", None], lambda c: contains_any(c, ["bar", "baz"])) == [True, True, None]
     with pytest.raises(ValueError):
         contains_any("x", [])
+
+
+def test_timestamps_need_a_full_date(spark):
+    assert _apply(spark, ["2024", "2024-01", "2024-1-5", "2024-01-02T10:11:12 Asia/Tehran", "2024-01-02 10",
+                          "2024-13-01", " 2024-01-02"], P.parse_ts) == [None] * 7
+    assert _apply(spark, ["2024-01-02", "2024-01-02T10:11"], P.parse_ts) == [
+        dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 10, 11)]
+
+
+def test_digits_of_the_exports_scripts(spark):
+    assert _apply(spark, ["۱۲", "٣.٩", "-۷", "१२"], P.parse_bigint) == [12, 3, -7, None]
