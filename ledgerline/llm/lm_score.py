@@ -51,6 +51,8 @@ MIN_PAIR_COUNT = 2
 BITS = 12
 MAX_BITS = 1 << 29
 PROBES = 4
+#: Tokens that are scored at a time.
+CHUNK_TOKENS = 200_000
 #: Rows of one kind each in the tables that are dealt out.
 TOKENS, REPLIES, PAIRS, GRAMS, ROWS = range(5)
 
@@ -204,6 +206,19 @@ def places(keys: np.ndarray, level: int, size: int) -> np.ndarray:
     return np.stack([((h & np.uint64(0xFFFFFFFF)) + np.uint64(i) * step) % np.uint64(size) for i in range(PROBES)])
 
 
+def _runs(sizes: list[int], most: int) -> Iterator[list[int]]:
+    """Positions in runs of about ``most`` in all; a larger one makes a run by itself."""
+    run, held = [], 0
+    for i, size in enumerate(sizes):
+        run.append(i)
+        held += size
+        if held >= most:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
 class LogFrequencyFilter:
     """The whole filter: segments of ``size`` bits, one a bucket of hashes."""
 
@@ -285,15 +300,23 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ma
         base = np.log10((count + 1) / (n + (v + 1)))
         quantised = count_at(model.levels(mix(token ^ TOKEN_SALT), token_segments(token, buckets)))
         out = []
-        for doc_id, mine in zip(ids, tokens, strict=True):
+        end = int(np.searchsorted(token, END))
+        for some in _runs([len(t) for t in tokens], CHUNK_TOKENS):
+            mine = np.concatenate([tokens[i] for i in some])
+            lengths = np.array([len(tokens[i]) for i in some])
+            first = np.cumsum(lengths) - lengths
             at = np.searchsorted(token, mine)
-            pair = pairs_of(mine)
+            before = np.append(end, at[:-1])
+            before[first] = end
+            pair = mix(token[before] * MULTIPLIER + mine) & KEEP48
             both = count_at(model.levels(pair, bucket_of(pair, buckets)))
-            before = quantised[np.append(np.searchsorted(token, END), at[:-1])]
             single = (quantised[at] + 1) / (n + v + 1)
-            p = PAIR_SHARE * both / np.maximum(np.maximum(before, both), 1) + (1 - PAIR_SHARE) * single
-            out.append((doc_id, remainder(doc_id) == HOLD_OUT, len(mine), int((count[at] > 0).sum()), n,
-                        float(base[at].sum()), float(np.log10(np.minimum(p, 1.0)).sum()) if n else 0.0))
+            p = PAIR_SHARE * both / np.maximum(np.maximum(quantised[before], both), 1) + (1 - PAIR_SHARE) * single
+            known = np.add.reduceat((count[at] > 0).astype(np.int64), first)
+            sums = np.add.reduceat(base[at], first)
+            scores = np.add.reduceat(np.log10(np.minimum(p, 1.0)), first)
+            out += [(ids[i], remainder(ids[i]) == HOLD_OUT, int(k), int(a), n, float(x), float(y) if n else 0.0)
+                    for i, k, a, x, y in zip(some, lengths, known, sums, scores, strict=True)]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
                                          ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
