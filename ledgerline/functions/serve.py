@@ -24,9 +24,14 @@ def flag01(col: Column | str) -> Column:
     return F.coalesce(_c(col).cast("tinyint"), F.lit(0).cast("tinyint"))
 
 
+def flag_text(col: Column | str) -> Column:
+    """P12 on the text of an image value, as a boolean: exactly 'true', 't' or '1'; NULL stays NULL."""
+    return _c(col).isin(*FLAG_TRUE_TEXT)
+
+
 def flag01_text(col: Column | str) -> Column:
     """P12 on text: exactly 'true', 't' or '1' -> 1, anything else -> 0."""
-    return F.when(_c(col).isin(*FLAG_TRUE_TEXT), F.lit(1)).otherwise(F.lit(0)).cast("tinyint")
+    return flag01(flag_text(col))
 
 
 def or_default(col: Column | str, default) -> Column:
@@ -50,10 +55,14 @@ def ts_or_default(col: Column | str) -> Column:
     return F.coalesce(whole_seconds, F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
 
 
+def ts_text(col: Column | str) -> Column:
+    """P13 on text: drop 'Z', cut everything from the first '+', parse; NULL/junk -> NULL."""
+    return F.split(F.regexp_replace(_c(col), "Z", ""), r"\+", 2).getItem(0).try_cast("timestamp_ntz")
+
+
 def ts_text_or_default(col: Column | str) -> Column:
-    """P13 on text: drop 'Z', cut everything from the first '+', parse; NULL/junk -> default."""
-    c = F.split(F.regexp_replace(_c(col), "Z", ""), r"\+", 2).getItem(0)
-    return F.coalesce(c.try_cast("timestamp_ntz"), F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
+    """``ts_text`` with the serve layer's stand-in for a missing time."""
+    return F.coalesce(ts_text(col), F.lit(DEFAULT_TIMESTAMP).cast("timestamp_ntz"))
 
 
 def has_attachment(col: Column | str) -> Column:

@@ -17,12 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import parse, serve
 from ..schemas import CLEAN_REVIEWS, PRODUCT_IMAGE
 from .joins import drop_matching
 from .publish import publish_products, publish_reviews
 from .versions import latest_per_key
 
 OPERATIONS = ("I", "U", "D")
+IMAGE = "map<string,string>"
 UPSERTS = ("I", "U")
 STATE_KEYS = ("table_name", "record_id")
 
@@ -33,10 +35,60 @@ def log_problems(log: DataFrame) -> Column:
              .when(~F.coalesce(F.col("operation").isin(*OPERATIONS), F.lit(False)), F.lit("bad_operation")))
 
 
+def _image() -> Column:
+    """The after image, or the before image when there is none, as name -> value text; NULL unless a JSON object."""
+    return F.from_json(F.coalesce(F.col("new_data"), F.col("old_data")), IMAGE)
+
+
+def image_problems() -> Column:
+    """Why the image of an insert or update cannot be published (NULL when it can).
+
+    A row image must be a JSON object, and a product id must be readable: from
+    the image, or for products from the record key.
+    """
+    upsert = F.col("operation").isin(*UPSERTS)
+    product = _long(F.try_element_at(_image(), F.lit("product_id")))
+    return (F.when(upsert & _image().isNull(), F.lit("bad_image"))
+             .when(upsert & (F.col("table_name") == "products")
+                   & F.coalesce(product, _long(F.col("record_id"))).isNull(), F.lit("bad_product_id"))
+             .when(upsert & (F.col("table_name") == "reviews") & product.isNull(), F.lit("bad_product_id")))
+
+
+def judge(log: DataFrame, routed: bool = True) -> DataFrame:
+    """Log rows with ``reject_reason``; ``routed`` rows must fit the product or review tables."""
+    reason = F.coalesce(F.when(F.col("audit_id").isNull(), F.lit("missing_key")), log_problems(log),
+                        image_problems() if routed else
+                        F.when(F.col("operation").isin(*UPSERTS) & _image().isNull(), F.lit("bad_image")))
+    return log.withColumn("reject_reason", reason)
+
+
+def _long(text: Column) -> Column:
+    return parse.parse_bigint(text)
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """An image value under the serve layer's text rules."""
+    if isinstance(kind, T.BooleanType):
+        return serve.flag_text(text)
+    if isinstance(kind, T.TimestampNTZType):
+        return serve.ts_text(text)
+    if isinstance(kind, T.DecimalType):
+        return parse.parse_decimal(text, kind.precision, kind.scale)
+    if isinstance(kind, T.IntegralType):
+        return _long(text).try_cast(kind)
+    return text
+
+
 def decode(log: DataFrame, payload: T.StructType) -> DataFrame:
-    """Parse the after image, or the before image when there is none."""
-    image = F.coalesce(F.col("new_data"), F.col("old_data"))
-    return log.withColumn("data", F.from_json(image, payload))
+    """The image's values as struct ``data``; values a column cannot hold become NULL.
+
+    The image is parsed once, as text values, so flags and times keep their
+    spelling until the serve layer's rules read them.
+    """
+    parsed = log.withColumn("_image", _image())
+    data = F.struct(*[_typed(F.try_element_at("_image", F.lit(f.name)), f.dataType).alias(f.name)
+                      for f in payload.fields])
+    return parsed.withColumn("data", data).drop("_image")
 
 
 def pending(log: DataFrame, mirror: DataFrame, batch_size: int | None = None) -> DataFrame:
@@ -44,6 +96,8 @@ def pending(log: DataFrame, mirror: DataFrame, batch_size: int | None = None) ->
 
     "Applied" means "present in the mirror", not "below a cursor", so a
     change whose id was assigned early but committed late is not lost (T16).
+    Without ``batch_size`` all of them; ``streaming.changes.drain`` applies
+    them batch after batch until none is left.
     """
     todo = drop_matching(log, mirror.select("audit_id"), "audit_id")
     if batch_size:
@@ -86,22 +140,33 @@ def current_state(versions: DataFrame, keys: Sequence[str] = STATE_KEYS,
     return cur
 
 
-def product_versions(log: DataFrame) -> DataFrame:
-    """P18 + P9: product I/U changes -> dim_products version rows."""
-    rows = decode(log.filter((F.col("table_name") == "products") & F.col("operation").isin(*UPSERTS)),
-                  PRODUCT_IMAGE)
-    flat = rows.select("audit_id", "record_id", "data.*")
-    flat = flat.withColumn("product_id", F.coalesce(F.col("product_id"), F.col("record_id").try_cast("bigint")))
-    return publish_products(flat, version="audit_id")
+def _routed(log: DataFrame, table: str, payload: T.StructType, keep_deletes: bool) -> DataFrame:
+    """Decoded changes of one table; with ``keep_deletes`` its deletes too, marked ``_deleted``."""
+    ops = OPERATIONS if keep_deletes else UPSERTS
+    rows = decode(log.filter((F.col("table_name") == table) & F.col("operation").isin(*ops)), payload)
+    return rows.select("audit_id", "record_id", "data.*",
+                       (F.col("operation") == "D").cast("tinyint").alias("_deleted"))
 
 
-def review_versions(log: DataFrame, products: DataFrame | None) -> DataFrame:
-    """P18 + P11: review I/U changes -> fact_reviews version rows (vendor looked up, J2)."""
-    rows = decode(log.filter((F.col("table_name") == "reviews") & F.col("operation").isin(*UPSERTS)),
-                  CLEAN_REVIEWS)
-    flat = rows.select("audit_id", "record_id", "data.*")
+def product_versions(log: DataFrame, keep_deletes: bool = False) -> DataFrame:
+    """P18 + P9: product changes -> dim_products version rows."""
+    flat = _routed(log, "products", PRODUCT_IMAGE, keep_deletes)
+    flat = flat.withColumn("product_id", F.coalesce(F.col("product_id"), _long(F.col("record_id"))))
+    return publish_products(flat, version="audit_id", extra=["_deleted"] if keep_deletes else [])
+
+
+def review_versions(log: DataFrame, products: DataFrame | None, keep_deletes: bool = False) -> DataFrame:
+    """P18 + P11: review changes -> fact_reviews version rows (vendor looked up, J2)."""
+    flat = _routed(log, "reviews", CLEAN_REVIEWS, keep_deletes)
     flat = flat.withColumn("review_id", F.coalesce(F.col("review_id"), F.col("record_id")))
-    return publish_reviews(flat, products, version="audit_id")
+    return publish_reviews(flat, products, version="audit_id", extra=["_deleted"] if keep_deletes else [])
+
+
+def review_product_ids(log: DataFrame) -> DataFrame:
+    """Products that the review changes of a log refer to."""
+    return (log.filter(F.col("table_name") == "reviews")
+            .select(_long(F.try_element_at(_image(), F.lit("product_id"))).alias("product_id"))
+            .filter(F.col("product_id").isNotNull()))
 
 
 def diff_to_log(diff: DataFrame, changed_at: str | Column | None = None,
@@ -109,8 +174,9 @@ def diff_to_log(diff: DataFrame, changed_at: str | Column | None = None,
     """Give a snapshot diff the change-log shape (audit ids, change time).
 
     Each key occurs once in a diff, so its ids only need to be unique and
-    above the versions already published (0 for a bootstrap snapshot); they
-    need not be stable across recomputation.
+    above the versions already published: pass ``first_id`` = the cursor + 1
+    when other changes were published before.  Write the log before it is used:
+    the ids need not be the same when it is computed again.
     """
     ts = (F.current_timestamp() if changed_at is None
           else changed_at if isinstance(changed_at, Column) else F.lit(changed_at))

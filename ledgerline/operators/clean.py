@@ -53,12 +53,14 @@ def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
     spec_src = {s for s, _, _ in spec}
     keep = [c for c in raw.columns if c.startswith("_") and c not in spec_src]
     src_col = {src: F.col(f"`{src}`").cast("string") for src, _, _ in spec}
-    # 1. parse; numbers also get a "well-formed" flag for the range rule
-    parsed = raw.select(
+    # 1. parse; numbers also get a "well-formed" flag for the range rule.  The
+    # one-row ``inline`` is a fence: the optimizer does not move a filter on
+    # the verdict into the projection below it, which would parse twice.
+    parsed = raw.select(F.inline(F.array(F.struct(
         *[_typed(src_col[src], kind).alias(dst) for src, dst, kind in spec],
         *[P.is_number(src_col[src]).alias(f"__num_{dst}")
           for src, dst, kind in spec if kind in ("bigint", "int", "int0", "decimal")],
-        *keep)
+        *[F.col(c) for c in keep]))))
     # 2. judge; defaults apply only after the range rule has seen the NULL
     verdict = None
     for cond, reason in reasons(spec):

@@ -1,8 +1,7 @@
 """The four data marts (M1-M4): builds and the reads the reports run.
 
 Builds take the *current* serve-layer views (dim_products, fact_reviews)
-and are written as whole snapshots (``sinks.publish_snapshot``), never
-truncated in place.  ``computed_at`` is the build time and is left out of
+and are written as whole snapshots, never truncated in place.  ``computed_at`` is the build time and is left out of
 any comparison.
 """
 
@@ -23,18 +22,19 @@ def _computed_at():
 def build_top_vendors(products: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
     """M1 (A7): one row per vendor.
 
-    The descriptive columns come from the vendor's lowest product id
-    (``min_by``) instead of an arbitrary row (T13), and ``total_reviews`` is
-    the vendor's real count of current reviews rather than a constant 0 --
-    both stated deviations.  Reviews are counted per product first (a
-    map-side partial count), so the join sees one row per product.
+    The descriptive columns come from the vendor's lowest product id instead
+    of an arbitrary row (T13), and ``total_reviews`` is the vendor's real count
+    of current reviews rather than a constant 0 -- both stated deviations.
+    Only numbers are aggregated, so the aggregates hash; the texts are fetched
+    by that lowest product id afterwards.  Reviews are counted per product
+    first (a map-side partial count), so the join sees one row per product.
     """
     agg = (products.groupBy("vendor_id")
-           .agg(F.min_by("vendor_name", "product_id").alias("vendor_name"),
-                F.min_by("vendor_owner_city", "product_id").alias("vendor_owner_city"),
-                F.min_by("vendor_province_id", "product_id").alias("vendor_province_id"),
+           .agg(F.min("product_id").alias("_first_product"),
                 F.sum("sales_count_week").cast("bigint").alias("weekly_sales"),
                 exact_avg("rating_average").alias("rating_average")))
+    agg = agg.join(products.select(F.col("product_id").alias("_first_product"), "vendor_name",
+                                   "vendor_owner_city", "vendor_province_id"), "_first_product", "left")
     if reviews is None:
         counts = agg.withColumn("total_reviews", F.lit(0).cast("bigint"))
     else:
@@ -83,16 +83,17 @@ def build_trending(products: DataFrame, reviews: DataFrame, as_of: str | dt.date
     per_product = (reviews.filter(F.col("created_at") >= start.cast("timestamp_ntz"))
                    .groupBy("product_id", F.trunc(F.to_date("created_at"), "MM").alias("month_start"))
                    .agg(F.count(F.lit(1)).alias("_reviews")))
-    joined = per_product.join(
-        products.select("product_id", "category_id", "category_title", "sales_count_week"),
-        "product_id")
-    return (joined.groupBy("category_id", "month_start")
-            .agg(F.min_by("category_title", "product_id").alias("category_title"),
-                 F.sum("_reviews").cast("bigint").alias("monthly_reviews"),
-                 F.sum(F.col("sales_count_week") * F.col("_reviews")).cast("bigint").alias("weekly_sales"),
-                 F.sum("sales_count_week").cast("bigint").alias("category_weekly_sales"))
-            .select("category_id", "category_title", "monthly_reviews", "weekly_sales",
-                    "category_weekly_sales", "month_start", _computed_at()))
+    titles = products.select("product_id", "category_id", "category_title", "sales_count_week")
+    joined = per_product.join(titles, "product_id")
+    agg = (joined.groupBy("category_id", "month_start")
+           .agg(F.min("product_id").alias("_first_product"),
+                F.sum("_reviews").cast("bigint").alias("monthly_reviews"),
+                F.sum(F.col("sales_count_week") * F.col("_reviews")).cast("bigint").alias("weekly_sales"),
+                F.sum("sales_count_week").cast("bigint").alias("category_weekly_sales")))
+    named = agg.join(titles.select(F.col("product_id").alias("_first_product"), "category_title"),
+                     "_first_product", "left")
+    return named.select("category_id", "category_title", "monthly_reviews", "weekly_sales",
+                        "category_weekly_sales", "month_start", _computed_at())
 
 
 def read_trending(mart: DataFrame, n: int = 10) -> DataFrame:

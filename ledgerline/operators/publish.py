@@ -49,11 +49,13 @@ def _version(version: Column | str | int | None) -> Column:
     return (F.col(version) if isinstance(version, str) else version).cast("bigint")
 
 
-def publish_products(products: DataFrame, version: Column | str | int | None = None) -> DataFrame:
+def publish_products(products: DataFrame, version: Column | str | int | None = None,
+                     extra: Iterable[str] = ()) -> DataFrame:
     """Typed clean products -> dim_products rows.
 
     ``version`` is the change's ``audit_id`` for CDC rows and 0 for the
     bootstrap snapshot, so versions are deterministic and never tie (T7).
+    ``extra`` columns are carried along as they are.
     """
     cols = []
     for f in DIM_PRODUCTS.fields:
@@ -71,11 +73,11 @@ def publish_products(products: DataFrame, version: Column | str | int | None = N
         else:
             e = S.or_default(n, PRODUCT_DEFAULTS[n])
         cols.append(e.cast(f.dataType).alias(n))
-    return products.select(*cols)
+    return products.select(*cols, *extra)
 
 
 def publish_reviews(reviews: DataFrame, products: DataFrame | None = None,
-                    version: Column | str | int | None = None) -> DataFrame:
+                    version: Column | str | int | None = None, extra: Iterable[str] = ()) -> DataFrame:
     """P11/P14/P16 + J2: typed clean reviews -> fact_reviews rows.
 
     ``vendor_id`` is looked up from ``products`` as of publish time (T19); a
@@ -115,4 +117,4 @@ def publish_reviews(reviews: DataFrame, products: DataFrame | None = None,
         else:
             e = S.or_default(n, REVIEW_DEFAULTS[n])
         cols.append(e.cast(f.dataType).alias(n))
-    return src.select(*cols)
+    return src.select(*cols, *extra)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,13 +19,17 @@ from ..operators import cdc, clean, load, marts
 from ..operators import analytics as A
 from ..operators.publish import publish_products, publish_reviews
 from ..operators.versions import compact, latest_per_key, sum_collapse
-from ..schemas import AUDIT_LOG
+from ..schemas import AUDIT_LOG, CLEAN_REVIEWS, PRODUCT_IMAGE
 from ..session import new_scratch_dir
-from ..sinks.parquet import stage, write_fact_by_month
+from ..sinks.parquet import read_log, stage, write_fact_by_month
 from ..sources import adapters as V
 from ..sources import raw as R
 from ..sources.serve import read_fact
-from ..streaming.changes import StreamPaths, run_change_stream
+from ..sources.tables import read_table
+from ..streaming import changes
+from ..streaming import serving as SP
+from ..streaming.changes import StreamPaths, drain, make_batch_handler, run_change_stream
+from ..streaming.replay import read_mirror, run_id_of
 from . import sql_rules as Q
 from .analytical import PRODUCT_ID
 from .registry import register
@@ -36,7 +40,7 @@ from .views_sql import with_views
 AS_OF = "2001-08-01"
 WINDOW_DAYS = 30
 MIRROR_CUTOFF = "2024-01-15 00:00:00"   # changes before this were applied earlier
-BATCH_SIZE = 500                         # loader batch cap (L8)
+BATCH_SIZE = 500                         # the reference loader's batch cap (L8)
 SNAPSHOT_CUTOFF = "1998-01-01 00:00:00"  # the older snapshot of the diff
 CHANGE_PAYLOAD = T.StructType([T.StructField("k", T.LongType(), True)])
 
@@ -82,16 +86,18 @@ _SERVED = (("s_products", Q.served_products("v_products")),
 @register("latest_version", with_views(
     f"SELECT {REVIEW_COLS_SQL} FROM v_reviews", "v_reviews"))
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = V.v_review_log(spark, sf_dir)
-    return latest_per_key(log, ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+    """D3 over the line log, before its rows are joined with their orders."""
+    newest = latest_per_key(V.review_lines(spark, sf_dir), list(V.LINE_KEY), list(V.LINE_ORDER))
+    return V.with_orders(spark, sf_dir, newest).select(*REVIEW_COLS)
 
 
 @register("compacted", with_views(
     f"SELECT {REVIEW_COLS_SQL} FROM v_reviews", "v_reviews"))
 def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line log rewritten as its current view, read back and joined with the orders."""
     target = new_scratch_dir(spark, "compacted-reviews")
-    compact(V.v_review_log(spark, sf_dir), ["review_id"], list(V.REVIEW_LOG_ORDER), target)
-    return spark.read.parquet(target).select(*REVIEW_COLS)
+    compact(V.review_lines(spark, sf_dir), list(V.LINE_KEY), list(V.LINE_ORDER), target)
+    return V.with_orders(spark, sf_dir, spark.read.parquet(target)).select(*REVIEW_COLS)
 
 
 _FIRSTS_SQL = f"""
@@ -103,8 +109,8 @@ SELECT * EXCLUDE (rn) FROM (
 @register("first_wins", with_views(
     f"SELECT {REVIEW_COLS_SQL} FROM firsts", "v_review_log", extra=(("firsts", _FIRSTS_SQL),)))
 def first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = V.v_review_log(spark, sf_dir)
-    return load.first_wins(log, ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
+    first = load.first_wins(V.review_lines(spark, sf_dir), list(V.LINE_KEY), list(V.LINE_ORDER))
+    return V.with_orders(spark, sf_dir, first).select(*REVIEW_COLS)
 
 
 @register("insert_or_ignore", with_views("""
@@ -191,12 +197,11 @@ def _raw_reviews_sql() -> str:
 
 
 def _assessed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw products parsed and judged in one pass, landed once (see ``sinks.stage``)."""
-    return stage(clean.assess_products(R.raw_products(spark, sf_dir)), "assessed-products")
+    return clean.assess_products(R.raw_products(spark, sf_dir))
 
 
 def _assessed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(clean.assess_reviews(R.raw_reviews(spark, sf_dir)), "assessed-reviews")
+    return clean.assess_reviews(R.raw_reviews(spark, sf_dir))
 
 
 _CLEAN_CTES = (("raw_products", _raw_products_sql()),
@@ -275,12 +280,17 @@ def dm_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top_vendors(spark, sf_dir).drop("computed_at")
 
 
+def stored(mart: DataFrame) -> DataFrame:
+    """A mart as its readers find it: written, then read."""
+    return stage(mart, "mart")
+
+
 @register("dm_top_vendors_read", with_views(
     "SELECT vendor_id, vendor_name, weekly_sales, rating_average FROM dm1 "
     "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
 def dm_top_vendors_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_top_vendors(_top_vendors(spark, sf_dir))
+    return marts.read_top_vendors(stored(_top_vendors(spark, sf_dir)))
 
 
 @register("dm_free_shipping", with_views(
@@ -297,7 +307,7 @@ SELECT preparation_days, is_free_shipping,
        CAST(SUM(sales_count_week) AS BIGINT) AS total_sales
 FROM s_products GROUP BY 1, 2 ORDER BY 1, 2""", "v_products", extra=_SERVED[:1]))
 def dm_free_shipping_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_free_shipping(marts.build_free_shipping(_served_products(spark, sf_dir)))
+    return marts.read_free_shipping(stored(marts.build_free_shipping(_served_products(spark, sf_dir))))
 
 
 _WINDOW_SQL = f"r.created_at >= CAST(DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AS TIMESTAMP)"
@@ -337,7 +347,7 @@ def dm_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY monthly_reviews DESC, category_id, month_start LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + _TRENDING_CTES))
 def dm_trending_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_trending(_trending(spark, sf_dir))
+    return marts.read_trending(stored(_trending(spark, sf_dir)))
 
 
 _ENGAGEMENT_SQL = """
@@ -361,7 +371,7 @@ SELECT has_attachment, CAST(SUM(like_count) AS DOUBLE) / COUNT(like_count) AS av
        COUNT(*) AS review_count FROM dm4 GROUP BY 1 ORDER BY 1""", "v_reviews", "v_products",
     extra=_SERVED + (("dm4", _ENGAGEMENT_SQL),)))
 def dm_engagement_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_engagement(_engagement(spark, sf_dir))
+    return marts.read_engagement(stored(_engagement(spark, sf_dir)))
 
 
 @register("sum_collapse", with_views("""
@@ -435,7 +445,10 @@ def cdc_apply_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("cdc_mirror", with_views(
     "SELECT audit_id, table_name, operation, record_id, changed_at FROM v_audit", "v_audit"))
 def cdc_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.mirror_rows(V.v_audit(spark, sf_dir), 0).drop("loaded_at", "batch_id")
+    """K5: the mirror that applying the log wrote."""
+    paths = _stream_log(spark, V.v_audit(spark, sf_dir))
+    run_change_stream(spark, paths, CHANGE_PAYLOAD)
+    return read_mirror(spark, paths.mirror).drop("loaded_at", "run_id", "batch_id")
 
 
 @register("cdc_cursor", with_views(
@@ -451,6 +464,25 @@ SELECT {REVIEW_COLS_SQL} FROM (
   FROM v_review_log WHERE updated_at < TIMESTAMP '{SNAPSHOT_CUTOFF}') t WHERE rn = 1"""
 
 
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The reviews as of the cutoff and as of now, resolved in one pass over the line log.
+
+    One window ranks a key's lines newest first; the ship date leads the order,
+    so the first line before the cutoff is the older snapshot's.  Both frames
+    filter that one result, whose shuffle Spark reuses.
+    """
+    w = Window.partitionBy(*V.LINE_KEY).orderBy(*[F.col(c).desc() for c in V.LINE_ORDER])
+    is_old = F.col("l_shipdate") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")
+    ranked = V.review_lines(spark, sf_dir).select(
+        "*", F.row_number().over(w).alias("_rank"), is_old.alias("_old"),
+        F.sum(is_old.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_old_rank"))
+    # one of the two copies of a line at most; the filters above read the same join
+    kept = V.with_orders(spark, sf_dir, ranked.where("_rank = 1 or (_old and _old_rank = 1)"),
+                         keep=("_rank", "_old", "_old_rank"))
+    return (kept.where("_old and _old_rank = 1").select(*REVIEW_COLS),
+            kept.where("_rank = 1").select(*REVIEW_COLS))
+
+
 @register("cdc_snapshot_diff", with_views("""
 SELECT CASE WHEN o.review_id IS NULL THEN 'I' WHEN n.review_id IS NULL THEN 'D' ELSE 'U' END AS operation,
        COALESCE(n.review_id, o.review_id) AS record_id,
@@ -466,10 +498,7 @@ WHERE o.review_id IS NULL OR n.review_id IS NULL
        AND o.updated_at IS NOT DISTINCT FROM n.updated_at)""",
     "v_reviews", extra=(("old_snap", _OLD_SNAPSHOT_SQL),)))
 def cdc_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = V.v_review_log(spark, sf_dir)
-    old = latest_per_key(log.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
-                         ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
-    new = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    old, new = _snapshots(spark, sf_dir)
     diff = cdc.snapshot_diff(old, new, ["review_id"], "reviews")
     ts = T.StructType([T.StructField("updated_at", T.TimestampNTZType()),
                        T.StructField("like_count", T.IntegerType())])
@@ -482,25 +511,62 @@ def cdc_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
                        n.getField("like_count").alias("new_like_count"))
 
 
-@register("stream_apply", with_views(_APPLY_SQL, "v_audit"))
-def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """I1-I6 end to end: the log arrives as files, a stream applies them batch by batch."""
+def _stream_log(spark: SparkSession, log: DataFrame) -> StreamPaths:
+    """The log as export files, in as many files as its own partitions."""
     base = new_scratch_dir(spark, "change-stream")
     paths = StreamPaths(source=f"{base}/incoming", versions=f"{base}/versions",
                         mirror=f"{base}/mirror", checkpoint=f"{base}/checkpoint")
-    log = V.v_audit(spark, sf_dir).select(*AUDIT_LOG.names)
-    # Four export files, each a range of audit ids; the stream reads them in
-    # whatever order they are listed -- versions are keyed by audit_id.
-    log.repartitionByRange(4, "audit_id").write.mode("overwrite").parquet(paths.source)
-    run_change_stream(spark, paths, CHANGE_PAYLOAD, max_files_per_trigger=1)
-    versions = spark.read.parquet(paths.versions).drop("batch_id")
+    log.select(*AUDIT_LOG.names).write.mode("overwrite").parquet(paths.source)
+    return paths
+
+
+def _stream_state(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    versions = spark.read.parquet(paths.versions).drop("run_id", "batch_id")
     return cdc.current_state(versions).select("table_name", "record_id", "k", "_version")
 
 
+@register("stream_apply", with_views(_APPLY_SQL, "v_audit"))
+def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1-I6 end to end: the log arrives as files, a stream applies them batch by batch."""
+    paths = _stream_log(spark, V.v_audit(spark, sf_dir))
+    run_change_stream(spark, paths, CHANGE_PAYLOAD)
+    return _stream_state(spark, paths)
+
+
+@register("cdc_two_checkpoints", with_views(
+    f"SELECT s.*, m.n AS mirrored FROM ({_APPLY_SQL}) s CROSS JOIN (SELECT COUNT(*) AS n FROM v_audit) m", "v_audit"))
+def cdc_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream with a new checkpoint sees old files again, and more; nothing is lost or doubled.
+
+    The first run gets the changes before the cutoff, the second the whole
+    log; ``mirrored`` counts the mirror's rows and would show a doubled id.
+    """
+    log = V.v_audit(spark, sf_dir)
+    first = _stream_log(spark, log.filter(F.col("changed_at") < F.lit(MIRROR_CUTOFF).cast("timestamp_ntz")))
+    run_change_stream(spark, first, CHANGE_PAYLOAD)
+    log.select(*AUDIT_LOG.names).write.mode("append").parquet(first.source)
+    second = StreamPaths(first.source, first.versions, first.mirror, f"{first.checkpoint}-2")
+    run_change_stream(spark, second, CHANGE_PAYLOAD)
+    n = read_mirror(spark, first.mirror).agg(F.count(F.lit(1)).alias("mirrored"))
+    return _stream_state(spark, second).crossJoin(F.broadcast(n))
+
+
+@register("cdc_drain", with_views(_APPLY_SQL, "v_audit"))
+def cdc_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5/K6/L8 in batch form: the log applied in capped batches until the mirror holds all of it."""
+    log = V.v_audit(spark, sf_dir)
+    paths = _stream_log(spark, log.limit(0))
+    total = log.count()
+    handle = make_batch_handler(CHANGE_PAYLOAD, paths, "drain")
+    drain(spark, log.select(*AUDIT_LOG.names), paths.mirror, "drain", handle,
+          batch_size=max(BATCH_SIZE, -(-total // 4)))
+    return _stream_state(spark, paths)
+
+
 # ------------------------------------------------------- Q10 (K1, K8)
 NEW_REVIEW = {
-    "review_id": "new_review_001", "product_id": PRODUCT_ID, "user_id": 15127771, "star": 5,
-    "description": "great product", "is_public": True,
+    "review_id": "walk-in-1", "product_id": PRODUCT_ID, "user_id": 4242, "star": 5,
+    "description": "arrived early, works well", "is_public": True,
     "created_at": dt.datetime(2001, 8, 2), "updated_at": dt.datetime(2001, 8, 2),
 }
 
@@ -509,17 +575,34 @@ NEW_REVIEW = {
 SELECT review_id, product_id, user_id, star, description, created_at FROM (
   SELECT review_id, product_id, user_id, star, description, is_public, created_at FROM v_reviews
   UNION ALL
-  SELECT 'new_review_001', {PRODUCT_ID}, 15127771, CAST(5 AS SMALLINT), 'great product', TRUE,
+  SELECT 'walk-in-1', {PRODUCT_ID}, 4242, CAST(5 AS SMALLINT), 'arrived early, works well', TRUE,
          TIMESTAMP '2001-08-02 00:00:00') t
 WHERE product_id = {PRODUCT_ID} AND is_public
 ORDER BY created_at DESC NULLS LAST, review_id LIMIT 10""", "v_reviews"))
 def q10_append_visible(spark: SparkSession, sf_dir: str) -> DataFrame:
-    current = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in current.schema.fields])
-    row = tuple(NEW_REVIEW.get(f.name) for f in schema.fields)
-    new = spark.createDataFrame([row], schema)
-    after = load.insert_or_ignore(new, current, ["review_id"], ["review_id"])
-    return A.latest_public(after, PRODUCT_ID)
+    """K8: one row is inserted and logged, the change travels, and Q8 shows it.
+
+    The insert checks one key and writes one row and one change-log row.  The
+    change stream publishes it, and the report reads the product's reviews and
+    what was published for it.
+    """
+    base = new_scratch_dir(spark, "insert")
+    schema = T.StructType([*CLEAN_REVIEWS.fields])
+    new = spark.createDataFrame([tuple(NEW_REVIEW.get(f.name) for f in schema.fields)], schema)
+    same_key = V.v_review_log(spark, sf_dir).filter(F.col("review_id") == NEW_REVIEW["review_id"])
+    row = load.rows_to_insert(new, same_key, ["review_id"], ["review_id"])
+    row.coalesce(1).write.parquet(f"{base}/reviews")
+    inserted = read_log(spark, f"{base}/reviews", schema)
+    change = cdc.diff_to_log(cdc.snapshot_diff(inserted.limit(0), inserted, ["review_id"], "reviews"),
+                             changed_at="2001-08-02 00:00:00")
+    layout = SP.ServeLayout(f"{base}/serve")
+    change.coalesce(1).write.parquet(layout.path("incoming"))
+    changes.start(spark, layout.path("incoming"), layout.checkpoint,
+                  SP.make_serving_handler(layout, run_id_of(spark, layout.checkpoint), AS_OF, refresh_every=10**9))
+    columns = ["review_id", "product_id", "user_id", "star", "description", "is_public", "created_at"]
+    published = SP.current_reviews(spark, layout).select(*columns).withColumn("is_public", F.col("is_public") == 1)
+    current = V.v_reviews(spark, sf_dir, product_id=PRODUCT_ID).select(*columns)
+    return A.latest_public(current.unionByName(published), PRODUCT_ID)
 
 
 # ------------------------------------------------------- full-image round trip (I7 -> P17/P18/P11 -> D3)
@@ -532,15 +615,12 @@ def cdc_snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     so this runs the real decode -> route -> publish path; the current view
     afterwards must equal publishing the new snapshot directly.
     """
-    log_rows = V.v_review_log(spark, sf_dir)
-    old = latest_per_key(log_rows.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
-                         ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
-    new = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    old, new = _snapshots(spark, sf_dir)
     products = V.v_products(spark, sf_dir)
-    changes = cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
-                              changed_at=SNAPSHOT_CUTOFF)
+    changes_ = cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
+                               changed_at=SNAPSHOT_CUTOFF)
     base = publish_reviews(old, products, version=0)
-    versions = base.unionByName(cdc.review_versions(changes, products))
+    versions = base.unionByName(cdc.review_versions(changes_, products))
     return latest_per_key(versions, ["review_id"], ["_version"]).drop("_version")
 
 
@@ -559,30 +639,100 @@ def cdc_log_check(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
+_BAD_LOG_SQL = """
+SELECT event_id AS audit_id, CASE WHEN event_id % 23 = 1 THEN NULL ELSE 'reviews' END AS table_name,
+  CASE WHEN event_id % 23 = 2 THEN 'X' WHEN event_id % 23 = 3 THEN NULL ELSE 'U' END AS operation,
+  CAST(user_id AS VARCHAR) AS record_id,
+  CASE event_id % 23 WHEN 4 THEN '{"review_id": "cut' WHEN 5 THEN '[1, 2]' WHEN 6 THEN ''
+    WHEN 7 THEN '{"product_id": "abc", "star": 1}' WHEN 8 THEN '{"star": 2}'
+    ELSE '{"product_id": ' || user_id || ', "star": ' || (1 + event_id % 5) || ', "is_public": '
+      || CASE event_id % 4 WHEN 0 THEN '"t"' WHEN 1 THEN '1' WHEN 2 THEN 'true' ELSE '"yes"' END
+      || ', "created_at": "2024-02-03T04:05:06' || CASE event_id % 3 WHEN 0 THEN '+03:30' WHEN 1 THEN 'Z' ELSE '' END
+      || '"}' END AS new_data
+FROM events"""
+
+
+def _bad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log from ``events`` with planted rows that cannot be read."""
+    e = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts"])
+    k, user = F.col("event_id") % 23, F.col("user_id").cast("string")
+    flag = (F.when(F.col("event_id") % 4 == 0, '"t"').when(F.col("event_id") % 4 == 1, "1")
+             .when(F.col("event_id") % 4 == 2, "true").otherwise('"yes"'))
+    zone = F.when(F.col("event_id") % 3 == 0, "+03:30").when(F.col("event_id") % 3 == 1, "Z").otherwise("")
+    good = F.concat(F.lit('{"product_id": '), user, F.lit(', "star": '), (1 + F.col("event_id") % 5).cast("string"),
+                    F.lit(', "is_public": '), flag, F.lit(', "created_at": "2024-02-03T04:05:06'), zone, F.lit('"}'))
+    image = (F.when(k == 4, '{"review_id": "cut').when(k == 5, "[1, 2]").when(k == 6, "")
+              .when(k == 7, '{"product_id": "abc", "star": 1}').when(k == 8, '{"star": 2}').otherwise(good))
+    return e.select(F.col("event_id").alias("audit_id"), F.when(k != 1, "reviews").alias("table_name"),
+                    F.when(k == 2, "X").when(k != 3, "U").alias("operation"), user.alias("record_id"),
+                    F.lit(None).cast("string").alias("old_data"), image.alias("new_data"),
+                    F.col("ts").alias("changed_at"))
+
+
+_JUDGED_SQL = """
+SELECT *, CASE WHEN table_name IS NULL THEN 'missing_key'
+    WHEN operation IS NULL OR operation <> 'U' THEN 'bad_operation'
+    WHEN audit_id % 23 IN (4, 5, 6) THEN 'bad_image'
+    WHEN audit_id % 23 IN (7, 8) THEN 'bad_product_id' END AS reason FROM bad_log"""
+
+
+@register("cdc_rejects", with_views("""
+SELECT 'rejected' AS outcome, reason AS detail, COUNT(*) AS row_count, CAST(NULL AS INTEGER) AS is_public,
+  CAST(NULL AS TIMESTAMP) AS created_at
+FROM judged WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL
+SELECT 'current', CAST(1 + audit_id % 5 AS VARCHAR), COUNT(*), CASE WHEN audit_id % 4 < 3 THEN 1 ELSE 0 END,
+  TIMESTAMP '2024-02-03 04:05:06'
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY record_id ORDER BY audit_id DESC) AS rn
+      FROM judged WHERE reason IS NULL) newest
+WHERE rn = 1 GROUP BY ALL
+UNION ALL
+SELECT 'mirrored', NULL, COUNT(*), NULL, NULL FROM bad_log""",
+    extra=(("bad_log", _BAD_LOG_SQL), ("judged", _JUDGED_SQL))))
+def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C15/P12/P13/P17 in the serving stream: unreadable rows go aside and replace nothing."""
+    layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
+    _bad_log(spark, sf_dir).write.parquet(layout.path("incoming"))
+    changes.start(spark, layout.path("incoming"), layout.checkpoint,
+                  SP.make_serving_handler(layout, run_id_of(spark, layout.checkpoint), AS_OF, refresh_every=10**9))
+    none = F.lit(None)
+    rejects = spark.read.parquet(layout.rejects).groupBy(F.col("reject_reason").alias("detail")).agg(
+        F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("rejected").alias("outcome"), "detail", "row_count", none.cast("int").alias("is_public"),
+        none.cast("timestamp_ntz").alias("created_at"))
+    now = (SP.current_reviews(spark, layout)
+           .groupBy(F.col("star").cast("string").alias("detail"), F.col("is_public").cast("int").alias("is_public"),
+                    "created_at").agg(F.count(F.lit(1)).alias("row_count"))
+           .select(F.lit("current").alias("outcome"), "detail", "row_count", "is_public", "created_at"))
+    mirrored = read_mirror(spark, layout.mirror).agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("mirrored").alias("outcome"), none.cast("string").alias("detail"), "row_count",
+        none.cast("int").alias("is_public"), none.cast("timestamp_ntz").alias("created_at"))
+    return rejects.unionByName(now).unionByName(mirrored)
+
+
 # ------------------------------------------------------- the whole serve side
-def _run_serving(spark: SparkSession, sf_dir: str):
-    """Bootstrap from the old snapshot, stream the change log to the new one, refresh marts."""
-    from ..streaming import serving as SP
+def _bootstrapped(spark: SparkSession, sf_dir: str) -> tuple[SP.ServeLayout, DataFrame, DataFrame]:
+    """A serve layer with the older snapshot, and both snapshots."""
     layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
-    log_rows = V.v_review_log(spark, sf_dir)
-    old = latest_per_key(log_rows.filter(F.col("updated_at") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz")),
-                         ["review_id"], list(V.REVIEW_LOG_ORDER)).select(*REVIEW_COLS)
-    new = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
-    products = V.v_products(spark, sf_dir)
-    SP.bootstrap(spark, layout, products, old, as_of=AS_OF)
-    changes = cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
-                              changed_at=SNAPSHOT_CUTOFF)
+    old, new = _snapshots(spark, sf_dir)
+    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), old, as_of=AS_OF)
+    return layout, old, new
+
+
+def _run_serving(spark: SparkSession, sf_dir: str) -> SP.ServeLayout:
+    """Bootstrap from the old snapshot, stream the change log to the new one, refresh marts."""
+    layout, old, new = _bootstrapped(spark, sf_dir)
     source = layout.path("incoming")
-    changes.repartitionByRange(3, "audit_id").write.mode("overwrite").parquet(source)
+    cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
+                    changed_at=SNAPSHOT_CUTOFF).write.mode("overwrite").parquet(source)
     SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
-    return SP, layout
+    return layout
 
 
 @register("serve_stream_reviews", with_views(
     "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
 def serve_stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    SP, layout = _run_serving(spark, sf_dir)
-    return SP.current_reviews(spark, layout).drop("_version")
+    return SP.current_reviews(spark, _run_serving(spark, sf_dir)).drop("_version")
 
 
 @register("serve_stream_top_vendors", with_views(
@@ -590,5 +740,90 @@ def serve_stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
 def serve_stream_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    SP, layout = _run_serving(spark, sf_dir)
-    return marts.read_top_vendors(SP.read_mart(spark, layout, "dm_top_vendors"))
+    return marts.read_top_vendors(SP.read_mart(spark, _run_serving(spark, sf_dir), "dm_top_vendors"))
+
+
+@register("serve_marts", with_views("""
+SELECT 'dm_top_vendors' AS mart, COUNT(*) AS row_count, CAST(SUM(weekly_sales) AS BIGINT) AS total FROM dm1
+UNION ALL SELECT 'dm_free_shipping_analysis', COUNT(*), CAST(SUM(sales_count_week) AS BIGINT) FROM s_products
+UNION ALL SELECT 'dm_trending_categories', COUNT(*), CAST(SUM(monthly_reviews) AS BIGINT) FROM dm3
+UNION ALL SELECT 'dm_review_engagement', COUNT(*), CAST(SUM(like_count) AS BIGINT) FROM dm4""",
+    "v_reviews", "v_products", extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),) + _TRENDING_CTES
+    + (("dm4", _ENGAGEMENT_SQL),)))
+def serve_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: all four stored marts of the live build, after the stream has ended."""
+    layout = _run_serving(spark, sf_dir)
+    sums = {"dm_top_vendors": "weekly_sales", "dm_free_shipping_analysis": "sales_count_week",
+            "dm_trending_categories": "monthly_reviews", "dm_review_engagement": "like_count"}
+    out = None
+    for name in SP.MART_NAMES:
+        part = SP.read_mart(spark, layout, name).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum(sums[name]).cast("bigint").alias("total")).select(
+            F.lit(name).alias("mart"), "row_count", "total")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("serve_stream_products", with_views(
+    "SELECT * EXCLUDE (_version) REPLACE (CAST(rating_average AS DOUBLE) AS rating_average, "
+    "CAST(vendor_score AS DOUBLE) AS vendor_score) FROM s_products", "v_products", extra=_SERVED[:1]))
+def serve_stream_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I1, product branch: every product changed after the bootstrap, and changed back by the stream."""
+    layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
+    now = V.v_products(spark, sf_dir).select(*[c for c in PRODUCT_IMAGE.names if c != "created_at"])
+    old = now.withColumns({"price": F.col("price") + 1, "stock": F.lit(None).cast("int"),
+                           "is_available": ~F.col("is_available"), "vendor_name": F.lit("before")})
+    SP.bootstrap(spark, layout, old, V.v_reviews(spark, sf_dir).select(*REVIEW_COLS).limit(0), as_of=AS_OF)
+    source = layout.path("incoming")
+    cdc.diff_to_log(cdc.snapshot_diff(old, now, ["product_id"], "products"),
+                    changed_at=SNAPSHOT_CUTOFF).write.parquet(source)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    return _dec_to_double(SP.current_products(spark, layout).drop("_version"))
+
+
+@register("serve_stream_deletes", with_views(f"""
+SELECT review_id, product_id, like_count, 'kept' AS view FROM s_reviews
+UNION ALL SELECT review_id, product_id, like_count, 'applied' FROM s_reviews WHERE product_id % 3 <> 0""",
+    "v_reviews", "v_products", extra=_SERVED[1:]))
+def serve_stream_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I8: reviews of every third product are deleted; the default view keeps them, the other drops them."""
+    layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
+    now = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
+    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), now, as_of=AS_OF)
+    source = layout.path("incoming")
+    cdc.diff_to_log(cdc.snapshot_diff(now, now.where("product_id % 3 <> 0"), ["review_id"], "reviews"),
+                    changed_at=SNAPSHOT_CUTOFF).write.parquet(source)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    SP.compact_serve(spark, layout)
+    columns = ["review_id", "product_id", "like_count"]
+    return SP.current_reviews(spark, layout).select(*columns, F.lit("kept").alias("view")).unionByName(
+        SP.current_reviews(spark, layout, apply_deletes=True).select(*columns, F.lit("applied").alias("view")))
+
+
+@register("serve_rebootstrap", with_views(
+    "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
+def serve_rebootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I4: changes are streamed, then a full sync of the newer snapshot replaces the base.
+
+    The old base has reviews under other months and the stream has undone the
+    newer ones; the sync, at the log's high-water mark, outranks both.
+    """
+    layout, old, new = _bootstrapped(spark, sf_dir)
+    source = layout.path("incoming")
+    undo = old.withColumns({"like_count": F.col("like_count") + 100, "created_at": F.lit("1990-01-01").cast("timestamp_ntz")})
+    cdc.diff_to_log(cdc.snapshot_diff(old, undo, ["review_id"], "reviews"),
+                    changed_at=SNAPSHOT_CUTOFF).write.parquet(source)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), old, as_of=AS_OF)      # there is a base: nothing happens
+    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), new, as_of=AS_OF,
+                 high_water=SP.high_water(read_mirror(spark, layout.mirror)), again=True)
+    return SP.current_reviews(spark, layout).drop("_version")
+
+
+@register("serve_compacted", with_views(
+    "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
+def serve_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 in the pipeline: the stream's batches folded into a new base, whose rows need no ranking."""
+    layout = _run_serving(spark, sf_dir)
+    SP.compact_serve(spark, layout)
+    return SP.current_reviews(spark, layout).drop("_version")

@@ -102,6 +102,10 @@ FACT_REVIEWS = _struct(
     ("updated_at", TS), ("_version", L), ("created_month", S),
 )
 
+# The stored version logs also keep deletes, as rows marked ``_deleted``.
+DIM_PRODUCTS_LOG = T.StructType([*DIM_PRODUCTS.fields, T.StructField("_deleted", TI, True)])
+FACT_REVIEWS_LOG = T.StructType([*FACT_REVIEWS.fields, T.StructField("_deleted", TI, True)])
+
 AUDIT_LOG = _struct(
     ("audit_id", L), ("table_name", S), ("operation", S), ("record_id", S),
     ("old_data", S), ("new_data", S), ("changed_at", TS),
@@ -109,5 +113,5 @@ AUDIT_LOG = _struct(
 
 AUDIT_MIRROR = _struct(
     ("audit_id", L), ("table_name", S), ("operation", S), ("record_id", S),
-    ("changed_at", TS), ("loaded_at", T.TimestampType()), ("batch_id", L),
+    ("changed_at", TS), ("loaded_at", T.TimestampType()), ("run_id", S), ("batch_id", L),
 )

@@ -3,13 +3,14 @@
 Writes are appends of new files or whole-partition replacements, never
 in-place edits, so a failed or repeated task/job leaves no partial state:
 Spark's file commit protocol discards attempts that did not commit, and a
-batch re-run overwrites only its own ``batch_id`` partition.
+batch re-run overwrites only its own folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,19 +27,23 @@ def append(df: DataFrame, path: str, schema: T.StructType | None = None,
     w.parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int,
+def write_batch(df: DataFrame, path: str, run_id: str, batch_id: int,
                 partition_by: Sequence[str] = ()) -> None:
-    """Idempotent write of one micro-batch.
-
-    Rows land under ``batch_id=<id>`` (plus any further partition columns)
-    with dynamic partition overwrite, so replaying a batch after a crash
-    replaces its own files instead of adding duplicates (T10).
+    """Idempotent write of one micro-batch of one stream run.
+
+    Rows replace the folder ``run_id=<run>/batch_id=<id>`` (plus any further
+    partition columns), so replaying a batch after a crash replaces its own
+    files instead of adding duplicates (T10).  Batch ids restart with every
+    new checkpoint; the run id keeps the batches of different checkpoints
+    apart.  With ``partition_by``, rows are rebalanced by those columns first:
+    few files a folder, a large folder split over several tasks.
     """
-    out = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", *partition_by)
-        .parquet(path))
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/run_id={run_id}/batch_id={batch_id}")
 
 
 def write_fact_by_month(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -59,13 +64,14 @@ def write_fact_by_month(df: DataFrame, path: str, mode: str = "append") -> None:
        .parquet(path))
 
 
-def publish_snapshot(df: DataFrame, path: str) -> None:
-    """K4: write a mart as a complete new snapshot folder.
-
-    Readers switch to the new folder once it is written; there is no window
-    in which the mart is empty (unlike truncate-then-insert).
-    """
-    df.write.mode("overwrite").parquet(path)
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that ``write_batch`` writes, empty before its first batch."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
@@ -82,9 +88,3 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
-
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)

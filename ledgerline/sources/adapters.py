@@ -83,7 +83,7 @@ def v_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _review_columns(li_and_orders: DataFrame) -> DataFrame:
+def _review_columns(li_and_orders: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return li_and_orders.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("review_id"),
@@ -101,6 +101,7 @@ def _review_columns(li_and_orders: DataFrame) -> DataFrame:
         F.col("l_shipdate").alias("updated_at"),
         F.col("l_suppkey").alias("_ord_supplier"),
         F.col("l_extendedprice").alias("_ord_amount"),
+        *keep,
     )
 
 
@@ -110,11 +111,25 @@ _LINE_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantit
 _ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
 
 
+# Key and version order of the line log that the reviews come from.
+LINE_KEY = ("l_orderkey", "l_linenumber")
+LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def review_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review log before its join with orders: one row per review version."""
+    return read_table(spark, sf_dir, "lineitem", _LINE_COLS)
+
+
+def with_orders(spark: SparkSession, sf_dir: str, lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Line rows as reviews.  All versions of a key share its order, so lines may be ranked before."""
+    orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
+    return _review_columns(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), keep)
+
+
 def v_review_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lineitem row as one review version (keys repeat: a version log)."""
-    li = read_table(spark, sf_dir, "lineitem", _LINE_COLS)
-    orders = read_table(spark, sf_dir, "orders", _ORDER_COLS)
-    return _review_columns(li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    return with_orders(spark, sf_dir, review_lines(spark, sf_dir))
 
 
 def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None,
@@ -137,8 +152,7 @@ def v_reviews(spark: SparkSession, sf_dir: str, product_id: int | None = None,
         orders = orders.filter(F.col("o_orderdate") >= F.lit(created_since).cast("timestamp_ntz"))
         li = li.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     where = None if product_id is None else F.col("l_partkey") == F.lit(product_id)
-    newest = latest_per_key(li, ["l_orderkey", "l_linenumber"],
-                            ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"], where=where)
+    newest = latest_per_key(li, list(LINE_KEY), list(LINE_ORDER), where=where)
     return _review_columns(newest.join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 

@@ -3,12 +3,13 @@
 The change log arrives as Parquet files in a folder (one file per export of
 the source's audit table).  A file-source stream picks them up; every
 micro-batch is applied by ``foreachBatch`` with the same functions the batch
-path uses, and written under its ``batch_id`` with dynamic partition
-overwrite.  The stream's checkpoint is the loader cursor: a restarted query
-resumes after the last committed batch and re-runs an uncommitted one with
-the same id and the same files, which overwrite their own partition -- so a
-crash anywhere gives neither lost nor doubled versions.  Versions are keyed
-by ``audit_id``, so files arriving out of order do not change the result.
+path uses, and replaces its own folder ``run_id=<run>/batch_id=<id>``.  The
+stream's checkpoint is the loader cursor: a restarted query resumes after the
+last committed batch and re-runs an uncommitted one with the same ids and the
+same files.  A new checkpoint is a new run: it sees all files again, and the
+mirror keeps it from applying them twice.  So nothing is lost or doubled.
+Versions are keyed by ``audit_id``, so files arriving out of order do not
+change the result.  Rows that cannot be read go to the reject table.
 """
 
 from __future__ import annotations
@@ -17,45 +18,74 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import cdc
 from ..schemas import AUDIT_LOG
 from ..sinks.parquet import write_batch
+from .replay import read_mirror, run_id_of, unseen
+
+ApplyBatch = Callable[[DataFrame, int], None]
 
 
 @dataclass(frozen=True)
 class StreamPaths:
     source: str        # folder the change-log files arrive in
-    versions: str      # append-only version log (partitioned by batch_id)
-    mirror: str        # applied log rows (partitioned by batch_id)
+    versions: str      # append-only version log (partitioned by run_id, batch_id)
+    mirror: str        # applied log rows (partitioned by run_id, batch_id)
     checkpoint: str    # stream checkpoint: offsets + commits = the cursor
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.mirror.rstrip('/')}_rejects"
+
 
-def make_batch_handler(payload: T.StructType, paths: StreamPaths, keep_deletes: bool = False,
+def make_batch_handler(payload: T.StructType, paths: StreamPaths, run_id: str, keep_deletes: bool = False,
                        refresh: Callable[[SparkSession, int], None] | None = None,
-                       refresh_every: int = 5):
-    """The ``foreachBatch`` function: versions + mirror for one micro-batch.
+                       refresh_every: int = 5) -> ApplyBatch:
+    """The ``foreachBatch`` function: versions, rejects, then mirror for one micro-batch.
 
-    The batch is written twice (versions and mirror), so it is persisted
-    for the duration of the call instead of being re-read from the source.
-    ``refresh`` (e.g. a mart rebuild) runs on every ``refresh_every``-th
-    batch (I5).
+    The batch is written three times, so it is persisted for the duration of
+    the call instead of being re-read from the source.  ``refresh`` (e.g. a
+    mart rebuild) runs on every ``refresh_every``-th batch (I5).
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        rows = cdc.judge(unseen(batch, paths.mirror, run_id, batch_id), routed=False).persist()
         try:
-            write_batch(cdc.state_versions(batch, payload, keep_deletes), paths.versions, batch_id)
-            write_batch(cdc.mirror_rows(batch).drop("batch_id"), paths.mirror, batch_id)
+            good = rows.where("reject_reason is null").drop("reject_reason")
+            write_batch(cdc.state_versions(good, payload, keep_deletes), paths.versions, run_id, batch_id)
+            write_batch(rows.where("reject_reason is not null"), paths.rejects, run_id, batch_id)
+            # the mirror last: a batch counts as applied when everything else is written
+            mirrored = rows.where("audit_id is not null")
+            write_batch(cdc.mirror_rows(mirrored).drop("batch_id"), paths.mirror, run_id, batch_id)
         finally:
-            batch.unpersist()
+            rows.unpersist()
         if refresh is not None and batch_id % refresh_every == 0:
             refresh(batch.sparkSession, batch_id)
     return handle
 
 
+def start(spark: SparkSession, source: str, checkpoint: str, handle: ApplyBatch,
+          max_files_per_trigger: int | None = None, available_now: bool = True,
+          processing_time: str = "60 seconds"):
+    """Start a change stream; with ``available_now`` it has finished when this returns.
+
+    Without ``max_files_per_trigger`` a batch takes all files that are there.
+    """
+    reader = spark.readStream.schema(AUDIT_LOG)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    writer = reader.parquet(source).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    q = writer.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def run_change_stream(spark: SparkSession, paths: StreamPaths, payload: T.StructType,
-                      keep_deletes: bool = False, max_files_per_trigger: int = 1,
+                      keep_deletes: bool = False, max_files_per_trigger: int | None = None,
                       available_now: bool = True, processing_time: str = "60 seconds",
                       refresh: Callable[[SparkSession, int], None] | None = None):
     """Start the change stream.
@@ -64,18 +94,24 @@ def run_change_stream(spark: SparkSession, paths: StreamPaths, payload: T.Struct
     mode, I3); otherwise it polls on ``processing_time`` (I2).  Returns the
     ``StreamingQuery``; with ``available_now`` it has already finished.
     """
-    stream = (spark.readStream.schema(AUDIT_LOG)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(paths.source))
-    writer = (stream.writeStream
-              .foreachBatch(make_batch_handler(payload, paths, keep_deletes, refresh))
-              .option("checkpointLocation", paths.checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    q = writer.start()
-    if available_now:
-        q.awaitTermination()
-    return q
+    handle = make_batch_handler(payload, paths, run_id_of(spark, paths.checkpoint), keep_deletes, refresh)
+    return start(spark, paths.source, paths.checkpoint, handle, max_files_per_trigger, available_now, processing_time)
 
 
-def read_versions(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.versions)
+def drain(spark: SparkSession, log: DataFrame, mirror_path: str, run_id: str, apply: ApplyBatch,
+          batch_size: int | None = None) -> int:
+    """S5 in batch form: apply all log rows the mirror lacks, at most ``batch_size`` at a time.
+
+    Returns the number of batches.  Rows without an audit id can never be
+    mirrored, so they are left to the caller's check of the log.
+    """
+    last = read_mirror(spark, mirror_path).where(F.col("run_id") == run_id).agg(F.max("batch_id")).first()[0]
+    batch_id = 0 if last is None else last + 1
+    done = 0
+    keyed = log.where("audit_id is not null")
+    while True:
+        todo = cdc.pending(keyed, read_mirror(spark, mirror_path), batch_size)
+        if todo.isEmpty():
+            return done
+        apply(todo, batch_id)
+        batch_id, done = batch_id + 1, done + 1

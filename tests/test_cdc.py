@@ -68,14 +68,14 @@ def test_batch_handler_replay_is_idempotent(spark, tmp_dir):
     paths = StreamPaths(source=f"{tmp_dir}/in", versions=f"{tmp_dir}/v", mirror=f"{tmp_dir}/m",
                         checkpoint=f"{tmp_dir}/c")
     log = _log(spark, _rows())
-    handle = make_batch_handler(PAYLOAD, paths)
+    handle = make_batch_handler(PAYLOAD, paths, "run-a")
     handle(log.filter("audit_id <= 5"), 0)
     handle(log.filter("audit_id > 5"), 1)
     handle(log.filter("audit_id > 5"), 1)          # crash after write, batch 1 replayed
     v = spark.read.parquet(paths.versions)
     assert v.count() == log.filter("operation <> 'D'").count()
     assert spark.read.parquet(paths.mirror).count() == 10
-    assert _state(cdc.current_state(v.drop("batch_id"))) == \
+    assert _state(cdc.current_state(v.drop("run_id", "batch_id"))) == \
         _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))
 
 
@@ -91,7 +91,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
     run_change_stream(spark, paths, PAYLOAD, max_files_per_trigger=1)   # restart: nothing new
     again = spark.read.parquet(paths.versions)
     assert again.count() == n
-    assert _state(cdc.current_state(again.drop("batch_id"))) == \
+    assert _state(cdc.current_state(again.drop("run_id", "batch_id"))) == \
         _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))
 
 
@@ -150,7 +150,7 @@ def test_polling_trigger_processes_new_files(spark, tmp_dir):
         q.processAllAvailable()
     finally:
         q.stop()
-    v = spark.read.parquet(paths.versions).drop("batch_id")
+    v = spark.read.parquet(paths.versions).drop("run_id", "batch_id")
     assert _state(cdc.current_state(v)) == _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))
 
 
@@ -162,3 +162,65 @@ def test_latest_per_key_where_matches_filter_after(spark):
     full = latest_per_key(df, ["k"], ["v"]).filter("p = 7")
     fast = latest_per_key(df, ["k"], ["v"], where=F.col("p") == 7)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, full.collect())) == [(1, 2, 7), (4, 9, 7)]
+
+
+def test_a_new_checkpoint_and_overlapping_files_lose_and_double_nothing(spark, tmp_dir):
+    log = _log(spark, _rows())
+    first = StreamPaths(f"{tmp_dir}/in", f"{tmp_dir}/v", f"{tmp_dir}/m", f"{tmp_dir}/c1")
+    log.filter("audit_id <= 6").write.parquet(first.source)
+    run_change_stream(spark, first, PAYLOAD, max_files_per_trigger=1)
+    log.filter("audit_id >= 4").write.mode("append").parquet(first.source)
+    log.filter("audit_id = 9").write.mode("append").parquet(first.source)
+    second = StreamPaths(first.source, first.versions, first.mirror, f"{tmp_dir}/c2")
+    run_change_stream(spark, second, PAYLOAD)
+    mirror = [r["audit_id"] for r in spark.read.parquet(first.mirror).collect()]
+    assert sorted(mirror) == list(range(1, 11))
+    v = spark.read.parquet(first.versions)
+    assert v.count() == log.filter("operation <> 'D'").count()
+    assert v.select("run_id").distinct().count() == 2
+    assert _state(cdc.current_state(v.drop("run_id", "batch_id"))) == \
+        _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))
+
+
+def test_unreadable_rows_go_to_the_reject_table(spark, tmp_dir):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    bad = [(20, None, "I", "1", None, "{}", t), (21, "products", "X", "1", None, "{}", t),
+           (22, "products", "U", "1", None, "not json", t), (23, "products", "U", "1", None, "[1]", t),
+           (None, "products", "U", "1", None, '{"k": 1}', t), (None, "products", "U", "2", None, '{"k": 1}', t)]
+    log = _log(spark, _rows() + bad)
+    paths = StreamPaths(f"{tmp_dir}/in", f"{tmp_dir}/v", f"{tmp_dir}/m", f"{tmp_dir}/c")
+    log.write.parquet(paths.source)
+    run_change_stream(spark, paths, PAYLOAD)
+    rejects = sorted((r["audit_id"] or 0, r["reject_reason"]) for r in spark.read.parquet(paths.rejects).collect())
+    assert rejects == [(0, "missing_key"), (0, "missing_key"), (20, "missing_key"), (21, "bad_operation"),
+                       (22, "bad_image"), (23, "bad_image")]
+    v = spark.read.parquet(paths.versions).drop("run_id", "batch_id")
+    assert _state(cdc.current_state(v)) == _state(cdc.current_state(cdc.state_versions(_log(spark, _rows()), PAYLOAD)))
+
+
+def test_drain_applies_all_batches(spark, tmp_dir):
+    from ledgerline.streaming.changes import drain
+    log = _log(spark, _rows())
+    paths = StreamPaths(f"{tmp_dir}/in", f"{tmp_dir}/v", f"{tmp_dir}/m", f"{tmp_dir}/c")
+    handle = make_batch_handler(PAYLOAD, paths, "drain")
+    assert drain(spark, log, paths.mirror, "drain", handle, batch_size=3) == 4
+    assert drain(spark, log, paths.mirror, "drain", handle, batch_size=3) == 0
+    v = spark.read.parquet(paths.versions).drop("run_id", "batch_id")
+    assert _state(cdc.current_state(v)) == _state(cdc.current_state(cdc.state_versions(log, PAYLOAD)))
+
+
+def test_image_values_follow_the_text_rules(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    image = lambda **kv: json.dumps({"review_id": "r", "product_id": 1} | kv)
+    rows = [(1, "reviews", "U", "a", None, image(is_public="t", created_at="2024-02-03T04:05:06+03:30"), t),
+            (2, "reviews", "U", "b", None, image(is_public=1, created_at="2024-02-03T04:05:06.75Z", star="4"), t),
+            (3, "reviews", "U", "c", None, image(is_public="yes", created_at="junk", product_id="7", star=None), t),
+            (4, "reviews", "U", "d", None, image(is_public=True, like_count="abc", user_id=2**53 + 1), t)]
+    got = {r["_version"]: r for r in cdc.review_versions(_log(spark, rows), None).collect()}
+    at = dt.datetime(2024, 2, 3, 4, 5, 6)
+    assert [got[i]["is_public"] for i in (1, 2, 3, 4)] == [1, 1, 0, 1]
+    assert [got[i]["created_at"] for i in (1, 2, 3)] == [at, at, dt.datetime(2000, 1, 1)]
+    assert got[2]["star"] == 4 and got[3]["product_id"] == 7 and got[4]["like_count"] == 0
+    assert got[4]["user_id"] == 2**53 + 1

@@ -117,3 +117,14 @@ def test_read_fact_bounds_match_plain_filter(spark, tmp_dir):
          & (F.col("created_at") < F.lit("2000-03-11").cast("timestamp_ntz"))),
     ]:
         assert read_fact(spark, tmp_dir, **kwargs).count() == everything.filter(cond).count()
+
+
+def test_top_vendors_hash_aggregates_and_snapshots_scan_once(spark):
+    plan = _plan(E.queries()["dm_top_vendors"](spark, SF_SMALL))
+    assert "SortAggregate" not in plan
+    from ledgerline.plans.stages import _snapshots
+    old, new = _snapshots(spark, SF_SMALL)
+    both = old.join(new, "review_id", "full_outer")
+    both.collect()
+    final = _plan(both)
+    assert final.count("ReusedExchange") >= 1
