@@ -13,7 +13,7 @@ from .ngram_join import ngram_join
 from .packing import pack
 from .quality import RULES, SYMBOLS, quality_rules
 from .shards import shard_digest
-from .warc import records_of_pages, resolve_revisits
+from .warc import PERIOD, records_of_pages, resolve_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -75,13 +75,45 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
-@query("op2_ngram_jaccard_join")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _shingles_sql(table_name: str, key: str, short: bool) -> str:
+    """(key, g): distinct 5-word shingles; with ``short``, fewer words make one shingle."""
+    words = (f"list_filter(regexp_split_to_array(translate(text, '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), "
+             "lambda x: x <> '')")
+    last = "greatest(len(words) - 4, 1)" if short else "len(words) - 4"
+    return (f"SELECT DISTINCT {key}, array_to_string(words[i:i + 4], ' ') AS g FROM ("
+            f"SELECT {key}, words, unnest(generate_series(1, {last})) AS i FROM ("
+            f"SELECT {key}, {words} AS words FROM {table_name} WHERE text IS NOT NULL) WHERE len(words) > 0)")
+
+
+OP2_SQL = f"""
+WITH RECURSIVE s AS MATERIALIZED ({_shingles_sql('documents', 'doc_id', True)}),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+OP3_SQL = f"""
+WITH s AS ({_shingles_sql('documents', 'doc_id', False)}),
+i AS ({_shingles_sql('benchmark', 'item_id', False)}),
+n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS shared, any_value(n) AS item_shingles
+FROM s JOIN i USING (g) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)"""
+
+
+@query("op2_ngram_jaccard_join", OP2_SQL)
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents linked by 80 % of their 5-word shingles."""
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
-@query("op3_benchmark_decontamination")
+@query("op3_benchmark_decontamination", OP3_SQL)
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item of ``benchmark`` that a whole text of ``documents`` holds."""
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -142,7 +174,34 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
-@query("op6_warc_revisits")
+OP6_SQL = rf"""
+WITH b AS (SELECT page_id, sha256(coalesce(html, '')) AS digest, regexp_replace(regexp_replace(trim(url), '#.*$', ''),
+    '^[a-zA-Z][a-zA-Z0-9+.-]*://', '') AS bare FROM pages),
+c AS (SELECT page_id, digest,
+  regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '') AS host,
+  regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+  list_sort(list_filter(string_split(regexp_extract(bare, '^[^?]*\??(.*)$', 1), '&'), lambda p:
+    p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)='))) AS params FROM b),
+p AS (SELECT page_id, digest, host || path || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&')
+    ELSE '' END AS key, CASE WHEN page_id % 7 <> 3 THEN '"' || digest[1:16] || '"' END AS tag,
+  'day ' || (page_id % 1000) AS day, page_id * {PERIOD} AS captured,
+  page_id * {PERIOD} + CAST('0x' || md5(CAST(page_id AS VARCHAR))[1:4] AS BIGINT) AS again FROM c),
+v AS (SELECT r.page_id * 2 + 1 AS revisit_id, r.key, r.again AS ts, f.page_id * 2 AS response_id,
+    f.captured AS response_ts, f.digest, f.tag AS old_tag, f.day AS old_day, r.day,
+    CASE WHEN r.page_id % 5 = 2 THEN '"changed"' ELSE 'W/' || r.tag END AS tag
+  FROM p r LEFT JOIN p f ON f.key = r.key AND f.captured < r.again
+  QUALIFY row_number() OVER (PARTITION BY r.page_id ORDER BY f.captured DESC NULLS LAST, f.page_id DESC NULLS LAST) = 1),
+j AS (SELECT *, CASE WHEN response_id IS NULL THEN 'orphan'
+  WHEN tag IS NOT NULL THEN CASE WHEN coalesce(replace(tag, 'W/', '') = old_tag, FALSE) THEN 'resolved' ELSE 'mismatch' END
+  WHEN day = old_day THEN 'resolved' ELSE 'mismatch' END AS status FROM v)
+SELECT revisit_id, key AS canonical_url, ts, status, response_id, response_ts,
+  CASE WHEN status = 'resolved' THEN digest END AS payload_digest,
+  CASE WHEN status = 'resolved' THEN concat_ws(chr(10), 'content-type: text/html', 'date: ' || ts,
+    'etag: ' || coalesce(tag, old_tag), 'last-modified: ' || old_day) END AS merged_headers
+FROM j"""
+
+
+@query("op6_warc_revisits", OP6_SQL)
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revisits of a crawl made of all ``pages``, resolved to earlier full captures."""
     return resolve_revisits(records_of_pages(table(spark, sf_dir, "pages")))

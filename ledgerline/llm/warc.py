@@ -106,8 +106,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         merged.alias("merged_headers"))
 
 
-#: A page's full capture is at page_id * PERIOD; its re-crawl follows after up to SPREAD seconds.
-PERIOD, SPREAD = 60, 86_400
+#: A page's full capture is at page_id * PERIOD; its re-crawl follows after up to 65,535 seconds.
+PERIOD = 60
 
 
 def records_of_pages(pages: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def records_of_pages(pages: DataFrame) -> DataFrame:
                      F.concat(F.lit("day "), (page % 1000).cast("string")).alias("day"))
     headers = lambda *kv: F.map_filter(F.create_map(*kv), lambda _, v: v.isNotNull())
     first = F.col("page_id") * PERIOD
-    again = first + F.pmod(F.crc32(F.col("page_id").cast("string").cast("binary")), F.lit(SPREAD))
+    again = first + F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 4), 16, 10).cast("long")
     response = p.select(
         (F.col("page_id") * 2).alias("record_id"), "url", first.alias("ts"), F.lit("response").alias("kind"),
         headers(F.lit("etag"), F.col("tag"), F.lit("last-modified"), F.col("day"), F.lit("date"),
