@@ -44,7 +44,7 @@ from .common import bodies, crc_mod, rows_of, ship_package, words_of
 
 THRESHOLD = 0.7
 #: Documents of each label that training reads, at most.
-SAMPLE_DOCS = 2500
+SAMPLE_DOCS = 1500
 #: Features that the chain has weights for, at most.
 MAX_FEATURES = 5000
 #: A feature is a sign when chance would give its counts with a probability below exp(-SIGN).
