@@ -51,10 +51,10 @@ RULES = (
     Rule("too_few_words", "n_words", low=10),
     Rule("too_many_words", "n_words", high=1_000_000),
     Rule("short_words", "mean_word_chars", low=2.0),
-    Rule("long_words", "mean_word_chars", high=14.0),
+    Rule("long_words", "mean_word_chars", high=20.0),
     Rule("symbols", "symbol_ratio", high=0.3),
     Rule("few_stop_words", "stop_word_ratio", low=0.01),
-    Rule("repeated_lines", "dup_line_ratio", high=0.3),
+    Rule("repeated_lines", "dup_line_ratio", high=0.5),
     Rule("upper_case", "upper_ratio", high=0.5),
 )
 
