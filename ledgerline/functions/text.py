@@ -8,11 +8,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The keyword lists of the reference's analytical queries.
-DELIVERY_WORDS = ("ارسال", "دیر")
-POSITIVE_WORDS = ("عالی", "خوشمزه", "خوب")
-POSITIVE_WORDS_BENCH = ("عالی", "خوب")
-
 
 def contains_any(col: Column | str, keywords: Sequence[str]) -> Column:
     """Case-sensitive ``col LIKE '%kw%' OR ...``.

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .operators import clean, load
 from .schemas import CLEAN_PRODUCTS, CLEAN_REVIEWS
 from .session import clean_staged
-from .sinks.parquet import stage
+from .sinks.parquet import append, stage
 from .sources.csv import LOAD_ORDER, read_products_csv, read_reviews_csv
 
 
@@ -59,7 +59,7 @@ def _load_table(assessed: DataFrame, table_path: str, reject_path: str, load_id:
     # depend on the table being appended to, and counting them is exact.
     new = stage(load.rows_to_insert(ok, existing, [key], list(LOAD_ORDER)).select(*schema.names),
                 "initial-load")
-    new.write.mode("append").parquet(table_path)
+    append(new, table_path, schema)
     bad.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
     loaded = new.groupBy().count().select(F.lit("loaded").alias("outcome"), F.col("count").alias("row_count"))
     ignored = (ok.groupBy().count().select(F.lit("ignored_duplicate").alias("outcome"),

@@ -280,9 +280,10 @@ def dm_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top_vendors(spark, sf_dir).drop("computed_at")
 
 
-def stored(mart: DataFrame) -> DataFrame:
-    """A mart as its readers find it: written, then read."""
-    return stage(mart, "mart")
+def _report(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report over its mart as readers find it: written, then read."""
+    build, read = MART_READS[key]
+    return read(stage(build(spark, sf_dir), "mart"))
 
 
 @register("dm_top_vendors_read", with_views(
@@ -290,7 +291,7 @@ def stored(mart: DataFrame) -> DataFrame:
     "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
 def dm_top_vendors_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_top_vendors(stored(_top_vendors(spark, sf_dir)))
+    return _report("dm_top_vendors_read", spark, sf_dir)
 
 
 @register("dm_free_shipping", with_views(
@@ -307,7 +308,7 @@ SELECT preparation_days, is_free_shipping,
        CAST(SUM(sales_count_week) AS BIGINT) AS total_sales
 FROM s_products GROUP BY 1, 2 ORDER BY 1, 2""", "v_products", extra=_SERVED[:1]))
 def dm_free_shipping_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_free_shipping(stored(marts.build_free_shipping(_served_products(spark, sf_dir))))
+    return _report("dm_free_shipping_read", spark, sf_dir)
 
 
 _WINDOW_SQL = f"r.created_at >= CAST(DATE '{AS_OF}' - INTERVAL {WINDOW_DAYS} DAY AS TIMESTAMP)"
@@ -347,7 +348,7 @@ def dm_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY monthly_reviews DESC, category_id, month_start LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + _TRENDING_CTES))
 def dm_trending_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_trending(stored(_trending(spark, sf_dir)))
+    return _report("dm_trending_read", spark, sf_dir)
 
 
 _ENGAGEMENT_SQL = """
@@ -371,7 +372,7 @@ SELECT has_attachment, CAST(SUM(like_count) AS DOUBLE) / COUNT(like_count) AS av
        COUNT(*) AS review_count FROM dm4 GROUP BY 1 ORDER BY 1""", "v_reviews", "v_products",
     extra=_SERVED + (("dm4", _ENGAGEMENT_SQL),)))
 def dm_engagement_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_engagement(stored(_engagement(spark, sf_dir)))
+    return _report("dm_engagement_read", spark, sf_dir)
 
 
 @register("sum_collapse", with_views("""
@@ -827,3 +828,13 @@ def serve_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _run_serving(spark, sf_dir)
     SP.compact_serve(spark, layout)
     return SP.current_reviews(spark, layout).drop("_version")
+
+
+# The mart reports as (build, read): what their keys do in one go.
+MART_READS = {
+    "dm_top_vendors_read": (_top_vendors, marts.read_top_vendors),
+    "dm_free_shipping_read": (lambda spark, sf_dir: marts.build_free_shipping(_served_products(spark, sf_dir)),
+                              marts.read_free_shipping),
+    "dm_trending_read": (_trending, marts.read_trending),
+    "dm_engagement_read": (_engagement, marts.read_engagement),
+}
