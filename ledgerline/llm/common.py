@@ -186,11 +186,11 @@ def run_lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total))
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage, survives lost executors."""
     spark: SparkSession = df.sparkSession
     path = f"{new_scratch_dir(spark, purpose)}/table"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -282,10 +282,11 @@ def deal_rows(rows: DataFrame, n: int, kind: int,
     return rows.mapInArrow(blobs, "kind int, bucket int, a binary")
 
 
-def packed(table: pa.Table) -> bytes:
+def packed(table: pa.Table, level: int = 3) -> bytes:
     """Rows as one compressed Arrow stream."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))
+    with pa.ipc.new_stream(sink, table.schema, options=options) as w:
         w.write_table(table)
     return sink.getvalue().to_pybytes()
 

@@ -42,7 +42,7 @@ from ..session import new_scratch_dir
 from .common import bodies, by_bucket, dealt, dealt_rows, mix, packed, rows_of, staged
 from .tokens import default_path, encode, word_ids
 
-SEQUENCE_LENGTH = 512
+SEQUENCE_LENGTH = 256
 SHARD_RECORDS = 4096
 END_ID = 2
 KEY = 20240607
@@ -71,79 +71,97 @@ def permute(index: np.ndarray, n: int, key: int = KEY, rounds: int = ROUNDS) ->
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, *, length: int, end_id: int, tokenizer: str | None,
-              id_col: str, text_col: str) -> DataFrame:
-    """(task, ordinal, doc_id, sequence, record): each sequence's bytes, numbered within its task."""
+def token_rows(docs: DataFrame, *, length: int, end_id: int, tokenizer: str | None,
+               id_col: str, text_col: str) -> DataFrame:
+    """(task, first, doc_id, ids): each document's ids, and the place of its first sequence within its task."""
     path = tokenizer or default_path()
     end = end_id.to_bytes(4, "little")
-    kind = record_type(length)
-    stride = kind.itemsize - 1     # the writer adds the line feed
-    schema = pa.schema([("task", pa.int32()), ("ordinal", pa.int64()), ("record", pa.binary())])
 
-    def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, task, n = word_ids(path), TaskContext.get().partitionId(), 0
-        out: list[bytes] = []
+        held: list[tuple[int, int | None, bytes]] = []
 
         def flush() -> pa.RecordBatch:
+            first, doc, data = zip(*held, strict=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(out), task, np.int32)),
-                 pa.array(np.arange(n - len(out), n)), pa.array(out, pa.binary())], schema=schema)
+                [pa.array([task] * len(held), pa.int32()), pa.array(first, pa.int64()), pa.array(doc, pa.int64()),
+                 pa.array(data, pa.binary())], ["task", "first", "doc_id", "ids"])
 
         for doc_id, body in rows_of(batches):
-            data = np.frombuffer(encode(body, ids) + end, "<u4").astype("<u2")
-            rows = np.zeros(-(-len(data) // length), kind)
-            rows["doc_id"] = NULL_ID if doc_id is None else doc_id
-            rows["sequence"] = np.arange(len(rows))
-            rows["length"] = np.minimum(length, len(data) - length * rows["sequence"].astype(np.int64))
-            padded = np.zeros(len(rows) * length, "<u2")
-            padded[:len(data)] = data
-            rows["ids"] = padded.reshape(-1, length)
-            raw = rows.tobytes()
-            out += [raw[i:i + stride] for i in range(0, len(raw), kind.itemsize)]
-            n += len(rows)
-            if len(out) >= 2000:
+            data = np.frombuffer(encode(body, ids) + end, "<u4").astype("<u2").tobytes()
+            held.append((n, doc_id, data))
+            n += -(-len(data) // (2 * length))
+            if len(held) >= 1000:
                 yield flush()
-                out = []
-        if out:
+                held = []
+        if held:
             yield flush()
 
-    return bodies(docs, id_col, text_col).mapInArrow(records, "task int, ordinal long, record binary")
+    return bodies(docs, id_col, text_col).mapInArrow(encoded, "task int, first long, doc_id long, ids binary")
+
+
+def records_of(doc_ids: pa.Array, ids: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, sequence, record) of every sequence of some documents."""
+    data = [np.frombuffer(x, "<u2") for x in ids.to_pylist()]
+    sizes = np.array([len(x) for x in data])
+    counts = -(-sizes // length)
+    row = np.repeat(np.arange(len(data)), counts)
+    sequence = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    flat = np.concatenate([*data, np.zeros(length, "<u2")])
+    start = np.repeat(np.cumsum(sizes) - sizes, counts) + sequence * length
+    out = np.zeros(len(row), record_type(length))
+    out["doc_id"] = doc_ids.fill_null(NULL_ID).to_numpy()[row]
+    out["sequence"] = sequence
+    out["length"] = np.minimum(length, sizes[row] - sequence * length)
+    for s in range(0, len(row), 4096):
+        some = slice(s, s + 4096)
+        at = np.arange(length)
+        out["ids"][some] = np.where(at < out["length"][some, None], flat[start[some, None] + at], 0)
+    return row, sequence, out
 
 
 def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, shard_records: int = SHARD_RECORDS,
                  end_id: int = END_ID, key: int = KEY, tokenizer: str | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> int:
     """Write all sequences as shards under ``path/shard=<n>``; returns their number."""
-    seq = staged(sequences(docs, length=length, end_id=end_id, tokenizer=tokenizer,
-                           id_col=id_col, text_col=text_col), "sequences")
+    rows = staged(token_rows(docs, length=length, end_id=end_id, tokenizer=tokenizer,
+                             id_col=id_col, text_col=text_col), "tokens", "zstd")
     # one row a map task: what came before each of them
-    tasks = seq.groupBy("task").agg(F.count("*").alias("n"))
-    first = staged(tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("first"), "n"),
-                   "tasks")
-    total = first.agg(F.sum("n")).first()[0] or 0
+    n = F.ceil(F.octet_length("ids") / F.lit(2 * length))
+    tasks = rows.groupBy("task").agg(F.sum(n).alias("n"))
+    before = staged(tasks.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("before"), "n"),
+                    "tasks")
+    total = before.agg(F.sum("n")).first()[0] or 0
     if not total:
         return 0
     shards = -(-total // shard_records)
     parts = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    indexed = seq.join(first, "task").select((F.col("first") + F.col("ordinal")).alias("index"), "record")
+    indexed = rows.join(before, "task").select((F.col("before") + F.col("first")).alias("index"), "doc_id", "ids")
+    stride = record_type(length).itemsize
 
     def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Records to the ranges of shards, those of one batch and range as one compressed row."""
+        """Records to the ranges of shards, those of some documents and one range as one compressed row."""
         for batch in batches:
-            slot = permute(batch.column(0).to_numpy(), total, key)
-            table = pa.table([pa.array(slot), batch.column(1)], ["slot", "record"])
+            row, sequence, records = records_of(batch.column(1), batch.column(2), length)
+            slot = permute(batch.column(0).to_numpy()[row] + sequence, total, key)
+            raw = pa.Array.from_buffers(pa.binary(stride), len(records), [None, pa.py_buffer(records.tobytes())])
+            table = pa.table([pa.array(slot), raw], ["slot", "record"])
             for b, at in by_bucket(slot // shard_records * parts // shards, parts):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b], pa.int32()), pa.array([packed(table.take(pa.array(at)))], pa.binary())],
+                    [pa.array([b], pa.int32()), pa.array([packed(table.take(pa.array(at)), 6)], pa.binary())],
                     ["bucket", "a"])
 
-    def records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column("a").to_pylist():
-                yield from dealt_rows(blob).to_batches()
+                table = dealt_rows(blob)
+                # the writer adds the record's last byte
+                record = [r[:-1] for r in table.column("record").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [table.column("slot").combine_chunks(), pa.array(record, pa.binary())], ["slot", "record"])
 
     placed = dealt(indexed.mapInArrow(slots, "bucket int, a binary"), parts).mapInArrow(
-        records, "slot long, record binary")
+        unpacked, "slot long, record binary")
     (placed.withColumn("shard", F.expr(f"slot div {shard_records}").cast("int"))
      .sortWithinPartitions("shard", "slot")     # the order the writer wants, so it sorts no more
      .select("shard", F.col("record").cast("string").alias("value"))

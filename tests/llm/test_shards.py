@@ -52,7 +52,7 @@ def test_empty_table(spark):
 
 def test_query_against_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
-    check(QUERIES["op8_token_shards"](spark, SF_SMALL).collect(), docs, 512, 4096)
+    check(QUERIES["op8_token_shards"](spark, SF_SMALL).collect(), docs, 256, 4096)
 
 
 def test_order_is_the_permutation(spark):
