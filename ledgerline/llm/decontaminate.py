@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bodies, ngram_hashes, rows_of, ship_package, word_hashes, words_of
+from .common import bodies, lean, ngram_hashes, rows_of, ship_package, word_hashes, words_of
 
 CONTAINMENT = 80        # per cent
 SHINGLE_WORDS = 5
@@ -120,6 +120,7 @@ def find_items(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", tex
     schema = ", ".join(f"{n} long" for n in names)
 
     def search(some: list[tuple[int, bytes]]) -> DataFrame:
+        @lean
         def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(some)
             for doc_id, body in rows_of(batches):
@@ -145,6 +146,7 @@ def without_items(docs: DataFrame, items: DataFrame, *, text_col: str = "text",
     for some in item_blocks(items, item_id_col, item_text_col, block):
         kept = out.select(F.col(text_col).cast("string").cast("binary").alias("body"), F.struct("*").alias("row"))
 
+        @lean
         def rows(batches: Iterable[pa.RecordBatch], some=some) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(some)
             for batch in batches:

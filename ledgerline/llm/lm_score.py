@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    MULTIPLIER, bodies, bucket_of, deal_rows, dealt, dealt_rows, mix, n_buckets, staged, starts_of, word_hashes,
+    MULTIPLIER, bodies, bucket_of, deal_rows, dealt, dealt_rows, lean, mix, n_buckets, staged, starts_of, word_hashes,
     words_of,
 )
 
@@ -126,6 +126,7 @@ def _blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 
 def local_counts(dealt_docs: DataFrame, buckets: int) -> DataFrame:
     """Counts of one bucket of documents, dealt by hash of token and pair."""
+    @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, trained, pairs, bucket = [], [], [], None
         for batch in batches:
@@ -170,6 +171,7 @@ def total_counts(local: DataFrame, buckets: int) -> DataFrame:
     GRAMS rows: ``a`` keys, ``b`` levels, n1 levels in all, n2 0 for pairs; a
     second row of tokens has part 1, ``n1`` the tokens N and ``n2`` the distinct V.
     """
+    @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, keys, counts, pair_keys, pair_counts, bucket = [], [], [], [], [], None
         for kind, w, part, a, b, first, _ in _blobs(batches):
@@ -251,6 +253,7 @@ def make_filter(totals: DataFrame, buckets: int, max_bits: int) -> LogFrequencyF
     put_in = grams.agg(F.sum("n1")).first()[0] or 0
     size = max(64, min(max_bits, BITS * put_in) // buckets // 64 * 64)
 
+    @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, bucket = np.zeros(size, np.uint8), None
         for _, w, _, a, b, _, _ in _blobs(batches):
@@ -281,6 +284,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ma
     made = make_filter(totals, buckets, max_bits)
     shared = spark.sparkContext.broadcast((made.bits, made.size))
 
+    @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, tokens, replies = [], [], {}
         for kind, _, part, a, _, _, _ in _blobs(batches):

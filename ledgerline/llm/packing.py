@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bodies, rows_of, staged
+from .common import bodies, lean, rows_of, staged
 from .tokens import default_path, encode, word_ids
 
 CAPACITY = 4096
@@ -126,6 +126,7 @@ def cut(docs: DataFrame, *, capacity: int = CAPACITY, end_id: int = END_ID, toke
     end = end_id.to_bytes(4, "little")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
+    @lean
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(path)
         out: list[tuple] = []
@@ -184,6 +185,7 @@ def pack(docs: DataFrame, *, capacity: int = CAPACITY, grid: int = GRID, end_id:
         sequence += times
     tables = {c: np.array(v, np.int64).T for c, v in slots.items()}
 
+    @lean
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             klass, rank = (batch.column(n).to_numpy() for n in ("class", "rank"))

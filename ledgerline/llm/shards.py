@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import new_scratch_dir
-from .common import bodies, by_bucket, dealt, dealt_rows, mix, packed, rows_of, staged
+from .common import bodies, by_bucket, dealt, dealt_rows, lean, mix, packed, rows_of, staged
 from .tokens import default_path, encode, word_ids
 
 SEQUENCE_LENGTH = 256
@@ -77,6 +77,7 @@ def token_rows(docs: DataFrame, *, length: int, end_id: int, tokenizer: str | No
     path = tokenizer or default_path()
     end = end_id.to_bytes(4, "little")
 
+    @lean
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, task, n = word_ids(path), TaskContext.get().partitionId(), 0
         held: list[tuple[int, int | None, bytes]] = []
@@ -139,6 +140,7 @@ def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, s
     indexed = rows.join(before, "task").select((F.col("before") + F.col("first")).alias("index"), "doc_id", "ids")
     stride = record_type(length).itemsize
 
+    @lean
     def slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Records to the ranges of shards, those of some documents and one range as one compressed row."""
         for batch in batches:
@@ -151,6 +153,7 @@ def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, s
                     [pa.array([b], pa.int32()), pa.array([packed(table.take(pa.array(at)), 6)], pa.binary())],
                     ["bucket", "a"])
 
+    @lean
     def unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob in batch.column("a").to_pylist():
@@ -175,6 +178,7 @@ def read_shards(spark: SparkSession, path: str, *, length: int = SEQUENCE_LENGTH
     kind = record_type(length)
     names = ["slot", "shard", "byte_offset", "doc_id", "sequence", "length", "ids_crc32"]
 
+    @lean
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

@@ -11,8 +11,13 @@ from __future__ import annotations
 from functools import lru_cache
 
 #: Words a worker remembers: about 200 bytes each.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000
 MARKS = b".,;:!?"
+#: Letters below this are single characters in every normal form.
+LATIN_END = "\u0100"
+#: How byte-level models spell bytes: printable ones as themselves, the others as letters from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 #: Longer runs without white space are not remembered.
 LONG_WORD = 64
 
@@ -24,6 +29,7 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
@@ -41,7 +47,14 @@ class WordIds(dict):
             core = plain.rstrip(MARKS)
             if core and core != word and core[-1:].isalnum():
                 return self[core] + (self[plain[len(core):]] if len(core) < len(plain) else b"")
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        text = word.decode("utf-8", "replace")
+        if text.isalpha() and max(text) < LATIN_END:
+            # letters alone are one piece, and these have no other normal form than
+            # lower case: the model can take them without the steps before it
+            spelled = text.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = [t.id for t in self.model.tokenize(spelled)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join(i.to_bytes(4, "little") for i in ids)
 
 

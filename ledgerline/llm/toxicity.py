@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bodies, crc_mod, rows_of, ship_package, words_of
+from .common import bodies, crc_mod, lean, rows_of, ship_package, words_of
 
 THRESHOLD = 0.7
 #: Documents of each label that training reads, at most.
@@ -347,6 +347,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     """One row per input row: doc_id, held_out, score, predicted, spans."""
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())])
 
+    @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emissions = Emissions(model)
         for batch in batches:
@@ -371,6 +372,7 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     ship_package(docs.sparkSession)
     kept = docs.select(F.col(text_col).cast("string").cast("binary").alias("body"), F.struct("*").alias("row"))
 
+    @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emissions = Emissions(model)
         for batch in batches:
