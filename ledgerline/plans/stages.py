@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators import cdc, clean, load, marts
 from ..operators import analytics as A
+from ..operators.joins import drop_matching
 from ..operators.publish import publish_products, publish_reviews
 from ..operators.versions import compact, latest_per_key, sum_collapse
 from ..schemas import AUDIT_LOG, CLEAN_REVIEWS, PRODUCT_IMAGE
@@ -122,10 +123,13 @@ WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.review_id = f.review_id)""",
     extra=(("existing", f"SELECT * FROM v_reviews WHERE product_id IN (SELECT product_id FROM ({_CATALOG_SQL}))"),
            ("firsts", _FIRSTS_SQL))))
 def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the table lies there, written; first rows are ranked before their join, and met by its keys alone."""
     cols = ["review_id", "product_id", "updated_at", "like_count"]
     existing, _ = load.split_by_reference(V.v_reviews(spark, sf_dir), _catalog(spark, sf_dir), "product_id")
-    log = V.v_review_log(spark, sf_dir)
-    return load.insert_or_ignore(log, existing.select(*cols), ["review_id"], list(V.REVIEW_LOG_ORDER))
+    existing = stage(existing.select(*cols), "existing")
+    first = load.first_wins(V.review_lines(spark, sf_dir), list(V.LINE_KEY), list(V.LINE_ORDER))
+    new = drop_matching(V.with_orders(spark, sf_dir, first).select(*cols), existing.select("review_id"), "review_id")
+    return existing.unionByName(new)
 
 
 # ------------------------------------------------------- joins
@@ -599,7 +603,7 @@ def q10_append_visible(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = SP.ServeLayout(f"{base}/serve")
     change.coalesce(1).write.parquet(layout.path("incoming"))
     changes.start(spark, layout.path("incoming"), layout.checkpoint,
-                  SP.make_serving_handler(layout, run_id_of(spark, layout.checkpoint), AS_OF, refresh_every=10**9))
+                  SP.make_serving_handler(layout, run_id_of(spark, layout.checkpoint), AS_OF, refresh_every=None))
     columns = ["review_id", "product_id", "user_id", "star", "description", "is_public", "created_at"]
     published = SP.current_reviews(spark, layout).select(*columns).withColumn("is_public", F.col("is_public") == 1)
     current = V.v_reviews(spark, sf_dir, product_id=PRODUCT_ID).select(*columns)
@@ -695,7 +699,7 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
     _bad_log(spark, sf_dir).write.parquet(layout.path("incoming"))
     changes.start(spark, layout.path("incoming"), layout.checkpoint,
-                  SP.make_serving_handler(layout, run_id_of(spark, layout.checkpoint), AS_OF, refresh_every=10**9))
+                  SP.make_serving_handler(layout, run_id_of(spark, layout.checkpoint), AS_OF, refresh_every=None))
     none = F.lit(None)
     rejects = spark.read.parquet(layout.rejects).groupBy(F.col("reject_reason").alias("detail")).agg(
         F.count(F.lit(1)).alias("row_count")).select(
@@ -726,7 +730,7 @@ def _run_serving(spark: SparkSession, sf_dir: str) -> SP.ServeLayout:
     source = layout.path("incoming")
     cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
                     changed_at=SNAPSHOT_CUTOFF).write.mode("overwrite").parquet(source)
-    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF, refresh_every=None)      # once, at its end
     return layout
 
 
