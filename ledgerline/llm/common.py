@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import new_scratch_dir
 
 #: Texts that one task holds at a time while it builds a block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: Words whose hashes a worker remembers; the memory is emptied when full.
 CACHE_WORDS = 250_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -101,11 +101,17 @@ def ship_package(spark: SparkSession) -> None:
 Task = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
+#: What a task's end empties: module-level memories of words.
+MEMORIES: list[Callable[[], None]] = [WORD_HASHES.clear]
+
+
 def lean(task: Task) -> Task:
     """Give a task's memory back at its end: workers are reused, and allocators keep what was freed."""
     @functools.wraps(task)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from task(batches)
+        for empty in MEMORIES:
+            empty()
         gc.collect()
         pa.default_memory_pool().release_unused()
         libc = ctypes.CDLL(None)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bodies, lean, ngram_hashes, rows_of, ship_package, word_hashes, words_of
+from .common import bodies, lean, ngram_hashes, rows_of, unwrapped, whole_rows, word_hashes, words_of
 
 CONTAINMENT = 80        # per cent
 SHINGLE_WORDS = 5
@@ -138,22 +138,23 @@ def find_items(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", tex
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def without_items(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_id_col: str = "item_id",
-                  item_text_col: str = "text", block: int = BLOCK_SHINGLES) -> DataFrame:
+def without_items(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                  item_id_col: str = "item_id", item_text_col: str = "text",
+                  block: int = BLOCK_SHINGLES) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that hold no item."""
-    ship_package(docs.sparkSession)
     out = docs
     for some in item_blocks(items, item_id_col, item_text_col, block):
-        kept = out.select(F.col(text_col).cast("string").cast("binary").alias("body"), F.struct("*").alias("row"))
+        rows = whole_rows(out, id_col, text_col)
 
         @lean
-        def rows(batches: Iterable[pa.RecordBatch], some=some) -> Iterator[pa.RecordBatch]:
+        def free(batches: Iterable[pa.RecordBatch], some=some) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(some)
             for batch in batches:
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
-                    keep = [not index.search(b) for b in part.column(0).to_pylist()]
-                    yield part.select(["row"]).filter(pa.array(keep, pa.bool_()))
+                    keep = [not index.search(b) for b in part.column("body").to_pylist()]
+                    yield part.select(["body", "row"]).filter(pa.array(keep, pa.bool_()))
 
-        out = kept.mapInArrow(rows, kept.select("row").schema).select("row.*")
+        kept = rows.mapInArrow(free, rows.select("body", "row").schema)
+        out = unwrapped(kept.withColumn("text", F.col("body").cast("string")), docs.columns, text_col, "text")
     return out

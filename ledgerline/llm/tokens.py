@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from .common import MEMORIES
+
 #: Words a worker remembers: about 200 bytes each.
 CACHE_WORDS = 400_000
 MARKS = b".,;:!?"
@@ -63,6 +65,9 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+MEMORIES.append(word_ids.cache_clear)
+
+
 def default_path() -> str:
     """Where the public tokenizer of the production queries lies on this machine."""
     import public_tokenizers

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bodies, crc_mod, lean, rows_of, ship_package, words_of
+from .common import bodies, crc_mod, lean, unwrapped, whole_rows, words_of
 
 THRESHOLD = 0.7
 #: Documents of each label that training reads, at most.
@@ -367,18 +367,18 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     return scored.select("doc_id", held_out_rows().alias("held_out"), "score", "predicted", "spans")
 
 
-def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs``, all columns as they are, that are not predicted toxic."""
-    ship_package(docs.sparkSession)
-    kept = docs.select(F.col(text_col).cast("string").cast("binary").alias("body"), F.struct("*").alias("row"))
+    rows = whole_rows(docs, id_col, text_col)
 
     @lean
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         emissions = Emissions(model)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                found = analyse(model, emissions, part.column(0).to_pylist())
-                yield part.select(["row"]).filter(pa.array([s < THRESHOLD for s, _ in found], pa.bool_()))
+                found = analyse(model, emissions, part.column("body").to_pylist())
+                yield part.select(["body", "row"]).filter(pa.array([s < THRESHOLD for s, _ in found], pa.bool_()))
 
-    return kept.mapInArrow(rows, kept.select("row").schema).select("row.*")
+    kept = rows.mapInArrow(clean, rows.select("body", "row").schema)
+    return unwrapped(kept.withColumn("text", F.col("body").cast("string")), docs.columns, text_col, "text")
