@@ -211,6 +211,15 @@ def run_lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total))
 
 
+def repeated(values: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    order = np.argsort(values, kind="stable")
+    count = run_lengths(starts_of(values[order]), len(values))
+    out = np.empty(len(values), bool)
+    out[order] = np.repeat(count > 1, count)
+    return out
+
+
 def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage, survives lost executors."""
     spark: SparkSession = df.sparkSession
