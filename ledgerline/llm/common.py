@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import new_scratch_dir
 
 #: Texts that one task holds at a time while it builds a block.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 #: Words whose hashes a worker remembers; the memory is emptied when full.
 CACHE_WORDS = 250_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)

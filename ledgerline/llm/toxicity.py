@@ -55,8 +55,8 @@ TRAIN_STEPS = 120
 SEGMENT = 48
 SPAN_MARGINAL = 0.5
 #: Cells (documents x words) of a forward-backward table.
-TABLE_CELLS = 1 << 20
-CACHE_WORDS = 400_000
+TABLE_CELLS = 1 << 18
+CACHE_WORDS = 200_000
 TOKEN = re.compile(rb"[^\x20\x09-\x0D]+")
 EDGE = b".,;:!?()[]{}<>\"'*#$%&|-_/\\~`^+="
 
