@@ -101,17 +101,28 @@ def ship_package(spark: SparkSession) -> None:
 Task = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-#: What a task's end empties: module-level memories of words.
-MEMORIES: list[Callable[[], None]] = [WORD_HASHES.clear]
+#: Memories of words that a worker holds, by name: how to empty them.
+MEMORIES: dict[str, Callable[[], None]] = {"word hashes": WORD_HASHES.clear}
 
 
-def lean(task: Task) -> Task:
-    """Give a task's memory back at its end: workers are reused, and allocators keep what was freed."""
+def forget(but: str | None) -> None:
+    """Empty this worker's memories.  A function of the module, so that it is the worker's own ones."""
+    for name, empty in MEMORIES.items():
+        if name != but:
+            empty()
+
+
+def lean(task: Task, keep: str | None = None) -> Task:
+    """Give a task's memory back at its end: workers are reused, and allocators keep what was freed.
+
+    ``keep`` names the memory that tasks of this kind pass on to the next of
+    them; tasks of other kinds empty it when they begin.
+    """
     @functools.wraps(task)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keep)
         yield from task(batches)
-        for empty in MEMORIES:
-            empty()
+        forget(keep)
         gc.collect()
         pa.default_memory_pool().release_unused()
         libc = ctypes.CDLL(None)

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bodies, lean, rows_of, staged
-from .tokens import default_path, encode, word_ids
+from .tokens import WORD_MEMORY, default_path, encode, word_ids
 
 CAPACITY = 4096
 GRID = 16
@@ -126,7 +127,7 @@ def cut(docs: DataFrame, *, capacity: int = CAPACITY, end_id: int = END_ID, toke
     end = end_id.to_bytes(4, "little")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
-    @lean
+    @partial(lean, keep=WORD_MEMORY)
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = word_ids(path)
         out: list[tuple] = []

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_scratch_dir
 from .common import bodies, by_bucket, dealt, dealt_rows, lean, mix, packed, rows_of, staged
-from .tokens import default_path, encode, word_ids
+from .tokens import WORD_MEMORY, default_path, encode, word_ids
 
 SEQUENCE_LENGTH = 256
 SHARD_RECORDS = 4096
@@ -77,7 +78,7 @@ def token_rows(docs: DataFrame, *, length: int, end_id: int, tokenizer: str | No
     path = tokenizer or default_path()
     end = end_id.to_bytes(4, "little")
 
-    @lean
+    @partial(lean, keep=WORD_MEMORY)
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, task, n = word_ids(path), TaskContext.get().partitionId(), 0
         held: list[tuple[int, int | None, bytes]] = []

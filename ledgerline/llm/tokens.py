@@ -13,7 +13,7 @@ from functools import lru_cache
 from .common import MEMORIES
 
 #: Words a worker remembers: about 200 bytes each.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 MARKS = b".,;:!?"
 #: Letters below this are single characters in every normal form.
 LATIN_END = "\u0100"
@@ -65,7 +65,9 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-MEMORIES.append(word_ids.cache_clear)
+#: The name of the word memory, for tasks that pass it on.
+WORD_MEMORY = "word ids"
+MEMORIES[WORD_MEMORY] = word_ids.cache_clear
 
 
 def default_path() -> str:
