@@ -8,6 +8,7 @@ ones.
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 
 from .common import MEMORIES
@@ -49,15 +50,15 @@ class WordIds(dict):
             core = plain.rstrip(MARKS)
             if core and core != word and core[-1:].isalnum():
                 return self[core] + (self[plain[len(core):]] if len(core) < len(plain) else b"")
+            if plain.isalpha():
+                return array("I", [t.id for t in self.model.tokenize(plain.decode())]).tobytes()
         text = word.decode("utf-8", "replace")
         if text.isalpha() and max(text) < LATIN_END:
             # letters alone are one piece, and these have no other normal form than
             # lower case: the model can take them without the steps before it
             spelled = text.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
-            ids = [t.id for t in self.model.tokenize(spelled)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+            return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(maxsize=4)
