@@ -2,18 +2,20 @@
 
 Counting
     Documents are dealt out by id.  Each bucket counts its training tokens and
-    token pairs and deals the counts out by hash; there, counts of one token
-    from all buckets are added up.  Exact token counts go back to the buckets
-    that asked (for the base score); all tokens, and pairs counted twice or
-    more, go into the filter.
+    token pairs and deals the counts out by hash, those it only scores with a
+    count of 0; there, counts of one token or pair from all buckets are added up.
+    All tokens, and pairs counted twice or more, go into the filter.
 
 The filter
     An n-gram of count c is put in ``1 + floor(log2 c)`` times, with the level as
     part of the key.  A query probes level after level until one is missing: the
-    levels found give the quantised count.  The filter is cut into one segment
-    a bucket of hashes, each made by its own task.  It has ``BITS`` bits for each
-    level put in, up to ``MAX_BITS`` in all, so what is broadcast is bounded; beyond that
-    bound everything is still put in and false positives grow.
+    levels found give the quantised count.  The filter is cut into segments of
+    the buckets of hashes, each made and probed by the task that adds the counts
+    up: it probes every n-gram that a bucket of documents asked for and sends the
+    levels back, with the exact counts of tokens (for the base score).  A segment
+    has ``BITS`` bits for each level put in, whatever the corpus; one of more than
+    ``PART_BITS`` is made and probed in parts, so what a task holds of it is bounded.
+    Nothing of the filter is broadcast.
 
 The model
     P(w | v) = ``PAIR_SHARE`` * c(v w) / c(v) + (1 - ``PAIR_SHARE``) * P(w), where
@@ -47,14 +49,14 @@ from .common import (
 HOLD_OUT, MODULUS = 2, 7
 PAIR_SHARE = 0.6
 MIN_PAIR_COUNT = 2
-#: Bits of the filter for each level put in, and the most it may have: 64 MiB.
+#: Bits of the filter for each level put in, and about how many a task makes at a time.
 BITS = 12
-MAX_BITS = 1 << 29
+PART_BITS = 1 << 24
 PROBES = 4
 #: Tokens that are scored at a time.
 CHUNK_TOKENS = 200_000
 #: Rows of one kind each in the tables that are dealt out.
-TOKENS, REPLIES, PAIRS, GRAMS, ROWS = range(5)
+TOKENS, REPLIES, PAIRS, SUMS, ROWS, PAIR_REPLIES = range(6)
 
 U64, U32 = np.dtype("<u8"), np.dtype("<u4")
 #: The end token, which is no hash of a word that the tests know of: a fixed value.
@@ -128,7 +130,7 @@ def local_counts(dealt_docs: DataFrame, buckets: int) -> DataFrame:
     """Counts of one bucket of documents, dealt by hash of token and pair."""
     @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, trained, pairs, bucket = [], [], [], None
+        every, trained, pairs, trained_pairs, bucket = [], [], [], [], None
         for batch in batches:
             for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("a").to_pylist(), strict=True):
                 bucket = b
@@ -138,6 +140,8 @@ def local_counts(dealt_docs: DataFrame, buckets: int) -> DataFrame:
                     every.append(tokens)
                     if remainder(doc_id) not in (None, HOLD_OUT):
                         trained.append(tokens)
+                        trained_pairs.append(pairs_of(tokens))
+                    else:
                         pairs.append(pairs_of(tokens))
         if bucket is None:
             return
@@ -152,9 +156,11 @@ def local_counts(dealt_docs: DataFrame, buckets: int) -> DataFrame:
             s, e = bounds[w], bounds[w + 1]
             if s < e:
                 yield _batch([(TOKENS, w, bucket, token[s:e].tobytes(), count[s:e].astype(U32).tobytes(), 0, 0)])
-        if not pairs:
-            return
-        key, n = np.unique(np.concatenate(pairs), return_counts=True)
+        key, n = np.unique(np.concatenate([*trained_pairs, *pairs]), return_counts=True)
+        if pairs:
+            # what is only scored does not count
+            other, m = np.unique(np.concatenate(pairs), return_counts=True)
+            n[np.searchsorted(key, other)] -= m
         bounds = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1))
         for w in range(buckets):
             s, e = bounds[w], bounds[w + 1]
@@ -165,38 +171,35 @@ def local_counts(dealt_docs: DataFrame, buckets: int) -> DataFrame:
     return dealt(dealt_docs, buckets).mapInArrow(rows, SCHEMA)
 
 
-def total_counts(local: DataFrame, buckets: int) -> DataFrame:
-    """Replies to the buckets of documents, and the n-grams for the filter with their counts.
+def total_counts(local: DataFrame, buckets: int, part_bits: int) -> DataFrame:
+    """Replies to the buckets of documents: exact counts of tokens, and levels found in the filter.
 
-    GRAMS rows: ``a`` keys, ``b`` levels, n1 levels in all, n2 0 for pairs; a
-    second row of tokens has part 1, ``n1`` the tokens N and ``n2`` the distinct V.
+    REPLIES rows: ``a`` counts, ``b`` levels of the tokens that ``bucket`` asked
+    for; PAIR_REPLIES: ``b`` levels of its pairs.  SUMS rows: ``n1`` the training
+    tokens N and ``n2`` the distinct V.
     """
     @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, keys, counts, pair_keys, pair_counts, bucket = [], [], [], [], [], None
+        asked, keys, counts, bucket = {TOKENS: [], PAIRS: []}, {TOKENS: [], PAIRS: []}, {TOKENS: [], PAIRS: []}, None
         for kind, w, part, a, b, first, _ in _blobs(batches):
             bucket = w
-            if kind == TOKENS:
-                asked.append(part)
-                keys.append(np.frombuffer(a, U64))
-                counts.append(np.frombuffer(b, U32).astype(np.int64))
-            else:
-                pair_keys.append(Gaps.unpack(first, a))
-                pair_counts.append(np.frombuffer(b, U32).astype(np.int64))
+            asked[kind].append(part)
+            keys[kind].append(np.frombuffer(a, U64) if kind == TOKENS else Gaps.unpack(first, a))
+            counts[kind].append(np.frombuffer(b, U32).astype(np.int64))
         if bucket is None:
             return
-        token, count = summed(np.concatenate(keys), np.concatenate(counts))
-        for part, key in zip(asked, keys, strict=True):
-            yield _batch([(REPLIES, part, bucket, count[np.searchsorted(token, key)].astype(U64).tobytes(), b"", 0, 0)])
-        known = count > 0
-        level = levels_of(count[known])
-        yield _batch([(GRAMS, bucket, 0, mix(token[known] ^ TOKEN_SALT).tobytes(), level.astype(np.uint8).tobytes(),
-                       int(level.sum()), 0),
-                      (GRAMS, bucket, 1, b"", b"", int(count.sum()), int(known.sum()))])
-        if pair_keys:
-            key, count = summed(np.concatenate(pair_keys), np.concatenate(pair_counts))
-            key, level = key[count >= MIN_PAIR_COUNT], levels_of(count[count >= MIN_PAIR_COUNT])
-            yield _batch([(GRAMS, bucket, 2, key.tobytes(), level.astype(np.uint8).tobytes(), int(level.sum()), 0)])
+        if keys[TOKENS]:
+            token, count = summed(np.concatenate(keys[TOKENS]), np.concatenate(counts[TOKENS]))
+            found = probed(mix(token ^ TOKEN_SALT), count, part_bits)
+            for part, key in zip(asked[TOKENS], keys[TOKENS], strict=True):
+                at = np.searchsorted(token, key)
+                yield _batch([(REPLIES, part, bucket, count[at].astype(U64).tobytes(), found[at].tobytes(), 0, 0)])
+            yield _batch([(SUMS, bucket, 0, b"", b"", int(count.sum()), int((count > 0).sum()))])
+        if keys[PAIRS]:
+            pair, count = summed(np.concatenate(keys[PAIRS]), np.concatenate(counts[PAIRS]))
+            found = probed(pair, np.where(count >= MIN_PAIR_COUNT, count, 0), part_bits)
+            for part, key in zip(asked[PAIRS], keys[PAIRS], strict=True):
+                yield _batch([(PAIR_REPLIES, part, bucket, b"", found[np.searchsorted(pair, key)].tobytes(), 0, 0)])
 
     return dealt(local, buckets).mapInArrow(rows, SCHEMA)
 
@@ -222,7 +225,7 @@ def _runs(sizes: list[int], most: int) -> Iterator[list[int]]:
 
 
 class LogFrequencyFilter:
-    """The whole filter: segments of ``size`` bits, one a bucket of hashes."""
+    """Segments of ``size`` bits, one a bucket of hashes."""
 
     def __init__(self, bits: np.ndarray, size: int, buckets: int) -> None:
         self.bits, self.size, self.buckets = bits, size, buckets
@@ -243,66 +246,60 @@ class LogFrequencyFilter:
         return found
 
 
-def token_segments(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """A token's segment is the bucket of its hash, known where its count was added up."""
-    return bucket_of(keys, buckets)
+def made_filter(keys: np.ndarray, levels: np.ndarray) -> LogFrequencyFilter:
+    """One segment that holds the keys at all of their levels, sized by them."""
+    size = max(64, -(-BITS * int(levels.sum()) // 64) * 64)
+    bits = np.zeros(size, np.uint8)
+    for k in range(1, int(levels.max(initial=0)) + 1):
+        bits[places(keys[levels >= k], k, size).ravel()] = 1
+    return LogFrequencyFilter(np.packbits(bits, bitorder="little"), size, 1)
 
 
-def make_filter(totals: DataFrame, buckets: int, max_bits: int) -> LogFrequencyFilter:
-    grams = totals.where((F.col("kind") == GRAMS) & (F.col("part") != 1))
-    put_in = grams.agg(F.sum("n1")).first()[0] or 0
-    size = max(64, min(max_bits, BITS * put_in) // buckets // 64 * 64)
+def probed(keys: np.ndarray, counts: np.ndarray, part_bits: int) -> np.ndarray:
+    """Levels found of each key in the filter of those with a count, in parts of about ``part_bits`` bits."""
+    levels = np.where(counts > 0, levels_of(counts), 0)
+    found = np.zeros(len(keys), np.uint8)
+    # parts end by the bits before them, and by keys too where few have a count
+    part = np.maximum((np.cumsum(levels) - levels) * BITS // part_bits, np.arange(len(keys)) * BITS // part_bits)
+    starts = np.append(starts_of(part), len(keys))
+    for s, e in zip(starts[:-1], starts[1:], strict=True):
+        put = levels[s:e] > 0
+        made = made_filter(keys[s:e][put], levels[s:e][put])
+        found[s:e] = made.levels(keys[s:e], np.zeros(e - s, np.int64))
+    return found
 
-    @lean
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, bucket = np.zeros(size, np.uint8), None
-        for _, w, _, a, b, _, _ in _blobs(batches):
-            bucket = w
-            key, level = np.frombuffer(a, U64), np.frombuffer(b, np.uint8)
-            for k in range(1, int(level.max(initial=0)) + 1):
-                bits[places(key[level >= k], k, size).ravel()] = 1
-        if bucket is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
-                ["bucket", "bits"])
-
-    # at most max_bits in all, whatever the corpus
-    bits = np.zeros(size * buckets // 8, np.uint8)
-    for r in dealt(grams, buckets).mapInArrow(rows, "bucket int, bits binary").toLocalIterator():
-        bits[r["bucket"] * size // 8:(r["bucket"] + 1) * size // 8] = np.frombuffer(r["bits"], np.uint8)
-    return LogFrequencyFilter(bits, size, buckets)
-
-
-def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+
+def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_bits: int = PART_BITS) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
     buckets = n_buckets(docs)
     texts = deal_rows(bodies(docs, id_col, text_col), buckets, ROWS)
-    totals = staged(total_counts(local_counts(texts, buckets), buckets), "counts")
-    sums = totals.where((F.col("kind") == GRAMS) & (F.col("part") == 1)).agg(F.sum("n1"), F.sum("n2")).first()
+    totals = staged(total_counts(local_counts(texts, buckets), buckets, max_bits), "counts")
+    sums = totals.where(F.col("kind") == SUMS).agg(F.sum("n1"), F.sum("n2")).first()
     n, v = int(sums[0] or 0), int(sums[1] or 0)
-    made = make_filter(totals, buckets, max_bits)
-    shared = spark.sparkContext.broadcast((made.bits, made.size))
 
     @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, tokens, replies = [], [], {}
-        for kind, _, part, a, _, _, _ in _blobs(batches):
+        ids, tokens, replies, levels, pair_levels = [], [], {}, {}, {}
+        for kind, _, part, a, b, _, _ in _blobs(batches):
             if kind == REPLIES:
-                replies[part] = np.frombuffer(a, U64)
+                replies[part], levels[part] = np.frombuffer(a, U64), np.frombuffer(b, np.uint8)
+                continue
+            if kind == PAIR_REPLIES:
+                pair_levels[part] = np.frombuffer(b, np.uint8)
                 continue
             table = dealt_rows(a)
             ids += table.column(0).to_pylist()
             tokens += [tokens_of(b) for b in table.column(1).to_pylist()]
         if not ids:
             return
-        bits, size = shared.value
-        model = LogFrequencyFilter(bits, size, buckets)
         token = np.unique(np.concatenate(tokens))
         # replies come in the order of the buckets of hashes, which is the order of the tokens
         count = np.concatenate([replies[w] for w in sorted(replies)]).astype(np.float64)
         base = np.log10((count + 1) / (n + (v + 1)))
-        quantised = count_at(model.levels(mix(token ^ TOKEN_SALT), token_segments(token, buckets)))
+        quantised = count_at(np.concatenate([levels[w] for w in sorted(levels)]).astype(np.int64))
+        # so do those for pairs
+        known_pair = np.unique(np.concatenate([pairs_of(t) for t in tokens]))
+        pair_level = np.concatenate([pair_levels[w] for w in sorted(pair_levels)])
         out = []
         end = int(np.searchsorted(token, END))
         for some in _runs([len(t) for t in tokens], CHUNK_TOKENS):
@@ -313,7 +310,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ma
             before = np.append(end, at[:-1])
             before[first] = end
             pair = mix(token[before] * MULTIPLIER + mine) & KEEP48
-            both = count_at(model.levels(pair, bucket_of(pair, buckets)))
+            both = count_at(pair_level[np.searchsorted(known_pair, pair)].astype(np.int64))
             single = (quantised[at] + 1) / (n + v + 1)
             p = PAIR_SHARE * both / np.maximum(np.maximum(quantised[before], both), 1) + (1 - PAIR_SHARE) * single
             known = np.add.reduceat((count[at] > 0).astype(np.int64), first)
@@ -327,7 +324,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ma
 
     none = [F.lit(None).cast(t).alias(c) for c, t in (("b", "binary"), ("n1", "long"), ("n2", "long"))]
     meeting = texts.select("kind", "bucket", F.lit(0).alias("part"), "a", *none).unionAll(
-        totals.where(F.col("kind") == REPLIES))
+        totals.where(F.col("kind").isin(REPLIES, PAIR_REPLIES)))
     return dealt(meeting, buckets).mapInArrow(
         rows, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
               "score double")
