@@ -4,7 +4,7 @@ Counting
     Documents are dealt out by id.  Each bucket counts its training tokens and
     token pairs and deals the counts out by hash, those it only scores with a
     count of 0; there, counts of one token or pair from all buckets are added up.
-    All tokens, and pairs counted twice or more, go into the filter.
+    All tokens and pairs with a count go into the filter.
 
 The filter
     An n-gram of count c is put in ``1 + floor(log2 c)`` times, with the level as
@@ -48,7 +48,6 @@ from .common import (
 
 HOLD_OUT, MODULUS = 2, 7
 PAIR_SHARE = 0.6
-MIN_PAIR_COUNT = 2
 #: Bits of the filter for each level put in, and about how many a task makes at a time.
 BITS = 12
 PART_BITS = 1 << 24
@@ -197,7 +196,7 @@ def total_counts(local: DataFrame, buckets: int, part_bits: int) -> DataFrame:
             yield _batch([(SUMS, bucket, 0, b"", b"", int(count.sum()), int((count > 0).sum()))])
         if keys[PAIRS]:
             pair, count = summed(np.concatenate(keys[PAIRS]), np.concatenate(counts[PAIRS]))
-            found = probed(pair, np.where(count >= MIN_PAIR_COUNT, count, 0), part_bits)
+            found = probed(pair, count, part_bits)
             for part, key in zip(asked[PAIRS], keys[PAIRS], strict=True):
                 yield _batch([(PAIR_REPLIES, part, bucket, b"", found[np.searchsorted(pair, key)].tobytes(), 0, 0)])
 
