@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import lm_score, suffix_dedup, toxicity
 from .decontaminate import find_items
 from .licenses import BASE_PHRASES, BASE_SCORE, TEMPLATE_SCORE, TEMPLATES, parse, scan_licenses
-from .ngram_join import ngram_join
+from .ngram_join import linked_rows, ngram_join
 from .packing import pack
 from .quality import RULES, SYMBOLS, quality_rules
 from .shards import shard_digest
@@ -113,6 +113,12 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"))
 
 
+@query("op2_ngram_jaccard_links")
+def op2_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classes, with the number of links of each document."""
+    return linked_rows(table(spark, sf_dir, "documents"))
+
+
 @query("op3_benchmark_decontamination", OP3_SQL)
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item of ``benchmark`` that a whole text of ``documents`` holds."""
