@@ -12,6 +12,7 @@ from .licenses import BASE_PHRASES, BASE_SCORE, TEMPLATE_SCORE, TEMPLATES, parse
 from .ngram_join import linked_rows, ngram_join
 from .packing import pack
 from .quality import RULES, SYMBOLS, quality_rules
+from .resample import resample
 from .shards import shard_digest
 from .warc import PERIOD, records_of_pages, resolve_revisits
 
@@ -235,3 +236,51 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of 4096 tokens."""
     return pack(table(spark, sf_dir, "documents"))
+
+
+def _crc32_sql(text: str, steps: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes; ``steps`` is a list of what each byte makes of the sum."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({text}))), "
+            f"lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS BIGINT))), "
+            f"lambda c, b: xor({steps}[CAST(xor(c, b) & 255 AS INTEGER) + 1], c >> 8)), 4294967295)")
+
+
+CRC32_STEPS = ("(SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, "
+               "list_transform(range(8), lambda x: 0::BIGINT)), "
+               "lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps)")
+
+
+def _features_sql(words: str) -> str:
+    return (f"SELECT r, unnest(list_concat(words, list_transform(range(1, greatest(len(words), 1)), "
+            f"lambda i: words[i] || ' ' || words[i + 1]))) AS f FROM {words}")
+
+
+_LOWER_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+                r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP12_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_LOWER_WORDS} AS words FROM documents),
+t AS MATERIALIZED (SELECT row_number() OVER () AS r, {_LOWER_WORDS} AS words FROM benchmark),
+df AS MATERIALIZED ({_features_sql('d')}), tf AS MATERIALIZED ({_features_sql('t')}),
+crc AS MATERIALIZED (SELECT f, {_crc32_sql('f', 'steps')} % 10000 AS b
+  FROM (SELECT f FROM df UNION SELECT f FROM tf), {CRC32_STEPS}),
+s AS (SELECT b, count(*) AS s FROM df JOIN crc USING (f) GROUP BY b),
+u AS (SELECT b, count(*) AS t FROM tf JOIN crc USING (f) GROUP BY b),
+n AS (SELECT (SELECT count(*) FROM df)::DOUBLE AS bs, (SELECT count(*) FROM tf)::DOUBLE AS bt),
+g AS (SELECT b, floor(1000 * ln((coalesce(t, 0) + 1) * (bs + 10000) / ((s + 1) * (bt + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN u USING (b), n),
+w AS (SELECT r, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM df JOIN crc USING (f) JOIN g USING (b) GROUP BY r),
+c AS (SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[1:8] AS BIGINT)
+    + 0.5) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN w USING (r)),
+k AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS place,
+  count(*) OVER (PARTITION BY n_words >= 20) AS total FROM c)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_words >= 20 AND place <= total * 25 // 100 THEN place END AS rank FROM k"""
+
+
+@query("op12_target_resampling", OP12_SQL)
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` weighed and drawn by how much they look like ``benchmark``."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
