@@ -11,9 +11,11 @@ from .decontaminate import find_items
 from .licenses import BASE_PHRASES, BASE_SCORE, TEMPLATE_SCORE, TEMPLATES, parse, scan_licenses
 from .ngram_join import linked_rows, ngram_join
 from .packing import pack
+from .phrases import phrase_digest
 from .quality import RULES, SYMBOLS, quality_rules
 from .resample import resample
 from .shards import shard_digest
+from .turn_trie import conversation_trie
 from .warc import PERIOD, records_of_pages, resolve_revisits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -284,3 +286,40 @@ SELECT doc_id, n_features, weight, score,
 def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` weighed and drawn by how much they look like ``benchmark``."""
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = f"""
+WITH t AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+i AS (SELECT conv_id, turn, octet_length(encode(text)) AS size,
+  sha256(octet_length(encode(role)) || ':' || role || text)[1:32] AS id FROM t),
+o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id, size) AS k FROM i),
+c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32_sql('conv_id::VARCHAR', 'steps')} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), {CRC32_STEPS}),
+b AS (SELECT c.conv_id, 0 AS part, o.k, o.id, o.size FROM c JOIN o ON o.conv_id = c.base WHERE o.k <= h
+  UNION ALL SELECT c.conv_id, 1, o.k, o.id, o.size FROM c JOIN o USING (conv_id) WHERE o.k > h),
+p AS MATERIALIZED (SELECT conv_id, row_number() OVER w AS depth, size, string_agg(id || size, ',') OVER w AS path FROM b
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, k) UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+q AS MATERIALIZED (SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS above,
+  depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+n AS MATERIALIZED (SELECT path, any_value(depth) AS depth, any_value(above) AS above, any_value(size) AS size,
+  min(conv_id) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM q GROUP BY path),
+k AS (SELECT above AS path, count(*) AS n_children FROM n WHERE above IS NOT NULL GROUP BY above),
+m AS MATERIALIZED (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+s AS (SELECT p.path, count(*) FILTER (m.n_children = 0) AS n_leaves, sum((m.n_convs - 1) * m.size)::BIGINT AS saved_tokens
+  FROM m JOIN p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY p.path)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens, m.ends_sha256
+FROM m JOIN s USING (path) LEFT JOIN n u ON u.path = m.above"""
+
+
+@query("op11_conversation_trie", OP11_SQL)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all ``conversations``, rebuilt with shared heads."""
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_phrase_dedup")
+def op13_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` that repeat 50-word windows of earlier documents."""
+    return phrase_digest(table(spark, sf_dir, "documents"))

@@ -13,7 +13,7 @@ from ..conftest import SF_SMALL
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
     df = QUERIES[key](spark, SF_SMALL)
     cur = con.execute(ORACLE_SQL[key])
