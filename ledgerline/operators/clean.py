@@ -16,8 +16,8 @@ from ..functions import parse as P
 from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS, TEXT_LIMITS
 
 REJECT = "reject_reason"
-
-
+#: Text of a raw record with more or fewer fields than its header, where the source tells.
+BROKEN = "_broken_record"
 
 
 def _typed(s: Column, kind: str) -> Column:
@@ -63,7 +63,8 @@ def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
         *[F.col(c) for c in keep]))))
     # 2. judge; defaults apply only after the range rule has seen the NULL
     verdict = None
-    for cond, reason in reasons(spec):
+    broken = [(F.col(BROKEN).isNotNull(), "broken_record")] if BROKEN in raw.columns else []
+    for cond, reason in broken + reasons(spec):
         verdict = (F.when(cond, F.lit(reason)) if verdict is None
                    else verdict.when(cond, F.lit(reason)))
     outs = [F.coalesce(F.col(dst), F.lit(0)).alias(dst) if kind == "int0" else F.col(dst)

@@ -6,9 +6,12 @@ one in.  ``build_session`` is a convenience for scripts, tests and the bench.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -100,3 +103,25 @@ def clean_staged(spark: SparkSession, purpose: str) -> None:
 def clean_scratch(spark: SparkSession) -> None:
     """Delete all that this application staged; call it when no result is read any more."""
     delete_dir(spark, _own_scratch(spark))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application: they need not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(top) for f in names if f.endswith(".py"))
+    digest = hashlib.sha256()
+    for f in files:
+        with open(f, "rb") as source:
+            digest.update(source.read())
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerline-ship-"), f"ledgerline-{digest.hexdigest()[:16]}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in files:
+            z.write(f, os.path.relpath(f, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)

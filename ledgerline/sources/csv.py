@@ -3,56 +3,49 @@
 Every field is read as text (nothing is inferred) and is taken by the name in
 the file's own header: files of one load may order their columns differently,
 have more columns (ignored) or lack some (NULL).  A file without the key
-column is an error, as its rows could not be told apart.
+column is an error, as its rows could not be told apart; one without lines has
+no rows.
 
-Quoted fields may hold newlines, doubled quotes and backslashes, so the reader
-runs in multi-line mode, in which a file cannot be split: each file is read by
-one task, and large exports have to arrive as many files.  Each row keeps its
-load position (file, row within file) so "first row wins" is well defined (D2).
+Quoted fields may hold newlines, doubled quotes and backslashes.  The records of
+a file are found in parallel (``records``), so that one large file makes as many
+tasks as it has byte ranges.  Each row keeps its load position (file, record
+within the file, from 1 on) so "first row wins" is well defined (D2).
+
+A record with more or fewer fields than its header is not padded or cut in
+silence: ``_broken_record`` holds its text, NULL for all others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS
+from .records import Export, records, survey
 
 LOAD_FILE = "_load_file"
 LOAD_ROW = "_load_row"
 LOAD_ORDER = (LOAD_FILE, LOAD_ROW)
+BROKEN = "_broken_record"
 KEY_COLUMN = "_id"
-#: Headers that are read at the same time, one small job each.
-HEADER_READERS = 8
-
-
-def _reader(spark: SparkSession):
-    return (spark.read.option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"')
-            .option("encoding", "UTF-8").option("mode", "PERMISSIVE"))
-
-
-def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """The files of an export, in load order; names only, no content is read."""
-    listed = spark.read.format("binaryFile").load(list(paths) if not isinstance(paths, str) else paths)
-    return sorted(r["path"] for r in listed.select("path").collect())
-
-
-def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header: each distinct list of column names with the files that have it."""
-    def header(file: str) -> tuple[str, ...]:
-        return tuple(_reader(spark).csv(file).columns)
-
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for file, names in zip(files, pool.map(header, files), strict=True):
-            by_header.setdefault(names, []).append(file)
-    return by_header
+PARSING = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+
+
+def _by_layout(export: Export, files: int, key: str) -> dict[tuple[str, ...], list[str]]:
+    """Files of the load by their header."""
+    out: dict[tuple[str, ...], list[str]] = {}
+    for path, names, count in list(zip(export.paths, export.headers, export.counts))[:files]:
+        if names is not None:
+            out.setdefault(names, []).append(path)
+        elif count:
+            raise ValueError(f"the header of {path} does not end in its first byte range")
+    for names, paths in out.items():
+        if key not in names:
+            raise ValueError(f"no column {key!r} in the header of {', '.join(paths[:3])}")
+    return out
 
 
 def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str],
@@ -60,39 +53,33 @@ def read_raw_csv(spark: SparkSession, paths: str | Sequence[str], columns: Seque
     """Read header CSV files as text columns ``columns`` plus the load position.
 
     ``limit`` (S3) keeps the first ``limit`` rows in load order; 0/None = all.
+    Files after the last one that it reaches are not read again.
     """
+    export = survey(spark, paths)
+    files, last = len(export.paths), None
+    if limit:
+        left = limit
+        for k, n in enumerate(export.counts):
+            if n >= left:
+                files, last = k + 1, left
+                break
+            left -= n
     parts = []
-    for names, files in sorted(read_headers(spark, list_files(spark, paths)).items()):
-        if key not in names:
-            raise ValueError(f"no column {key!r} in the header of {', '.join(files[:3])}")
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        rows = _reader(spark).schema(schema).csv(files)
-        # A file is never split, so the increasing id follows its row order.
-        parts.append(rows.select(
-            *[(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns],
-            F.input_file_name().alias(LOAD_FILE), F.monotonically_increasing_id().alias(LOAD_ROW)))
+    for names, some in sorted(_by_layout(export, files, key).items()):
+        schema = ", ".join([*[f"f{i} string" for i in range(len(names))], f"{BROKEN} string"])
+        rows = records(spark, export, some).where(F.col("row") > 0)
+        if last is not None:
+            rows = rows.where((F.col("file") < export.uris[files - 1]) | (F.col("row") <= last))
+        # the one-row ``inline`` is a fence: each record is parsed once, not once a field
+        parsed = rows.select("file", "row", F.inline(F.array(F.from_csv("record", schema, PARSING))))
+        at = {n: i for i, n in reversed(list(enumerate(names)))}
+        parts.append(parsed.select(
+            *[(F.col(f"f{at[c]}") if c in at else F.lit(None).cast("string")).alias(c) for c in columns],
+            F.col("file").alias(LOAD_FILE), F.col("row").alias(LOAD_ROW), BROKEN))
     if not parts:
-        raise FileNotFoundError(f"no files in {paths}")
-    df = reduce(DataFrame.unionByName, parts)
-    return first_rows(df, limit) if limit else df
-
-
-def first_rows(df: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` rows in load order, left in the tasks that read them.
-
-    A count per file tells how many rows of it belong to the load; nothing is
-    sorted and no task gathers the rows.
-    """
-    counts = df.groupBy(LOAD_FILE).agg(F.min(LOAD_ROW).alias("first"), F.count(F.lit(1)).alias("n")).collect()
-    quotas, left = [], limit
-    for r in sorted(counts, key=lambda r: r[LOAD_FILE]):
-        if left <= 0:
-            break
-        # rows of one file carry consecutive ids
-        quotas.append((r[LOAD_FILE], r["first"] + min(left, r["n"])))
-        left -= r["n"]
-    quota = df.sparkSession.createDataFrame(quotas, f"{LOAD_FILE} string, _end long")
-    return df.join(quota, LOAD_FILE).where(F.col(LOAD_ROW) < F.col("_end")).drop("_end").select(*df.columns)
+        schema = ", ".join([*[f"`{c}` string" for c in columns], f"{LOAD_FILE} string", f"{LOAD_ROW} long", f"{BROKEN} string"])
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_products_csv(spark: SparkSession, paths, limit: int | None = None) -> DataFrame:
