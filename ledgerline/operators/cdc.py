@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions import parse, serve
 from ..schemas import CLEAN_REVIEWS, PRODUCT_IMAGE
+from .asof import as_of
 from .joins import drop_matching
 from .publish import publish_products, publish_reviews
 from .versions import latest_per_key
@@ -155,10 +156,21 @@ def product_versions(log: DataFrame, keep_deletes: bool = False) -> DataFrame:
     return publish_products(flat, version="audit_id", extra=["_deleted"] if keep_deletes else [])
 
 
-def review_versions(log: DataFrame, products: DataFrame | None, keep_deletes: bool = False) -> DataFrame:
-    """P18 + P11: review changes -> fact_reviews version rows (vendor looked up, J2)."""
+def review_versions(log: DataFrame, products: DataFrame | None, keep_deletes: bool = False,
+                    history: DataFrame | None = None) -> DataFrame:
+    """P18 + P11: review changes -> fact_reviews version rows (vendor looked up, J2).
+
+    With ``history``, the versions of the products, the vendor is the one that was
+    valid when the review changed (T19); that of ``products`` stands in where the
+    history begins later, as after a compaction.
+    """
     flat = _routed(log, "reviews", CLEAN_REVIEWS, keep_deletes)
     flat = flat.withColumn("review_id", F.coalesce(F.col("review_id"), F.col("record_id")))
+    if history is not None:
+        now = products.select("product_id", F.col("vendor_id").alias("_vendor_now"))
+        flat = as_of(flat, history, "product_id", "audit_id", ["vendor_id"], versions_at="_version")
+        flat = flat.join(now, "product_id", "left").withColumn(
+            "vendor_id", F.coalesce("vendor_id", "_vendor_now", F.lit(0))).drop("_vendor_now")
     return publish_reviews(flat, products, version="audit_id", extra=["_deleted"] if keep_deletes else [])
 
 

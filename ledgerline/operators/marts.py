@@ -83,6 +83,11 @@ def build_trending(products: DataFrame, reviews: DataFrame, as_of: str | dt.date
     per_product = (reviews.filter(F.col("created_at") >= start.cast("timestamp_ntz"))
                    .groupBy("product_id", F.trunc(F.to_date("created_at"), "MM").alias("month_start"))
                    .agg(F.count(F.lit(1)).alias("_reviews")))
+    return trending_of_counts(products, per_product)
+
+
+def trending_of_counts(products: DataFrame, per_product: DataFrame) -> DataFrame:
+    """M3 from (product_id, month_start, _reviews) counts."""
     titles = products.select("product_id", "category_id", "category_title", "sales_count_week")
     joined = per_product.join(titles, "product_id")
     agg = (joined.groupBy("category_id", "month_start")

@@ -74,6 +74,14 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def list_batches(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(run id, batch id) of the batches of a table whose write has ended; folder names only, no data is read."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/run_id=*/batch_id=*/_SUCCESS")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    folders = [f.getPath().getParent() for f in found]
+    return sorted((f.getParent().getName().split("=", 1)[1], int(f.getName().split("=", 1)[1])) for f in folders)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Land ``df`` as Parquet in a fresh folder of the shared scratch root; return a read of it.
 

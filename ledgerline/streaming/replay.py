@@ -1,9 +1,10 @@
-"""What every change stream shares: run ids and the mirror as replay guard.
+"""What every change stream shares: run ids, the mirror and the replay guard.
 
-A log row is applied once however often it arrives: the mirror holds the
-audit ids of all applied rows, and a batch first drops those that another
-batch -- of this stream run or of one with another checkpoint -- has mirrored.
+A log row is applied once however often it arrives: beside the mirror stand the
+intervals of applied audit ids, and a batch first drops the rows that another
+batch -- of this stream run or of one with another checkpoint -- has applied.
 A batch that runs again after a crash does not see its own earlier attempt.
+One stream run at a time applies changes to a mirror.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ..operators.versions import pick_one_per_key
 from ..schemas import AUDIT_MIRROR
 from ..sinks.parquet import read_log
+from .applied import drop_applied, read_applied
 
 
 def run_id_of(spark: SparkSession, checkpoint: str) -> str:
@@ -37,15 +39,13 @@ def read_mirror(spark: SparkSession, path: str) -> DataFrame:
 def unseen(batch: DataFrame, mirror_path: str, run_id: str, batch_id: int) -> DataFrame:
     """The rows of a batch that no other batch has applied, each audit id once.
 
-    Only mirror rows at or above the batch's lowest id are read.  Rows without
-    an audit id cannot be told apart; all of them stay (and are rejected).
+    What was applied is known as intervals of ids (``applied``); the mirror
+    itself is not read.  Of rows that share an id but differ the first in the
+    order of their other columns counts, so another attempt takes the same one.
+    Rows without an audit id cannot be told apart; all of them stay (and are
+    rejected).
     """
-    low = batch.agg(F.min("audit_id")).first()[0]
-    if low is None:
-        return batch
-    seen = (read_mirror(batch.sparkSession, mirror_path)
-            .where((F.col("audit_id") >= low) & ~((F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)))
-            .select("audit_id"))
-    keyed = batch.where("audit_id is not null").dropDuplicates(["audit_id"])
-    return keyed.join(seen, "audit_id", "left_anti").select(*batch.columns).unionByName(
-        batch.where("audit_id is null"))
+    others = [c for c in batch.columns if c != "audit_id"]
+    keyed = pick_one_per_key(batch.where("audit_id is not null"), ["audit_id"], others, newest=False)
+    fresh = drop_applied(keyed, read_applied(batch.sparkSession, mirror_path, run_id, batch_id))
+    return fresh.select(*batch.columns).unionByName(batch.where("audit_id is null"))
