@@ -9,6 +9,8 @@
          load's id, so the same load run again replaces its own rejects
     reviews also need their product in the products table (semi/anti join).
 
+The tables lie bucketed by their key (``sinks.keyed``): a load shuffles its own
+rows to their buckets and reads the tables in place.
 Nothing is collected but the per-outcome counters (a handful of rows).
 Running the same load twice adds nothing the second time.  Staged rows are
 deleted when the load is done.
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from .operators import clean, load
 from .schemas import CLEAN_PRODUCTS, CLEAN_REVIEWS
 from .session import clean_staged
+from .sinks.keyed import KeyedTable, is_keyed
 from .sinks.parquet import append, stage
 from .sources.csv import LOAD_ORDER, read_products_csv, read_reviews_csv
 
@@ -45,8 +48,27 @@ def load_id_of(paths, limit: int | None) -> str:
     return hashlib.sha256(repr((names, limit or 0)).encode()).hexdigest()[:16]
 
 
-def _load_table(assessed: DataFrame, table_path: str, reject_path: str, load_id: str, key: str, schema,
-                existing: DataFrame, reference: tuple[DataFrame, str] | None = None):
+class _Plain:
+    """A table that an earlier load has written without buckets: read and appended to as it is."""
+
+    buckets = None
+
+    def __init__(self, spark: SparkSession, path: str, schema) -> None:
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def read(self) -> DataFrame:
+        return _existing(self.spark, self.path, self.schema)
+
+    def append(self, rows: DataFrame) -> None:
+        append(rows, self.path, self.schema)
+
+
+def _table(spark: SparkSession, path: str, schema, key: str):
+    return KeyedTable(spark, path, schema, key) if is_keyed(spark, path) else _Plain(spark, path, schema)
+
+
+def _load_table(assessed: DataFrame, table, reject_path: str, load_id: str, key: str, schema,
+                reference: tuple[DataFrame, str] | None = None):
     """Append new accepted rows and the rejects; return per-outcome counts (lazy)."""
     ok = clean.accepted(assessed)
     bad = clean.rejected(assessed)
@@ -57,9 +79,9 @@ def _load_table(assessed: DataFrame, table_path: str, reject_path: str, load_id:
                               allowMissingColumns=True)
     # Land the new rows first: the append then copies files that no longer
     # depend on the table being appended to, and counting them is exact.
-    new = stage(load.rows_to_insert(ok, existing, [key], list(LOAD_ORDER)).select(*schema.names),
+    new = stage(load.rows_to_insert(ok, table.read(), [key], list(LOAD_ORDER), table.buckets).select(*schema.names),
                 "initial-load")
-    append(new, table_path, schema)
+    table.append(new)
     bad.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
     loaded = new.groupBy().count().select(F.lit("loaded").alias("outcome"), F.col("count").alias("row_count"))
     ignored = (ok.groupBy().count().select(F.lit("ignored_duplicate").alias("outcome"),
@@ -82,20 +104,18 @@ def initial_load(spark: SparkSession, products_csv, reviews_csv, clean_root: str
     load_id = load_id or load_id_of([str(products_csv), str(reviews_csv)], limit)
     out: dict[str, dict[str, int]] = {}
 
-    products_path = f"{root}/products"
-    existing_p = _existing(spark, products_path, CLEAN_PRODUCTS)
+    products = _table(spark, f"{root}/products", CLEAN_PRODUCTS, "product_id")
     assessed_p = stage(clean.assess_products(read_products_csv(spark, products_csv, limit)),
                        "initial-load")
-    out["products"] = _finish(*_load_table(assessed_p, products_path, f"{root}/rejects_products",
-                                           load_id, "product_id", CLEAN_PRODUCTS, existing_p))
+    out["products"] = _finish(*_load_table(assessed_p, products, f"{root}/rejects_products",
+                                           load_id, "product_id", CLEAN_PRODUCTS))
 
-    reviews_path = f"{root}/reviews"
-    existing_r = _existing(spark, reviews_path, CLEAN_REVIEWS)
-    products_now = spark.read.schema(CLEAN_PRODUCTS).parquet(products_path).select("product_id")
+    reviews = _table(spark, f"{root}/reviews", CLEAN_REVIEWS, "review_id")
+    products_now = products.read().select("product_id")
     assessed_r = stage(clean.assess_reviews(read_reviews_csv(spark, reviews_csv, limit)),
                        "initial-load")
-    out["reviews"] = _finish(*_load_table(assessed_r, reviews_path, f"{root}/rejects_reviews",
-                                          load_id, "review_id", CLEAN_REVIEWS, existing_r,
+    out["reviews"] = _finish(*_load_table(assessed_r, reviews, f"{root}/rejects_reviews",
+                                          load_id, "review_id", CLEAN_REVIEWS,
                                           reference=(products_now, "product_id")))
     clean_staged(spark, "initial-load")
     return out

@@ -24,12 +24,27 @@ def first_wins(rows: DataFrame, keys: Sequence[str], load_order: Sequence[str |
 
 
 def rows_to_insert(rows: DataFrame, existing: DataFrame, keys: Sequence[str],
-                   load_order: Sequence[str | Column]) -> DataFrame:
+                   load_order: Sequence[str | Column], buckets: int | None = None) -> DataFrame:
     """K1 + J5: rows an insert-or-ignore load would add to ``existing``.
 
-    Only the key columns of ``existing`` are read for the anti join.
+    Only the key columns of ``existing`` are read for the anti join.  ``buckets``
+    tells in how many it lies bucketed by the key: the first row of each key goes
+    to its bucket then, and the table is not shuffled.
     """
-    return drop_matching(first_wins(rows, keys, load_order), existing.select(*keys), list(keys))
+    first = first_wins(rows, keys, load_order)
+    if buckets:
+        return drop_known(first, existing, keys, buckets)
+    return drop_matching(first, existing.select(*keys), list(keys))
+
+
+def drop_known(rows: DataFrame, existing: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The rows whose key is not in a table that lies in ``buckets`` buckets of the key.
+
+    Rows go to the table's buckets.  An outer join and a filter, as the optimizer
+    would move an anti join below the rows' exchange and shuffle the table instead.
+    """
+    known = existing.select(*keys, F.lit(True).alias("_known"))
+    return rows.repartition(buckets, *keys).join(known, list(keys), "left").where("_known IS NULL").select(*rows.columns)
 
 
 def insert_or_ignore(rows: DataFrame, existing: DataFrame, keys: Sequence[str],

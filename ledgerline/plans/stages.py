@@ -15,20 +15,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import cdc, clean, load, marts
+from ..jobs import initial_load
+from ..operators import cdc, clean, digest, load, marts
 from ..operators import analytics as A
-from ..operators.joins import drop_matching
+from ..operators.asof import as_of
 from ..operators.publish import publish_products, publish_reviews
 from ..operators.versions import compact, latest_per_key, sum_collapse
-from ..schemas import AUDIT_LOG, CLEAN_REVIEWS, PRODUCT_IMAGE
+from ..schemas import AUDIT_LOG, CLEAN_PRODUCTS, CLEAN_REVIEWS, PRODUCT_CSV_COLUMNS, PRODUCT_IMAGE, REVIEW_CSV_COLUMNS
 from ..session import new_scratch_dir
+from ..sinks.keyed import KeyedTable
 from ..sinks.parquet import read_log, stage, write_fact_by_month
 from ..sources import adapters as V
 from ..sources import raw as R
+from ..sources.csv import read_products_csv, read_reviews_csv
 from ..sources.serve import read_fact
 from ..sources.tables import read_table
 from ..streaming import changes
 from ..streaming import serving as SP
+from ..streaming.applied import read_applied
 from ..streaming.changes import StreamPaths, drain, make_batch_handler, run_change_stream
 from ..streaming.replay import read_mirror, run_id_of
 from . import sql_rules as Q
@@ -123,13 +127,16 @@ WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.review_id = f.review_id)""",
     extra=(("existing", f"SELECT * FROM v_reviews WHERE product_id IN (SELECT product_id FROM ({_CATALOG_SQL}))"),
            ("firsts", _FIRSTS_SQL))))
 def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: the table lies there, written; first rows are ranked before their join, and met by its keys alone."""
+    """K1: the table lies there, bucketed by its key; first rows are ranked before their join, and met in its buckets."""
     cols = ["review_id", "product_id", "updated_at", "like_count"]
     existing, _ = load.split_by_reference(V.v_reviews(spark, sf_dir), _catalog(spark, sf_dir), "product_id")
-    existing = stage(existing.select(*cols), "existing")
+    existing = existing.select(*cols)
+    table = KeyedTable(spark, new_scratch_dir(spark, "existing"), existing.schema, "review_id", buckets=8)
+    table.append(existing)
     first = load.first_wins(V.review_lines(spark, sf_dir), list(V.LINE_KEY), list(V.LINE_ORDER))
-    new = drop_matching(V.with_orders(spark, sf_dir, first).select(*cols), existing.select("review_id"), "review_id")
-    return existing.unionByName(new)
+    held = table.read()
+    new = load.drop_known(V.with_orders(spark, sf_dir, first).select(*cols), held, ["review_id"], table.buckets)
+    return held.unionByName(new)
 
 
 # ------------------------------------------------------- joins
@@ -160,6 +167,33 @@ def vendor_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(r, _catalog(spark, sf_dir), "product_id", "vendor_id", default=0)
 
 
+# A third of the changes are of one product; every second product moves to another vendor twice.
+_MOVES_SQL = """
+SELECT product_id, 0 AS at, vendor_id FROM v_products
+UNION ALL SELECT product_id, 100 + product_id % 97, vendor_id % 7 + 1 FROM v_products WHERE product_id % 2 = 1
+UNION ALL SELECT product_id, 500 + product_id % 89, NULL FROM v_products WHERE product_id % 2 = 1"""
+_ASKED_SQL = """
+SELECT audit_id, CASE WHEN audit_id % 3 = 0 THEN 1 ELSE audit_id % 500 + 1 END AS product_id, audit_id % 1000 - 50 AS at
+FROM v_audit"""
+
+
+@register("vendor_as_of", with_views("""
+SELECT r.audit_id, r.product_id, r.at, v.vendor_id FROM asked r
+ASOF LEFT JOIN moves v ON r.product_id = v.product_id AND r.at >= v.at""", "v_products", "v_audit",
+    extra=(("moves", _MOVES_SQL), ("asked", _ASKED_SQL))))
+def vendor_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vendor that a product had when a row of it changed."""
+    p = V.v_products(spark, sf_dir).select("product_id", "vendor_id")
+    odd = p.where("product_id % 2 = 1")
+    moves = (p.selectExpr("product_id", "0L AS at", "vendor_id")
+             .unionAll(odd.selectExpr("product_id", "100 + product_id % 97", "vendor_id % 7 + 1"))
+             .unionAll(odd.selectExpr("product_id", "500 + product_id % 89", "CAST(NULL AS LONG)")))
+    asked = V.v_audit(spark, sf_dir).selectExpr(
+        "audit_id", "CASE WHEN audit_id % 3 = 0 THEN 1 ELSE audit_id % 500 + 1 END AS product_id",
+        "audit_id % 1000 - 50 AS at")
+    return as_of(asked, moves, "product_id", "at", ["vendor_id"], chunk_bits=8)
+
+
 # ------------------------------------------------------- publish
 @register("publish_products", with_views(
     "SELECT * REPLACE (CAST(rating_average AS DOUBLE) AS rating_average, "
@@ -488,7 +522,7 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             kept.where("_rank = 1").select(*REVIEW_COLS))
 
 
-@register("cdc_snapshot_diff", with_views("""
+_DIFF_SQL = """
 SELECT CASE WHEN o.review_id IS NULL THEN 'I' WHEN n.review_id IS NULL THEN 'D' ELSE 'U' END AS operation,
        COALESCE(n.review_id, o.review_id) AS record_id,
        o.updated_at AS old_updated_at, n.updated_at AS new_updated_at,
@@ -500,11 +534,27 @@ WHERE o.review_id IS NULL OR n.review_id IS NULL
        AND o.like_count IS NOT DISTINCT FROM n.like_count AND o.dislike_count IS NOT DISTINCT FROM n.dislike_count
        AND o.attachments IS NOT DISTINCT FROM n.attachments AND o.is_public IS NOT DISTINCT FROM n.is_public
        AND o.is_post IS NOT DISTINCT FROM n.is_post AND o.created_at IS NOT DISTINCT FROM n.created_at
-       AND o.updated_at IS NOT DISTINCT FROM n.updated_at)""",
+       AND o.updated_at IS NOT DISTINCT FROM n.updated_at)"""
+
+
+@register("cdc_snapshot_diff", with_views(
+    _DIFF_SQL,
     "v_reviews", extra=(("old_snap", _OLD_SNAPSHOT_SQL),)))
 def cdc_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _snapshots(spark, sf_dir)
-    diff = cdc.snapshot_diff(old, new, ["review_id"], "reviews")
+    return _diff_report(cdc.snapshot_diff(old, new, ["review_id"], "reviews"))
+
+
+@register("cdc_digest_diff", with_views(
+    _DIFF_SQL, "v_reviews", extra=(("old_snap", _OLD_SNAPSHOT_SQL),)))
+def cdc_digest_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I7 over the ranges of orders whose digests differ, of two written snapshots."""
+    old, new = (stage(x, "snapshot") for x in _snapshots(spark, sf_dir))
+    orders = F.shiftright(F.substring_index("review_id", "-", 1).try_cast("long"), 6)
+    return _diff_report(cdc.snapshot_diff(*digest.rows_that_may_differ(old, new, orders), ["review_id"], "reviews"))
+
+
+def _diff_report(diff: DataFrame) -> DataFrame:
     ts = T.StructType([T.StructField("updated_at", T.TimestampNTZType()),
                        T.StructField("like_count", T.IntegerType())])
     o = F.from_json("old_data", ts, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"})
@@ -553,7 +603,46 @@ def cdc_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = StreamPaths(first.source, first.versions, first.mirror, f"{first.checkpoint}-2")
     run_change_stream(spark, second, CHANGE_PAYLOAD)
     n = read_mirror(spark, first.mirror).agg(F.count(F.lit(1)).alias("mirrored"))
-    return _stream_state(spark, second).crossJoin(F.broadcast(n))
+    return _stream_state(spark, second).withColumn("mirrored", n.scalar())
+
+
+_EARLY = f"changed_at < TIMESTAMP_NTZ '{MIRROR_CUTOFF}' AND audit_id % 50 <> 7"    # gaps are planted
+_ISLANDS_SQL = """
+SELECT MIN(audit_id) AS lo, MAX(audit_id) AS hi FROM (
+  SELECT audit_id, audit_id - ROW_NUMBER() OVER (ORDER BY audit_id) AS island
+  FROM (SELECT DISTINCT audit_id FROM {log}) ids) t GROUP BY island"""
+
+
+@register("cdc_applied_ranges", with_views(
+    _ISLANDS_SQL.format(log=f"(SELECT * FROM v_audit WHERE {_EARLY.replace('TIMESTAMP_NTZ', 'TIMESTAMP')})"), "v_audit"))
+def cdc_applied_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream applied, as intervals of audit ids broken by the planted gaps."""
+    paths = _stream_log(spark, V.v_audit(spark, sf_dir).where(_EARLY))
+    run_change_stream(spark, paths, CHANGE_PAYLOAD)
+    return read_applied(spark, paths.mirror)
+
+
+@register("cdc_late_ids", with_views(
+    f"SELECT s.*, (SELECT COUNT(*) FROM v_audit) AS mirrored, "
+    f"(SELECT COUNT(*) FROM ({_ISLANDS_SQL.format(log='v_audit')}) i) AS guard_rows FROM ({_APPLY_SQL}) s", "v_audit"))
+def cdc_late_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that come late, below the cursor, are applied once; what was applied never again.
+
+    The first run lacks every fiftieth id and all late changes, the second sees
+    the whole log, the third sees it once more.  ``mirrored`` would show a
+    doubled id, ``guard_rows`` are all rows the next batch's guard reads.
+    """
+    log = V.v_audit(spark, sf_dir)
+    first = _stream_log(spark, log.where(_EARLY))
+    run_change_stream(spark, first, CHANGE_PAYLOAD)
+    log.select(*AUDIT_LOG.names).write.mode("append").parquet(first.source)
+    for k in (2, 3):
+        again = StreamPaths(first.source, first.versions, first.mirror, f"{first.checkpoint}-{k}")
+        run_change_stream(spark, again, CHANGE_PAYLOAD)
+    rows = lambda df, name: df.agg(F.count(F.lit(1)).alias(name)).scalar()
+    return _stream_state(spark, first).withColumns({
+        "mirrored": rows(read_mirror(spark, first.mirror), "n"),
+        "guard_rows": rows(read_applied(spark, first.mirror), "n")})
 
 
 @register("cdc_drain", with_views(_APPLY_SQL, "v_audit"))
@@ -716,21 +805,21 @@ def cdc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------- the whole serve side
-def _bootstrapped(spark: SparkSession, sf_dir: str) -> tuple[SP.ServeLayout, DataFrame, DataFrame]:
+def _bootstrapped(spark: SparkSession, sf_dir: str, marts: bool = False) -> tuple[SP.ServeLayout, DataFrame, DataFrame]:
     """A serve layer with the older snapshot, and both snapshots."""
     layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
     old, new = _snapshots(spark, sf_dir)
-    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), old, as_of=AS_OF)
+    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), old, as_of=AS_OF, marts=marts)
     return layout, old, new
 
 
-def _run_serving(spark: SparkSession, sf_dir: str) -> SP.ServeLayout:
-    """Bootstrap from the old snapshot, stream the change log to the new one, refresh marts."""
-    layout, old, new = _bootstrapped(spark, sf_dir)
+def _run_serving(spark: SparkSession, sf_dir: str, marts: bool = False) -> SP.ServeLayout:
+    """Bootstrap from the old snapshot and stream the change log to the new one; marts where they are read."""
+    layout, old, new = _bootstrapped(spark, sf_dir, marts)
     source = layout.path("incoming")
     cdc.diff_to_log(cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
                     changed_at=SNAPSHOT_CUTOFF).write.mode("overwrite").parquet(source)
-    SP.run_serving_stream(spark, layout, source, as_of=AS_OF, refresh_every=None)      # once, at its end
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF, refresh_every=None, marts=marts)  # once, at its end
     return layout
 
 
@@ -745,7 +834,7 @@ def serve_stream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     "ORDER BY weekly_sales DESC, vendor_id LIMIT 10", "v_reviews", "v_products",
     extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
 def serve_stream_top_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.read_top_vendors(SP.read_mart(spark, _run_serving(spark, sf_dir), "dm_top_vendors"))
+    return marts.read_top_vendors(SP.read_mart(spark, _run_serving(spark, sf_dir, marts=True), "dm_top_vendors"))
 
 
 @register("serve_marts", with_views("""
@@ -756,8 +845,8 @@ UNION ALL SELECT 'dm_review_engagement', COUNT(*), CAST(SUM(like_count) AS BIGIN
     "v_reviews", "v_products", extra=_SERVED + (("dm1", _TOP_VENDORS_SQL),) + _TRENDING_CTES
     + (("dm4", _ENGAGEMENT_SQL),)))
 def serve_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: all four stored marts of the live build, after the stream has ended."""
-    layout = _run_serving(spark, sf_dir)
+    """K4: all four stored marts, refreshed by the stream's changes when it has ended."""
+    layout = _run_serving(spark, sf_dir, marts=True)
     sums = {"dm_top_vendors": "weekly_sales", "dm_free_shipping_analysis": "sales_count_week",
             "dm_trending_categories": "monthly_reviews", "dm_review_engagement": "like_count"}
     out = None
@@ -778,11 +867,12 @@ def serve_stream_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = V.v_products(spark, sf_dir).select(*[c for c in PRODUCT_IMAGE.names if c != "created_at"])
     old = now.withColumns({"price": F.col("price") + 1, "stock": F.lit(None).cast("int"),
                            "is_available": ~F.col("is_available"), "vendor_name": F.lit("before")})
-    SP.bootstrap(spark, layout, old, V.v_reviews(spark, sf_dir).select(*REVIEW_COLS).limit(0), as_of=AS_OF)
+    SP.bootstrap(spark, layout, old, V.v_reviews(spark, sf_dir).select(*REVIEW_COLS).limit(0), as_of=AS_OF,
+                 marts=False)
     source = layout.path("incoming")
     cdc.diff_to_log(cdc.snapshot_diff(old, now, ["product_id"], "products"),
                     changed_at=SNAPSHOT_CUTOFF).write.parquet(source)
-    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF, marts=False)
     return _dec_to_double(SP.current_products(spark, layout).drop("_version"))
 
 
@@ -794,11 +884,11 @@ def serve_stream_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I8: reviews of every third product are deleted; the default view keeps them, the other drops them."""
     layout = SP.ServeLayout(new_scratch_dir(spark, "serve"))
     now = V.v_reviews(spark, sf_dir).select(*REVIEW_COLS)
-    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), now, as_of=AS_OF)
+    SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), now, as_of=AS_OF, marts=False)
     source = layout.path("incoming")
     cdc.diff_to_log(cdc.snapshot_diff(now, now.where("product_id % 3 <> 0"), ["review_id"], "reviews"),
                     changed_at=SNAPSHOT_CUTOFF).write.parquet(source)
-    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF, marts=False)
     SP.compact_serve(spark, layout)
     columns = ["review_id", "product_id", "like_count"]
     return SP.current_reviews(spark, layout).select(*columns, F.lit("kept").alias("view")).unionByName(
@@ -818,22 +908,134 @@ def serve_rebootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     undo = old.withColumns({"like_count": F.col("like_count") + 100, "created_at": F.lit("1990-01-01").cast("timestamp_ntz")})
     cdc.diff_to_log(cdc.snapshot_diff(old, undo, ["review_id"], "reviews"),
                     changed_at=SNAPSHOT_CUTOFF).write.parquet(source)
-    SP.run_serving_stream(spark, layout, source, as_of=AS_OF)
+    SP.run_serving_stream(spark, layout, source, as_of=AS_OF, marts=False)
     SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), old, as_of=AS_OF)      # there is a base: nothing happens
     SP.bootstrap(spark, layout, V.v_products(spark, sf_dir), new, as_of=AS_OF,
-                 high_water=SP.high_water(read_mirror(spark, layout.mirror)), again=True)
+                 high_water=SP.high_water(read_mirror(spark, layout.mirror)), again=True, marts=False)
     return SP.current_reviews(spark, layout).drop("_version")
 
 
 @register("serve_compacted", with_views(
     "SELECT * EXCLUDE (_version) FROM s_reviews", "v_reviews", "v_products", extra=_SERVED[1:]))
 def serve_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D4 in the pipeline: the stream's batches folded into a new base, whose rows need no ranking."""
+    """D4 in the pipeline: the stream's batches folded into a base of one row per key."""
     layout = _run_serving(spark, sf_dir)
     SP.compact_serve(spark, layout)
     return SP.current_reviews(spark, layout).drop("_version")
 
 
+# ------------------------------------------------------- marts by deltas
+# Products move to another vendor and some move back; their sales change; then reviews change.
+_MOVED = "vendor_id % 7 + 1"
+_DELTA_PRODUCTS_SQL = f"""
+SELECT * REPLACE (CASE WHEN product_id % 5 = 0 AND product_id % 10 <> 0 THEN {_MOVED} ELSE vendor_id END AS vendor_id,
+  CAST(CASE WHEN product_id % 3 = 0 THEN sales_count_week + 3 ELSE sales_count_week END AS INTEGER) AS sales_count_week)
+FROM v_products"""
+_DELTA_SERVED = (("l_products", _DELTA_PRODUCTS_SQL), ("s_products", Q.served_products("l_products")),
+                 ("s_reviews", Q.served_reviews("v_reviews", "l_products")))
+
+
+def _refreshed_by_deltas(spark: SparkSession, sf_dir: str) -> SP.ServeLayout:
+    """Marts of the older snapshot, brought up by three streams of changes, a refresh after each."""
+    layout, old, new = _bootstrapped(spark, sf_dir, marts=True)
+    products = V.v_products(spark, sf_dir).select(*[c for c in PRODUCT_IMAGE.names if c != "created_at"])
+    sales = F.when(F.col("product_id") % 3 == 0, F.col("sales_count_week") + 3).otherwise(F.col("sales_count_week"))
+    moved = lambda cond: products.withColumns({
+        "vendor_id": F.when(F.expr(cond), F.expr(_MOVED)).otherwise(F.col("vendor_id")),
+        "sales_count_week": sales.cast("int")})
+    away, final = moved("product_id % 5 = 0"), moved("product_id % 5 = 0 AND product_id % 10 <> 0")
+    diffs = [cdc.snapshot_diff(products, away, ["product_id"], "products"),
+             cdc.snapshot_diff(old, new, ["review_id"], "reviews"),
+             cdc.snapshot_diff(away, final, ["product_id"], "products")]
+    for k, diff in enumerate(diffs):
+        log = cdc.diff_to_log(diff, changed_at=SNAPSHOT_CUTOFF, first_id=1 + (k << 48))
+        log.write.mode("append").parquet(layout.path("incoming"))
+        SP.run_serving_stream(spark, layout, layout.path("incoming"), as_of=AS_OF, refresh_every=None)
+    return layout
+
+
+@register("serve_delta_vendors", with_views("SELECT * FROM dm1", "v_reviews", "v_products",
+                                            extra=_DELTA_SERVED + (("dm1", _TOP_VENDORS_SQL),)))
+def serve_delta_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 after refreshes by deltas: vendors that lost their lowest product, or gained one, included."""
+    return SP.read_mart(spark, _refreshed_by_deltas(spark, sf_dir), "dm_top_vendors").drop("computed_at")
+
+
+@register("serve_delta_trending", with_views("SELECT * FROM dm3", "v_reviews", "v_products",
+                                             extra=_DELTA_SERVED + _TRENDING_CTES))
+def serve_delta_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 after refreshes by deltas, from the review days of the window."""
+    return SP.read_mart(spark, _refreshed_by_deltas(spark, sf_dir), "dm_trending_categories").drop("computed_at")
+
+
+@register("serve_delta_grains", with_views("""
+SELECT 'product' AS grain, CAST(product_id AS VARCHAR) AS key, vendor_id AS a, CAST(sales_count_week AS BIGINT) AS b,
+       CAST(rating_average AS DOUBLE) AS c, CAST(NULL AS DATE) AS d FROM s_products
+UNION ALL SELECT 'review', review_id, like_count, CAST(description_length AS BIGINT), CAST(star AS DOUBLE), created_day
+FROM dm4""", "v_reviews", "v_products", extra=_DELTA_SERVED + (("dm4", _ENGAGEMENT_SQL),)))
+def serve_delta_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 and M4 after refreshes by deltas, row by row."""
+    layout = _refreshed_by_deltas(spark, sf_dir)
+    p, r = (SP.read_mart(spark, layout, n) for n in ("dm_free_shipping_analysis", "dm_review_engagement"))
+    return p.select(F.lit("product").alias("grain"), F.col("product_id").cast("string").alias("key"),
+                    F.col("vendor_id").alias("a"), F.col("sales_count_week").cast("bigint").alias("b"),
+                    F.col("rating_average").cast("double").alias("c"), F.lit(None).cast("date").alias("d")).unionAll(
+        r.select(F.lit("review"), "review_id", "like_count", F.col("description_length").cast("bigint"),
+                 F.col("star").cast("double"), "created_day"))
+
+
+# ------------------------------------------------------- raw exports as files
+def _exported(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The raw product and review rows as header CSV files: quoted newlines, quotes and all."""
+    base = new_scratch_dir(spark, "csv-export")
+    for name, rows, columns in (("products", R.raw_products(spark, sf_dir), PRODUCT_CSV_COLUMNS),
+                                ("reviews", R.raw_reviews(spark, sf_dir), REVIEW_CSV_COLUMNS)):
+        (rows.select(*[F.col(f"`{c}`") for c, _, _ in columns]).write.option("header", True)
+         .option("quote", '"').option("escape", '"').csv(f"{base}/{name}"))
+    return f"{base}/products", f"{base}/reviews"
+
+
+@register("load_csv_products", with_views(
+    "SELECT * EXCLUDE (reject_reason) REPLACE (CAST(rating_average AS DOUBLE) AS rating_average, "
+    "CAST(vendor_score AS DOUBLE) AS vendor_score) FROM a_products WHERE reject_reason IS NULL",
+    "v_products", "v_review_log", extra=_CLEAN_CTES))
+def load_csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products export, read back from its files."""
+    products, _ = _exported(spark, sf_dir)
+    return _dec_to_double(clean.accepted(clean.assess_products(read_products_csv(spark, products))).select(
+        *[f.name for f in CLEAN_PRODUCTS.fields]))
+
+
+@register("load_csv_reviews", with_views(
+    f"SELECT {_REVIEW_OUT_SQL} FROM a_reviews WHERE reject_reason IS NULL",
+    "v_products", "v_review_log", extra=_CLEAN_CTES))
+def load_csv_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews export, its records found in parallel."""
+    _, reviews = _exported(spark, sf_dir)
+    return clean.accepted(clean.assess_reviews(read_reviews_csv(spark, reviews))).select(*REVIEW_COLS)
+
+
+@register("load_csv_counts", with_views("""
+SELECT 'products' AS table_name, 'loaded' AS outcome, COUNT(DISTINCT product_id) AS row_count
+FROM a_products WHERE reject_reason IS NULL
+UNION ALL SELECT 'products', 'ignored_duplicate', COUNT(*) - COUNT(DISTINCT product_id)
+FROM a_products WHERE reject_reason IS NULL
+UNION ALL SELECT 'products', reject_reason, COUNT(*) FROM a_products WHERE reject_reason IS NOT NULL GROUP BY 2
+UNION ALL SELECT 'reviews', 'loaded', COUNT(DISTINCT review_id) FROM known
+UNION ALL SELECT 'reviews', 'ignored_duplicate', COUNT(*) - COUNT(DISTINCT review_id) FROM known
+UNION ALL SELECT 'reviews', COALESCE(reject_reason, 'orphan_product'), COUNT(*) FROM a_reviews
+WHERE reject_reason IS NOT NULL OR product_id NOT IN (SELECT product_id FROM a_products WHERE reject_reason IS NULL)
+GROUP BY 2""", "v_products", "v_review_log", extra=_CLEAN_CTES + (("known", """
+SELECT * FROM a_reviews WHERE reject_reason IS NULL
+AND product_id IN (SELECT product_id FROM a_products WHERE reject_reason IS NULL)"""),)))
+def load_csv_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole initial load of both exports, counted by outcome."""
+    products, reviews = _exported(spark, sf_dir)
+    out = initial_load(spark, products, reviews, new_scratch_dir(spark, "csv-loaded"))
+    return spark.createDataFrame([(t, o, n) for t, counts in out.items() for o, n in counts.items()],
+                                 "table_name string, outcome string, row_count long")
+
+
 # The mart reports as (build, read): what their keys do in one go.
 MART_READS = {
     "dm_top_vendors_read": (_top_vendors, marts.read_top_vendors),

@@ -74,10 +74,15 @@ def test_compact_partitioned_and_append(spark, tmp_dir):
 
 
 def test_new_files_are_seen_and_nothing_is_dealt_round_robin(spark, tmp_dir):
+    import os
     import shutil
     from ledgerline.operators import cdc
     from ledgerline.sources import adapters as V
-    shutil.copytree(SF_SMALL, f"{tmp_dir}/sf", ignore=lambda d, names: [n for n in names if n == "events.parquet"])
+    # contents only: the tables' folder may be read-only, and the copy must not be
+    os.makedirs(f"{tmp_dir}/sf")
+    for name in os.listdir(SF_SMALL):
+        if name != "events.parquet":
+            shutil.copyfile(f"{SF_SMALL}/{name}", f"{tmp_dir}/sf/{name}")
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     events.write.parquet(f"{tmp_dir}/sf/events.parquet")
     n = events.count()
