@@ -45,7 +45,9 @@ from .common import bodies, crc_mod, lean, unwrapped, whole_rows, words_of
 THRESHOLD = 0.7
 #: Documents of each label that training reads, at most.
 SAMPLE_DOCS = 1500
-#: Features that the chain has weights for, at most.
+#: Segments of their words that the chain is fitted on, at most; both labels keep their shares.
+SAMPLE_SEGMENTS = 20_000
+#: Features that the chain has weights for, at most: the strongest signs first.
 MAX_FEATURES = 5000
 #: A feature is a sign when chance would give its counts with a probability below exp(-SIGN).
 SIGN = 9.0
@@ -184,6 +186,13 @@ def find_signs(toxic: list[list[bytes]], clean: list[list[bytes]]) -> dict[bytes
     return signs
 
 
+def spread(n: int, most: int) -> list[int]:
+    """At most ``most`` of the numbers below ``n``, from all of them alike and the same each time."""
+    if n <= most:
+        return list(range(n))
+    return np.sort(np.random.default_rng(n).permutation(n)[:most]).tolist()
+
+
 def fit(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Model:
     """A model from the words of toxic and of clean documents."""
     if not toxic or not clean:
@@ -200,7 +209,7 @@ def fit(toxic: list[list[bytes]], clean: list[list[bytes]]) -> Model:
                 part = known[s:s + SEGMENT]
                 if any(part) or s == 0:
                     segments.append((part, [int(k == 1 and bool(x)) for x in part]))
-    segments = segments[:20_000]
+    segments = [segments[i] for i in spread(len(segments), SAMPLE_SEGMENTS)]
     n = len(segments)
     lengths = np.array([len(x) for x, _ in segments])
     tags = np.zeros((n, SEGMENT), np.int64)

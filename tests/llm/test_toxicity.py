@@ -106,3 +106,18 @@ def test_held_out_accuracy_on_a_larger_table(spark):
     false = [r["predicted"] for r in rows if r["toxic"] == 0]
     assert np.mean(hit) > 0.75 and np.mean(false) < 0.02     # some 300 toxic documents to learn from
     assert words_of(None) == []
+
+
+def test_segments_are_chosen_from_both_labels(monkeypatch):
+    """Long toxic documents, whose segments come first, leave room for clean ones."""
+    from ledgerline.llm import toxicity
+    assert toxicity.spread(5, 9) == [0, 1, 2, 3, 4] and toxicity.spread(0, 9) == []
+    some = toxicity.spread(100_000, 20_000)
+    assert len(some) == len(set(some)) == 20_000 and some == toxicity.spread(100_000, 20_000)
+    assert all(3500 < sum(a <= i < a + 20_000 for i in some) < 4500 for a in range(0, 100_000, 20_000))
+    monkeypatch.setattr(toxicity, "SAMPLE_SEGMENTS", 200)
+    filler = [w.encode() for w in prose(1, 60)]
+    toxic = [[b"vileword", *filler[k % 50:k % 50 + 9]] * 60 for k in range(60)]         # over 700 segments
+    clean = [[*filler[k % 40:k % 40 + 15], b"vileword"] if k < 3 else filler[k % 40:] for k in range(300)]
+    model = toxicity.fit(toxic, clean)
+    assert model.weights and all(np.isfinite(list(model.weights.values())))
