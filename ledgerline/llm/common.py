@@ -5,10 +5,6 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
-import hashlib
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -17,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_scratch_dir
+from ..session import new_scratch_dir, ship_package
 
 #: Texts that one task holds at a time while it builds a block.
 BLOCK_BYTES = 3 << 20
@@ -76,28 +72,6 @@ def shingles(words: list[bytes], n: int = 5) -> np.ndarray:
     return np.unique(ngram_hashes(word_hashes(words), min(n, len(words))))
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once an application: they need not have it installed."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    files = sorted(os.path.join(d, f) for d, _, names in os.walk(top) for f in names if f.endswith(".py"))
-    digest = hashlib.sha256()
-    for f in files:
-        with open(f, "rb") as source:
-            digest.update(source.read())
-    path = os.path.join(tempfile.mkdtemp(prefix="ledgerline-ship-"), f"ledgerline-{digest.hexdigest()[:16]}.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for f in files:
-            z.write(f, os.path.relpath(f, os.path.dirname(top)))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
 Task = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 

@@ -38,12 +38,17 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``feature`` must lie within [low, high]; an open side is None."""
+    """``feature`` must lie within [low, high]; an open side is None.
+
+    Texts of fewer than ``min_words`` words are not held against the rule: a
+    short text may well hold no function word.
+    """
 
     name: str
     feature: str
     low: float | None = None
     high: float | None = None
+    min_words: int = 0
 
 
 #: The production thresholds.
@@ -53,7 +58,7 @@ RULES = (
     Rule("short_words", "mean_word_chars", low=2.0),
     Rule("long_words", "mean_word_chars", high=20.0),
     Rule("symbols", "symbol_ratio", high=0.3),
-    Rule("few_stop_words", "stop_word_ratio", low=0.01),
+    Rule("few_stop_words", "stop_word_ratio", low=0.01, min_words=50),
     Rule("repeated_lines", "dup_line_ratio", high=0.5),
     Rule("upper_case", "upper_ratio", high=0.5),
 )
@@ -105,8 +110,7 @@ def features(text: Column, words: Column, lines: Column) -> dict[str, Column]:
         "n_words": n, "word_chars": n_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup,
         "n_repeat_words": _repeat_words(words),
         "mean_word_chars": per_word(n_chars), "symbol_ratio": per_word(n_symbols),
-        # a short text may well hold no function word
-        "stop_word_ratio": F.when(n < 50, 1.0).otherwise(per_word(n_stop)), "upper_ratio": per_word(n_upper),
+        "stop_word_ratio": per_word(n_stop), "upper_ratio": per_word(n_upper),
         "dup_line_ratio": n_dup / F.greatest(F.size(lines), F.lit(1)),
     }
 
@@ -120,6 +124,8 @@ def compile_rules(rules: tuple[Rule, ...], feature: Callable[[str], Column]) ->
             broken = broken | (feature(r.feature) < F.lit(r.low))
         if r.high is not None:
             broken = broken | (feature(r.feature) > F.lit(r.high))
+        if r.min_words:
+            broken = broken & (feature("n_words") >= F.lit(r.min_words))
         checks.append(F.when(broken, F.lit(r.name)))
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 

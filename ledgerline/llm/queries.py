@@ -37,12 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _quality_sql() -> str:
     from .quality import STOP_WORDS
-    broken = " OR ".join(
-        f"({r.feature} {op} {bound})" for r in RULES
-        for op, bound in (("<", r.low), (">", r.high)) if bound is not None)
-    names = ", ".join(
-        "CASE WHEN " + " OR ".join(f"{r.feature} {op} {b}" for op, b in (("<", r.low), (">", r.high)) if b is not None)
-        + f" THEN '{r.name}' END" for r in RULES)
+    def breaks(r) -> str:
+        sides = " OR ".join(f"{r.feature} {op} {b}" for op, b in (("<", r.low), (">", r.high)) if b is not None)
+        return f"({sides})" + (f" AND n_words >= {r.min_words}" if r.min_words else "")
+
+    broken = " OR ".join(f"({breaks(r)})" for r in RULES)
+    names = ", ".join(f"CASE WHEN {breaks(r)} THEN '{r.name}' END" for r in RULES)
     stop = ", ".join(f"'{w}'" for w in STOP_WORDS)
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -63,7 +63,7 @@ f AS (SELECT w.doc_id, len(words) AS n_words,
   len(list_filter(words, lambda x: upper(x) = x AND lower(x) <> x AND length(x) > 1)) AS n_upper,
   len(lines) AS n_lines FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
 r AS (SELECT *, word_chars / greatest(n_words, 1) AS mean_word_chars, n_symbols / greatest(n_words, 1) AS symbol_ratio,
-  CASE WHEN n_words < 50 THEN 1.0 ELSE n_stop / n_words END AS stop_word_ratio,
+  n_stop / greatest(n_words, 1) AS stop_word_ratio,
   n_upper / greatest(n_words, 1) AS upper_ratio,
   n_dup_lines / greatest(n_lines, 1) AS dup_line_ratio FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

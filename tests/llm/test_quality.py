@@ -46,3 +46,10 @@ def test_own_threshold_table(spark):
 def test_native_plan_without_shuffle(spark):
     plan = quality_rules(docs_of(spark, AWKWARD))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_rule_holds_from_its_number_of_words_on(spark):
+    rules = (Rule("plain", "stop_word_ratio", low=0.5), Rule("from_20", "stop_word_ratio", low=0.5, min_words=20))
+    rows = quality_rules(docs_of(spark, [(1, " ".join(prose(5, 19))), (2, " ".join(prose(6, 20))), (3, "the " * 30), (4, None)]),
+                         rules).collect()
+    assert {r["doc_id"]: r["failed_rules"] for r in rows} == {1: "plain", 2: "plain,from_20", 3: "", 4: "plain"}
