@@ -60,8 +60,13 @@ def parse_bool(col: Column | str) -> Column:
 
 
 def ascii_digits(col: Column | str) -> Column:
-    """Persian and Arabic digits as ASCII ones; other scripts' digits stay and make the text junk."""
-    return F.translate(_c(col), PERSIAN_DIGITS + ARABIC_DIGITS, "0123456789" * 2)
+    """Persian and Arabic digits as ASCII ones; other scripts' digits stay and make the text junk.
+
+    Text whose characters are one byte each has none of them and is not looked through.
+    """
+    c = _c(col)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(
+        F.translate(c, PERSIAN_DIGITS + ARABIC_DIGITS, "0123456789" * 2))
 
 
 def is_number(col: Column | str) -> Column:
@@ -72,8 +77,12 @@ def is_number(col: Column | str) -> Column:
     double parser accepts exactly the pattern's language; the check runs on
     Spark's own string type instead of a per-row Java regex match.
     """
-    c = ascii_digits(col)
-    return _only(c, NUMBER_CHARS) & c.try_cast("double").isNotNull()
+    return _plain_double(ascii_digits(col)).isNotNull()
+
+
+def _plain_double(c: Column) -> Column:
+    """The value of a plain number in ASCII digits; NULL for other text, which is not tried."""
+    return F.when(_only(c, NUMBER_CHARS), c.try_cast("double"))
 
 
 def _only(c: Column, chars: str) -> Column:
@@ -92,8 +101,7 @@ def _number_to_long(c: Column) -> Column:
     # parser; try_cast truncates toward zero and gives NULL out of range.
     c = ascii_digits(c)
     exact = F.when(_only(c, INTEGER_CHARS), c.try_cast("bigint"))
-    via_double = F.when(is_number(c), c.try_cast("double").try_cast("bigint"))
-    return F.coalesce(exact, via_double)
+    return F.coalesce(exact, _plain_double(c).try_cast("bigint"))
 
 
 def parse_bigint(col: Column | str) -> Column:
@@ -108,8 +116,7 @@ def parse_int(col: Column | str) -> Column:
 
 def parse_decimal(col: Column | str, precision: int = 4, scale: int = 2) -> Column:
     """Number text rounded half-up to ``scale``; junk or overflow -> NULL."""
-    c = ascii_digits(col)
-    return F.when(is_number(c), c.try_cast("double").try_cast(f"decimal({precision},{scale})"))
+    return _plain_double(ascii_digits(col)).try_cast(f"decimal({precision},{scale})")
 
 
 def parse_ts(col: Column | str) -> Column:

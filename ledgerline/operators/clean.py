@@ -16,6 +16,7 @@ from ..functions import parse as P
 from ..schemas import PRODUCT_CSV_COLUMNS, REVIEW_CSV_COLUMNS, TEXT_LIMITS
 
 REJECT = "reject_reason"
+NUMBERS = ("bigint", "int", "int0", "decimal")
 #: Text of a raw record with more or fewer fields than its header, where the source tells.
 BROKEN = "_broken_record"
 
@@ -53,13 +54,13 @@ def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
     spec_src = {s for s, _, _ in spec}
     keep = [c for c in raw.columns if c.startswith("_") and c not in spec_src]
     src_col = {src: F.col(f"`{src}`").cast("string") for src, _, _ in spec}
-    # 1. parse; numbers also get a "well-formed" flag for the range rule.  The
-    # one-row ``inline`` is a fence: the optimizer does not move a filter on
-    # the verdict into the projection below it, which would parse twice.
+    # 1. parse; numbers keep their text for the range rule, which looks at it
+    # only where there is no value.  The one-row ``inline`` is a fence: the
+    # optimizer does not move a filter on the verdict into the projection
+    # below it, which would parse twice.
     parsed = raw.select(F.inline(F.array(F.struct(
         *[_typed(src_col[src], kind).alias(dst) for src, dst, kind in spec],
-        *[P.is_number(src_col[src]).alias(f"__num_{dst}")
-          for src, dst, kind in spec if kind in ("bigint", "int", "int0", "decimal")],
+        *[src_col[src].alias(f"__raw_{dst}") for src, dst, kind in spec if kind in NUMBERS],
         *[F.col(c) for c in keep]))))
     # 2. judge; defaults apply only after the range rule has seen the NULL
     verdict = None
@@ -74,8 +75,7 @@ def _assess(raw: DataFrame, spec, reasons) -> DataFrame:
 
 def _out_of_range(spec) -> Column:
     """A well-formed number its column cannot hold."""
-    return _any([F.col(f"__num_{dst}") & F.col(dst).isNull()
-                 for _, dst, kind in spec if kind in ("bigint", "int", "int0", "decimal")])
+    return _any([F.col(dst).isNull() & P.is_number(F.col(f"__raw_{dst}")) for _, dst, kind in spec if kind in NUMBERS])
 
 
 def _too_long(spec) -> Column:
