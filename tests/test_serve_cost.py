@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerline.operators.asof import as_of
+from ledgerline.plans import stages
 from ledgerline.session import CODEGEN_CONF, small_methods
 from ledgerline.streaming.serving import ServeLayout, make_serving_handler
 from ledgerline.schemas import AUDIT_LOG
@@ -44,3 +45,29 @@ def test_small_methods_are_set_for_a_batch_only(spark, tmp_dir):
         assert spark.conf.get(name) == "65000"
     finally:
         spark.conf.set(name, mine)
+
+
+def test_lines_are_dealt_once_for_window_and_join(spark, tmp_dir):
+    for table, rows, schema in (
+            ("lineitem", [(1, 1, 7, 3, 2.0, 9.0, 0.0, 0.0, "N", "F", "2000-01-01 00:00:00"),
+                          (1, 1, 8, 3, 2.0, 9.0, 0.0, 0.0, "N", "F", "1990-01-01 00:00:00"),
+                          (None, 1, 8, 3, 2.0, 9.0, 0.0, 0.0, "N", "F", "1990-01-01 00:00:00")],
+             "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+             "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string"),
+            ("orders", [(1, 5, "1990-01-01 00:00:00", "LOW")],
+             "o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string")):
+        df = spark.createDataFrame(rows, schema)
+        for c in [c for c in df.columns if c.endswith("date")]:
+            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df.write.parquet(f"{tmp_dir}/{table}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        old, new = stages._snapshots(spark, tmp_dir)
+        for side in (old, new):
+            plan = side._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+            assert plan.count("Exchange ") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r["review_id"], r["product_id"]) for r in old.collect()] == [("1-1", 8)]
+    assert [(r["review_id"], r["product_id"]) for r in new.collect()] == [("1-1", 7)]
