@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .operators import clean, load
 from .schemas import CLEAN_PRODUCTS, CLEAN_REVIEWS
-from .session import clean_staged
+from .session import clean_staged, small_methods
 from .sinks.keyed import KeyedTable, is_keyed
 from .sinks.parquet import append, stage
 from .sources.csv import LOAD_ORDER, read_products_csv, read_reviews_csv
@@ -104,19 +104,20 @@ def initial_load(spark: SparkSession, products_csv, reviews_csv, clean_root: str
     load_id = load_id or load_id_of([str(products_csv), str(reviews_csv)], limit)
     out: dict[str, dict[str, int]] = {}
 
-    products = _table(spark, f"{root}/products", CLEAN_PRODUCTS, "product_id")
-    assessed_p = stage(clean.assess_products(read_products_csv(spark, products_csv, limit)),
-                       "initial-load")
-    out["products"] = _finish(*_load_table(assessed_p, products, f"{root}/rejects_products",
-                                           load_id, "product_id", CLEAN_PRODUCTS))
-
-    reviews = _table(spark, f"{root}/reviews", CLEAN_REVIEWS, "review_id")
-    products_now = products.read().select("product_id")
-    assessed_r = stage(clean.assess_reviews(read_reviews_csv(spark, reviews_csv, limit)),
-                       "initial-load")
-    out["reviews"] = _finish(*_load_table(assessed_r, reviews, f"{root}/rejects_reviews",
-                                          load_id, "review_id", CLEAN_REVIEWS,
-                                          reference=(products_now, "product_id")))
+    with small_methods(spark):
+        products = _table(spark, f"{root}/products", CLEAN_PRODUCTS, "product_id")
+        assessed_p = stage(clean.assess_products(read_products_csv(spark, products_csv, limit)),
+                           "initial-load")
+        out["products"] = _finish(*_load_table(assessed_p, products, f"{root}/rejects_products",
+                                               load_id, "product_id", CLEAN_PRODUCTS))
+
+        reviews = _table(spark, f"{root}/reviews", CLEAN_REVIEWS, "review_id")
+        products_now = products.read().select("product_id")
+        assessed_r = stage(clean.assess_reviews(read_reviews_csv(spark, reviews_csv, limit)),
+                           "initial-load")
+        out["reviews"] = _finish(*_load_table(assessed_r, reviews, f"{root}/rejects_reviews",
+                                              load_id, "review_id", CLEAN_REVIEWS,
+                                              reference=(products_now, "product_id")))
     clean_staged(spark, "initial-load")
     return out
 

@@ -36,6 +36,8 @@ from ..session import ship_package
 
 WHOLE, HEAD, TAIL = 0, 1, 2
 BOM = b"\xef\xbb\xbf"
+#: A line that starts outside a quoted field and plainly ends so: each field has no quote, or is quoted as a whole.
+CLOSED = r'\A(?:[^",]*|"(?:[^"]|"")*")(?:,(?:[^",]*|"(?:[^"]|"")*"))*\z'
 
 
 def ends_inside(line: bytes, inside: bool) -> bool:
@@ -59,10 +61,22 @@ def ends_inside(line: bytes, inside: bool) -> bool:
 
 
 def states(lines: pa.Array, inside: bool) -> tuple[np.ndarray, bool]:
-    """For each line whether it starts inside a field, and whether the last one ends so; only quotes change it."""
+    """For each line whether it starts inside a field, and whether the last one ends so.
+
+    Only quotes change it, and outside a field only those of lines that are not
+    ``CLOSED``: these alone are looked through one by one.
+    """
     out = np.empty(len(lines), bool)
+    quoted = pc.match_substring(lines, b'"').to_numpy(zero_copy_only=False)
+    closed = pc.match_substring_regex(lines, CLOSED).to_numpy(zero_copy_only=False)
+    may_close, may_open = np.flatnonzero(quoted), np.flatnonzero(quoted & ~closed)
     done = 0
-    for i in np.flatnonzero(pc.match_substring(lines, b'"').to_numpy(zero_copy_only=False)).tolist():
+    while True:
+        some = may_close if inside else may_open
+        at = int(np.searchsorted(some, done))
+        if at == len(some):
+            break
+        i = int(some[at])
         out[done:i + 1] = inside
         inside, done = ends_inside(lines[i].as_py(), inside), i + 1
     out[done:] = inside
@@ -153,8 +167,10 @@ def _surveyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield row()
             now, ends, count, header, open_header = key, [False, True], [0, 0], [], True
         empty = blank(lines)
+        same = ends[0] == ends[1]
         for k in (0, 1):
-            starts, last = states(lines, ends[k])
+            if not (k and same):    # both assumptions have met: what follows is the same for both
+                starts, last = states(lines, ends[k])
             if k == 0 and key[1] == 0 and open_header:
                 after = np.append(starts[1:], last)
                 for i in range(len(lines)):
