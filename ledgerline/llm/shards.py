@@ -109,16 +109,16 @@ def records_of(doc_ids: pa.Array, ids: pa.Array, length: int) -> tuple[np.ndarra
     counts = -(-sizes // length)
     row = np.repeat(np.arange(len(data)), counts)
     sequence = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    flat = np.concatenate([*data, np.zeros(length, "<u2")])
-    start = np.repeat(np.cumsum(sizes) - sizes, counts) + sequence * length
+    # a document's sequences are consecutive rows, all but the last one full: its ids lie there in one piece
+    filled = np.zeros((len(row), length), "<u2")
+    places = filled.reshape(-1)
+    for first, ids_of in zip(((np.cumsum(counts) - counts) * length).tolist(), data, strict=True):
+        places[first:first + len(ids_of)] = ids_of
     out = np.zeros(len(row), record_type(length))
     out["doc_id"] = doc_ids.fill_null(NULL_ID).to_numpy()[row]
     out["sequence"] = sequence
     out["length"] = np.minimum(length, sizes[row] - sequence * length)
-    for s in range(0, len(row), 4096):
-        some = slice(s, s + 4096)
-        at = np.arange(length)
-        out["ids"][some] = np.where(at < out["length"][some, None], flat[start[some, None] + at], 0)
+    out["ids"] = filled
     return row, sequence, out
 
 
@@ -127,7 +127,7 @@ def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, s
                  id_col: str = "doc_id", text_col: str = "text") -> int:
     """Write all sequences as shards under ``path/shard=<n>``; returns their number."""
     rows = staged(token_rows(docs, length=length, end_id=end_id, tokenizer=tokenizer,
-                             id_col=id_col, text_col=text_col), "tokens", "zstd")
+                             id_col=id_col, text_col=text_col), "tokens", "zstd", 6)
     # one row a map task: what came before each of them
     n = F.ceil(F.octet_length("ids") / F.lit(2 * length))
     tasks = rows.groupBy("task").agg(F.sum(n).alias("n"))
@@ -147,7 +147,9 @@ def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, s
         for batch in batches:
             row, sequence, records = records_of(batch.column(1), batch.column(2), length)
             slot = permute(batch.column(0).to_numpy()[row] + sequence, total, key)
-            raw = pa.Array.from_buffers(pa.binary(stride), len(records), [None, pa.py_buffer(records.tobytes())])
+            # the writer adds the record's last byte
+            body = records.view(np.uint8).reshape(-1, stride)[:, :-1].tobytes()
+            raw = pa.Array.from_buffers(pa.binary(stride - 1), len(records), [None, pa.py_buffer(body)])
             table = pa.table([pa.array(slot), raw], ["slot", "record"])
             for b, at in by_bucket(slot // shard_records * parts // shards, parts):
                 yield pa.RecordBatch.from_arrays(
@@ -159,10 +161,9 @@ def write_shards(docs: DataFrame, path: str, *, length: int = SEQUENCE_LENGTH, s
         for batch in batches:
             for blob in batch.column("a").to_pylist():
                 table = dealt_rows(blob)
-                # the writer adds the record's last byte
-                record = [r[:-1] for r in table.column("record").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [table.column("slot").combine_chunks(), pa.array(record, pa.binary())], ["slot", "record"])
+                    [table.column("slot").combine_chunks(),
+                     table.column("record").cast(pa.binary()).combine_chunks()], ["slot", "record"])
 
     placed = dealt(indexed.mapInArrow(slots, "bucket int, a binary"), parts).mapInArrow(
         unpacked, "slot long, record binary")
@@ -185,8 +186,8 @@ def read_shards(spark: SparkSession, path: str, *, length: int = SEQUENCE_LENGTH
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 rows = np.frombuffer(content.as_buffer(), kind)
                 at = np.arange(len(rows))
-                crc = [zlib.crc32(r[:n].astype("<u4").tobytes())
-                       for r, n in zip(rows["ids"], rows["length"], strict=True)]
+                wide = rows["ids"].astype("<u4")
+                crc = [zlib.crc32(r[:n]) for r, n in zip(wide, rows["length"].tolist(), strict=True)]
                 ids = np.ascontiguousarray(rows["doc_id"])
                 columns = [pa.array(at + shard * shard_records), pa.array(np.full(len(rows), shard)),
                            pa.array(at * kind.itemsize), pa.array(ids, mask=ids == NULL_ID),
