@@ -42,8 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (
-    MULTIPLIER, bodies, bucket_of, deal_rows, dealt, dealt_rows, lean, mix, n_buckets, staged, starts_of, word_hashes,
-    words_of,
+    MULTIPLIER, bodies, bucket_of, deal_rows, dealt, dealt_rows, lean, mix, n_buckets, ranked, staged, starts_of,
+    word_hashes, words_of,
 )
 
 HOLD_OUT, MODULUS = 2, 7
@@ -71,10 +71,25 @@ def tokens_of(body: bytes | None) -> np.ndarray:
 
 def pairs_of(tokens: np.ndarray) -> np.ndarray:
     """Each token with the one before it; the first follows an end."""
-    before = np.append(END, tokens[:-1])
+    return text_pairs(tokens, np.zeros(1, np.int64))
+
+
+def text_pairs(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The pairs of several texts, whose tokens begin at ``first``."""
+    before = np.empty_like(tokens)
+    before[1:] = tokens[:-1]
+    before[first] = END
     return mix(before * MULTIPLIER + tokens) & KEEP48
 
 
+def learned_counts(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and how often each is learned from: 0 for those only scored."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = starts_of(keys)
+    return keys[at], np.add.reduceat(learned[order], at, dtype=np.int64)
+
+
 def remainder(doc_id: int | None) -> int | None:
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % MODULUS
 
@@ -83,9 +98,18 @@ def levels_of(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64) + 1
 
 
+def _counts() -> np.ndarray:
+    levels = np.arange(65)
+    return np.where(levels > 0, np.floor((np.exp2(levels - 1) + np.exp2(levels) - 1) / 2), 0.0)
+
+
+#: By number of levels.
+COUNTS = _counts()
+
+
 def count_at(levels: np.ndarray) -> np.ndarray:
     """The middle of the counts that share a number of levels; 0 for none."""
-    return np.where(levels > 0, np.floor((np.exp2(levels - 1) + np.exp2(levels) - 1) / 2), 0.0)
+    return COUNTS[levels]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,37 +153,26 @@ def local_counts(dealt_docs: DataFrame, buckets: int) -> DataFrame:
     """Counts of one bucket of documents, dealt by hash of token and pair."""
     @lean
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, trained, pairs, trained_pairs, bucket = [], [], [], [], None
+        tokens, learn, bucket = [], [], None
         for batch in batches:
             for b, blob in zip(batch.column("bucket").to_pylist(), batch.column("a").to_pylist(), strict=True):
                 bucket = b
                 table = dealt_rows(blob)
                 for doc_id, body in zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True):
-                    tokens = tokens_of(body)
-                    every.append(tokens)
-                    if remainder(doc_id) not in (None, HOLD_OUT):
-                        trained.append(tokens)
-                        trained_pairs.append(pairs_of(tokens))
-                    else:
-                        pairs.append(pairs_of(tokens))
+                    tokens.append(tokens_of(body))
+                    learn.append(remainder(doc_id) not in (None, HOLD_OUT))
         if bucket is None:
             return
-        token = np.unique(np.concatenate(every))
-        count = np.zeros(len(token), np.int64)
-        if trained:
-            key, n = np.unique(np.concatenate(trained), return_counts=True)
-            count[np.searchsorted(token, key)] = n
-        every, trained = [], []
+        lengths = np.array([len(t) for t in tokens])
+        every, learned = np.concatenate(tokens), np.repeat(learn, lengths)
+        tokens.clear()
+        token, count = learned_counts(every, learned)
         bounds = np.searchsorted(bucket_of(token, buckets), np.arange(buckets + 1))
         for w in range(buckets):
             s, e = bounds[w], bounds[w + 1]
             if s < e:
                 yield _batch([(TOKENS, w, bucket, token[s:e].tobytes(), count[s:e].astype(U32).tobytes(), 0, 0)])
-        key, n = np.unique(np.concatenate([*trained_pairs, *pairs]), return_counts=True)
-        if pairs:
-            # what is only scored does not count
-            other, m = np.unique(np.concatenate(pairs), return_counts=True)
-            n[np.searchsorted(key, other)] -= m
+        key, n = learned_counts(text_pairs(every, np.cumsum(lengths) - lengths), learned)
         bounds = np.searchsorted(bucket_of(key, buckets), np.arange(buckets + 1))
         for w in range(buckets):
             s, e = bounds[w], bounds[w + 1]
@@ -291,32 +304,34 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", ma
             tokens += [tokens_of(b) for b in table.column(1).to_pylist()]
         if not ids:
             return
-        token = np.unique(np.concatenate(tokens))
+        lengths = np.array([len(t) for t in tokens])
+        every = np.concatenate(tokens)
+        tokens.clear()
+        ends = np.cumsum(lengths)
+        token, token_at = ranked(every)
         # replies come in the order of the buckets of hashes, which is the order of the tokens
         count = np.concatenate([replies[w] for w in sorted(replies)]).astype(np.float64)
         base = np.log10((count + 1) / (n + (v + 1)))
-        quantised = count_at(np.concatenate([levels[w] for w in sorted(levels)]).astype(np.int64))
+        quantised = count_at(np.concatenate([levels[w] for w in sorted(levels)]))
         # so do those for pairs
-        known_pair = np.unique(np.concatenate([pairs_of(t) for t in tokens]))
+        pair_at = ranked(text_pairs(every, ends - lengths))[1]
         pair_level = np.concatenate([pair_levels[w] for w in sorted(pair_levels)])
         out = []
         end = int(np.searchsorted(token, END))
-        for some in _runs([len(t) for t in tokens], CHUNK_TOKENS):
-            mine = np.concatenate([tokens[i] for i in some])
-            lengths = np.array([len(tokens[i]) for i in some])
-            first = np.cumsum(lengths) - lengths
-            at = np.searchsorted(token, mine)
+        for some in _runs(lengths.tolist(), CHUNK_TOKENS):
+            s, e = ends[some[0]] - lengths[some[0]], ends[some[-1]]
+            first = (ends - lengths)[some] - s
+            at = token_at[s:e]
             before = np.append(end, at[:-1])
             before[first] = end
-            pair = mix(token[before] * MULTIPLIER + mine) & KEEP48
-            both = count_at(pair_level[np.searchsorted(known_pair, pair)].astype(np.int64))
+            both = count_at(pair_level[pair_at[s:e]])
             single = (quantised[at] + 1) / (n + v + 1)
             p = PAIR_SHARE * both / np.maximum(np.maximum(quantised[before], both), 1) + (1 - PAIR_SHARE) * single
             known = np.add.reduceat((count[at] > 0).astype(np.int64), first)
             sums = np.add.reduceat(base[at], first)
             scores = np.add.reduceat(np.log10(np.minimum(p, 1.0)), first)
             out += [(ids[i], remainder(ids[i]) == HOLD_OUT, int(k), int(a), n, float(x), float(y) if n else 0.0)
-                    for i, k, a, x, y in zip(some, lengths, known, sums, scores, strict=True)]
+                    for i, k, a, x, y in zip(some, lengths[some], known, sums, scores, strict=True)]
         kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
                                          ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

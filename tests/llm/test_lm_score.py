@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from ledgerline.llm import common, lm_score
 from ledgerline.llm.lm_score import (
     PAIR_SHARE, Gaps, LogFrequencyFilter, count_at, levels_of, places, score,
 )
@@ -95,3 +96,22 @@ def test_gaps_round_trip():
     for keys in ([5 << 16], [1 << 16, 2 << 16, (1 << 63)], list(range(0, 1 << 24, 1 << 16))):
         a = np.array(keys, np.uint64)
         assert Gaps.unpack(*Gaps.pack(a)).tolist() == a.tolist()
+
+
+def test_tokens_are_ranked_by_one_sort():
+    rng = np.random.RandomState(3)
+    for size, span in ((0, 1), (1, 1), (500, 40), (500, 10**9)):
+        values = rng.randint(0, span, size).astype(np.uint64)
+        distinct, at = common.ranked(values)
+        want, inverse = np.unique(values, return_inverse=True)
+        assert (distinct == want).all() and (at == inverse).all()
+        learned = rng.rand(size) < 0.5
+        keys, count = lm_score.learned_counts(values, learned)
+        assert (keys == want).all() and count.tolist() == [int(learned[values == k].sum()) for k in want]
+
+
+def test_pairs_of_several_texts_at_once():
+    texts = [lm_score.tokens_of(t) for t in (b"a b a b", None, b"a", b"b a")]
+    lengths = np.array([len(t) for t in texts])
+    got = lm_score.text_pairs(np.concatenate(texts), np.cumsum(lengths) - lengths)
+    assert (got == np.concatenate([lm_score.pairs_of(t) for t in texts])).all()
