@@ -40,14 +40,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import new_scratch_dir
-from .common import bodies, by_bucket, dealt, dealt_rows, lean, mix, packed, rows_of, staged
-from .tokens import WORD_MEMORY, default_path, encode, word_ids
+from .common import bodies, by_bucket, dealt, dealt_rows, lean, mix, packed, staged
+from .tokens import WORD_MEMORY, default_path, encode_rows, word_ids
 
 SEQUENCE_LENGTH = 512
 SHARD_RECORDS = 4096
 END_ID = 2
 KEY = 20240607
 ROUNDS = 6
+#: Words a worker remembers here, where it holds little else.
+REMEMBERED = 1_200_000
 NULL_ID = -2**63
 HEADER = np.dtype([("doc_id", "<i8"), ("sequence", "<u4"), ("length", "<u4")])
 
@@ -76,11 +78,11 @@ def token_rows(docs: DataFrame, *, length: int, end_id: int, tokenizer: str | No
                id_col: str, text_col: str) -> DataFrame:
     """(task, first, doc_id, ids): each document's ids, and the place of its first sequence within its task."""
     path = tokenizer or default_path()
-    end = end_id.to_bytes(4, "little")
+    end = np.array([end_id], "<u4").astype("<u2").tobytes()
 
     @partial(lean, keep=WORD_MEMORY)
     def encoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, task, n = word_ids(path), TaskContext.get().partitionId(), 0
+        ids, task, n = word_ids(path, REMEMBERED), TaskContext.get().partitionId(), 0
         held: list[tuple[int, int | None, bytes]] = []
 
         def flush() -> pa.RecordBatch:
@@ -89,13 +91,14 @@ def token_rows(docs: DataFrame, *, length: int, end_id: int, tokenizer: str | No
                 [pa.array([task] * len(held), pa.int32()), pa.array(first, pa.int64()), pa.array(doc, pa.int64()),
                  pa.array(data, pa.binary())], ["task", "first", "doc_id", "ids"])
 
-        for doc_id, body in rows_of(batches):
-            data = np.frombuffer(encode(body, ids) + end, "<u4").astype("<u2").tobytes()
-            held.append((n, doc_id, data))
-            n += -(-len(data) // (2 * length))
-            if len(held) >= 1000:
-                yield flush()
-                held = []
+        for batch in batches:
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode_rows(batch.column(1), ids), strict=True):
+                data = found.astype("<u2").tobytes() + end
+                held.append((n, doc_id, data))
+                n += -(-len(data) // (2 * length))
+                if len(held) >= 1000:
+                    yield flush()
+                    held = []
         if held:
             yield flush()
 
