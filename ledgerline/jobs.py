@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .operators import clean, load
 from .schemas import CLEAN_PRODUCTS, CLEAN_REVIEWS
-from .session import clean_staged, small_methods
+from .session import clean_staged, freed_shuffles, new_scratch_dir, small_methods
 from .sinks.keyed import KeyedTable, is_keyed
 from .sinks.parquet import append, stage
 from .sources.csv import LOAD_ORDER, read_products_csv, read_reviews_csv
@@ -69,25 +69,36 @@ def _table(spark: SparkSession, path: str, schema, key: str):
 
 def _load_table(assessed: DataFrame, table, reject_path: str, load_id: str, key: str, schema,
                 reference: tuple[DataFrame, str] | None = None):
-    """Append new accepted rows and the rejects; return per-outcome counts (lazy)."""
+    """Append new accepted rows and the rejects; return per-outcome counts."""
     ok = clean.accepted(assessed)
     bad = clean.rejected(assessed)
     if reference is not None:
         ref, ref_key = reference
-        ok, orphans = load.split_by_reference(ok, ref, ref_key)
+        ok, orphans = load.split_by_orphans(ok, stage(load.orphan_keys(ok, ref, ref_key), "initial-load"), ref_key)
         bad = bad.unionByName(orphans.withColumn(clean.REJECT, F.lit("orphan_product")),
                               allowMissingColumns=True)
     # Land the new rows first: the append then copies files that no longer
     # depend on the table being appended to, and counting them is exact.
-    new = stage(load.rows_to_insert(ok, table.read(), [key], list(LOAD_ORDER), table.buckets).select(*schema.names),
-                "initial-load")
-    table.append(new)
-    bad.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
+    rows = load.rows_to_insert(ok, table.read(), [key], list(LOAD_ORDER), table.buckets).select(*schema.names)
+    if table.buckets:
+        # landed in the table's buckets, to which the anti join has dealt them: the append shuffles nothing
+        landed = KeyedTable(rows.sparkSession, new_scratch_dir(rows.sparkSession, "initial-load"), schema, key, table.buckets)
+        landed.append(rows, dealt=True)
+        new = landed.read()
+        table.append(new, dealt=True)
+    else:
+        landed, new = None, stage(rows, "initial-load")
+        table.append(new)
+    with freed_shuffles(rows.sparkSession):
+        bad.write.mode("overwrite").parquet(f"{reject_path}/load_id={load_id}")
     loaded = new.groupBy().count().select(F.lit("loaded").alias("outcome"), F.col("count").alias("row_count"))
     ignored = (ok.groupBy().count().select(F.lit("ignored_duplicate").alias("outcome"),
                                            F.col("count").alias("row_count")))
     rejected = bad.groupBy(F.col(clean.REJECT).alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
-    return loaded, ignored, rejected
+    counts = _finish(loaded, ignored, rejected)
+    if landed is not None:
+        landed.forget()
+    return counts
 
 
 def initial_load(spark: SparkSession, products_csv, reviews_csv, clean_root: str,
@@ -108,16 +119,16 @@ def initial_load(spark: SparkSession, products_csv, reviews_csv, clean_root: str
         products = _table(spark, f"{root}/products", CLEAN_PRODUCTS, "product_id")
         assessed_p = stage(clean.assess_products(read_products_csv(spark, products_csv, limit)),
                            "initial-load")
-        out["products"] = _finish(*_load_table(assessed_p, products, f"{root}/rejects_products",
-                                               load_id, "product_id", CLEAN_PRODUCTS))
+        out["products"] = _load_table(assessed_p, products, f"{root}/rejects_products",
+                                      load_id, "product_id", CLEAN_PRODUCTS)
 
         reviews = _table(spark, f"{root}/reviews", CLEAN_REVIEWS, "review_id")
         products_now = products.read().select("product_id")
         assessed_r = stage(clean.assess_reviews(read_reviews_csv(spark, reviews_csv, limit)),
                            "initial-load")
-        out["reviews"] = _finish(*_load_table(assessed_r, reviews, f"{root}/rejects_reviews",
-                                              load_id, "review_id", CLEAN_REVIEWS,
-                                              reference=(products_now, "product_id")))
+        out["reviews"] = _load_table(assessed_r, reviews, f"{root}/rejects_reviews",
+                                     load_id, "review_id", CLEAN_REVIEWS,
+                                     reference=(products_now, "product_id"))
     clean_staged(spark, "initial-load")
     return out
 

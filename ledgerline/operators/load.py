@@ -54,6 +54,23 @@ def insert_or_ignore(rows: DataFrame, existing: DataFrame, keys: Sequence[str],
     return existing.unionByName(new)
 
 
+def orphan_keys(rows: DataFrame, referenced: DataFrame, key: str, ref_key: str | None = None) -> DataFrame:
+    """The values of ``key`` in ``rows``, each once, that ``referenced`` lacks; nulls are left out.
+
+    Only keys are shuffled, and of ``rows`` each task sends a key once.  Landed,
+    they are few where references mostly hold, so that a join with them, of which
+    the planner knows the size, need not shuffle whole rows.
+    """
+    ref = referenced.select(F.col(ref_key or key).alias(key))
+    return drop_matching(rows.select(key).where(F.col(key).isNotNull()).distinct(), ref, key)
+
+
+def split_by_orphans(rows: DataFrame, orphans: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """J1, as ``split_by_reference`` but given the ``orphan_keys`` of the rows: (rows that are referenced, orphan rows)."""
+    known = drop_matching(rows.where(F.col(key).isNotNull()), orphans, key)
+    return known, keep_matching(rows, orphans, key).unionByName(rows.where(F.col(key).isNull()))
+
+
 def split_by_reference(rows: DataFrame, referenced: DataFrame, key: str,
                        ref_key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows whose ``key`` exists in ``referenced``, orphan rows).

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import freed_shuffles
+
 MARK = "_keyed_by"
 #: Buckets of a new table; choose them for its final size, some 256 MB of a bucket.
 BUCKETS = 64
@@ -60,10 +62,16 @@ class KeyedTable:
         self.spark.catalog.refreshTable(self.name)
         return self.spark.table(self.name)
 
-    def append(self, rows: DataFrame) -> None:
-        """K2: add rows, one file a bucket and load; the rows must not be read from this table."""
+    def append(self, rows: DataFrame, dealt: bool = False) -> None:
+        """K2: add rows, one file a bucket and load; the rows must not be read from this table.
+
+        ``dealt``: the rows come from a table, or went to a join, of the same buckets, so none is shuffled.
+        """
         rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        rows.repartition(self.buckets, self.key).write.insertInto(self.name)
+        if not dealt:
+            rows = rows.repartition(self.buckets, self.key)
+        with freed_shuffles(self.spark):
+            rows.write.insertInto(self.name)
 
     def forget(self) -> None:
         """Drop the name from the session's catalog; the files stay."""
